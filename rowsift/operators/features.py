@@ -197,18 +197,33 @@ def reduce_dimensions(df: DataFrame, features: str, width: int, limit: int = 50)
     if width <= limit:
         return df
     import numpy as np
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
+    import pandas as pd
 
     keep = min(limit, max(2, width - 1))
-    rows = df.select(features).rdd.map(lambda r: Vectors.dense(r[0]))
-    basis = RowMatrix(rows, numCols=width).computeSVD(keep).V.toArray()
-    basis = basis * np.where(basis[np.abs(basis).argmax(axis=0), range(basis.shape[1])] < 0, -1.0, 1.0)
-    columns = [F.array(*[F.lit(float(x)) for x in basis[:, j]]) for j in range(basis.shape[1])]
-    dot = lambda b: F.aggregate(
-        F.zip_with(F.col(features), b, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x
-    )
-    return df.withColumn(features, F.array(*[dot(b) for b in columns]))
+
+    def partial_gram(batches):
+        total = np.zeros((width, width))
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch["x"].to_numpy())
+                total += x.T @ x
+        yield pd.DataFrame({"row": range(width), "sums": list(total)})
+
+    parts = df.select(F.col(features).alias("x")).mapInPandas(partial_gram, "row int, sums array<double>")
+    cells = parts.select("row", F.posexplode("sums").alias("col", "v"))
+    summed = collect_small(cells.groupBy("row", "col").agg(F.sum("v").alias("v")), width * width)
+    gram = np.zeros((width, width))
+    for r in summed:
+        gram[r["row"], r["col"]] = r["v"]
+    basis = np.linalg.eigh(gram)[1][:, ::-1][:, :keep]
+    top = np.abs(basis).argmax(axis=0)
+    basis = basis * np.where(basis[top, range(keep)] < 0, -1.0, 1.0)
+
+    @F.pandas_udf("array<double>")
+    def project(x: pd.Series) -> pd.Series:
+        return pd.Series(list(np.stack(x.to_numpy()) @ basis))
+
+    return df.withColumn(features, project(F.col(features)))
 
 
 def token_features(
