@@ -1,0 +1 @@
+"""Readers, dataset registry, reshaping and sinks."""
