@@ -196,10 +196,11 @@ def running_totals(
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     cond = None
     for k in keys:
-        one = left[k].eqNullSafe(right[k])
+        one = F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
         cond = one if cond is None else cond & one
-    return left.join(right, cond).select(
-        *[left[c] for c in left.columns], *[right[c] for c in right.columns if c not in keys]
+    return left.alias("l").join(right.alias("r"), cond).select(
+        *[F.col(f"l.`{c}`") for c in left.columns],
+        *[F.col(f"r.`{c}`") for c in right.columns if c not in keys],
     )
 
 

@@ -164,11 +164,16 @@ def _choose_pivots(base: DataFrame, n: int, rows_per_cell: int, max_pivots: int)
     return np.array([r["vec"] for r in rows], dtype=np.float64)
 
 
-def _visit(visits: DataFrame, base: DataFrame, cells: _Cells, keep: int, visit_rows: int) -> DataFrame:
-    """Search the block each visit names; blocks with many visitors are salted."""
-    per_cell = collect_small(visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
+def _visit(
+    visits: DataFrame, base: DataFrame, cells: _Cells, keep: int, visit_rows: int, few: bool = False
+) -> DataFrame:
+    """Search the block each visit names; blocks with many visitors are salted.
+
+    ``few`` says that all visitors together are known to fit one task.
+    """
     salts = [1] * len(cells.pivots)
-    for r in per_cell:
+    counts = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    for r in [] if few else collect_small(counts):
         salts[r["cell"]] = max(1, math.ceil(r["n"] / cells.blocks[r["cell"]] / visit_rows))
     n_salts = F.element_at(F.lit(salts), F.col("cell") + 1)
     spread = visits.select(
@@ -251,7 +256,8 @@ def knn_edges(
     asked = asked.withColumn("qid", F.col("vid"))
 
     first = asked.select("qid", "vec", "cell", "block", F.lit(float("inf")).alias("bound"))
-    found = _visit(first, blocked, cells, keep, visit_rows)
+    few = self_join and size["n"] <= visit_rows
+    found = _visit(first, blocked, cells, keep, visit_rows, few)
     if sum(cells.blocks) > 1:
         found = materialize(found)
         bounds = found.groupBy("qid").agg(F.count(F.lit(1)).alias("c"), F.max("dist").alias("far"))
