@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowsift.functions.runtime import materialize
 from rowsift.operators.corruption import flip_labels
 from rowsift.operators.knn import knn_edges, leave_one_out_probs
 
@@ -109,13 +110,13 @@ def graph(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
 def loo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, label, probs) of the embeddings with their own labels."""
     p = points(spark, sf_dir)
-    return leave_one_out_probs(knn_edges(p, 10), p, K_CLASSES)
+    return materialize(leave_one_out_probs(knn_edges(p, 10), p, K_CLASSES))
 
 
 def noisy_loo(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(noisy points, probabilities)."""
-    p = noisy_points(spark, sf_dir)
-    return p, leave_one_out_probs(knn_edges(p, 10), p, 3)
+    p = materialize(noisy_points(spark, sf_dir))
+    return p, materialize(leave_one_out_probs(knn_edges(p, 10), p, 3))
 
 
 def with_ctes(*parts: str, select: str) -> str:
