@@ -45,10 +45,10 @@ def _model(coded):
 
 
 _SQL = (
-    "raw AS (SELECT example_id, annotator_id, arg_max(label, at) AS label FROM (SELECT "
+    "raw AS (SELECT example_id, annotator_id, arg_max(label, stamp) AS label FROM (SELECT "
     "CAST(json_extract_string(props, '$.k') AS BIGINT) AS example_id, user_id AS annotator_id, "
     "CASE WHEN value > 150 THEN 'big_' || event_type ELSE event_type END AS label, "
-    "{'ts': ts, 'id': event_id} AS at FROM events) GROUP BY example_id, annotator_id), "
+    "{'ts': ts, 'id': event_id} AS stamp FROM events) GROUP BY example_id, annotator_id), "
     "codes AS (SELECT label AS text, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT label FROM raw)), "
     "ann AS (SELECT example_id, annotator_id, code AS label FROM raw JOIN codes ON codes.text = raw.label), "
     "vc AS (SELECT example_id, label, count(*) AS votes FROM ann GROUP BY ALL), "

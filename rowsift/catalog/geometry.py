@@ -185,8 +185,8 @@ def _pixels(spark, sf_dir):
 
 
 _SQL_PIXELS = (
-    "g0 AS (SELECT vec_id AS image_id, unnest(range(64)) AS at, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings), "
-    "grid AS (SELECT image_id, CAST(at // 8 AS INTEGER) AS y, CAST(at % 8 AS INTEGER) AS x, v FROM g0), "
+    "g0 AS (SELECT vec_id AS image_id, unnest(range(64)) AS slot, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings), "
+    "grid AS (SELECT image_id, CAST(slot // 8 AS INTEGER) AS y, CAST(slot % 8 AS INTEGER) AS x, v FROM g0), "
     "px AS (SELECT image_id, y, x, CAST(v > 0 AS INTEGER) AS label, round(1 / (1 + exp(-20 * v)), 9) AS p FROM grid)"
 )
 

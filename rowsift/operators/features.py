@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -172,18 +172,27 @@ def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def standardize_array(df: DataFrame, features: str, width: int) -> DataFrame:
-    """:func:`standardize` for an ARRAY<DOUBLE> column of known width, in one pass."""
+def fit_array_scaler(train: DataFrame, features: str, width: int) -> Callable[[DataFrame], DataFrame]:
+    """Learn mean and population std per entry of an ARRAY<DOUBLE> column, in one pass."""
     at = [F.element_at(features, i + 1).cast("double") for i in range(width)]
-    stats = df.agg(
+    stats = train.agg(
         F.array(*[F.avg(x) for x in at]).alias("m"), F.array(*[F.stddev_pop(x) for x in at]).alias("s")
     ).first()
     mean = F.array(*[F.lit(m) for m in stats["m"]])
     std = F.array(*[F.lit(s if round(s or 0.0, 12) > 0 else 1.0) for s in stats["s"]])
-    scaled = F.transform(
-        features, lambda v, i: (v - F.element_at(mean, i + 1)) / F.element_at(std, i + 1)
-    )
-    return df.withColumn(features, scaled)
+
+    def scale(df: DataFrame) -> DataFrame:
+        scaled = F.transform(
+            features, lambda v, i: (v - F.element_at(mean, i + 1)) / F.element_at(std, i + 1)
+        )
+        return df.withColumn(features, scaled)
+
+    return scale
+
+
+def standardize_array(df: DataFrame, features: str, width: int) -> DataFrame:
+    """:func:`standardize` for an ARRAY<DOUBLE> column of known width."""
+    return fit_array_scaler(df, features, width)(df)
 
 
 def reduce_dimensions(df: DataFrame, features: str, width: int, limit: int = 50) -> DataFrame:

@@ -26,7 +26,7 @@ from rowsift.operators.metrics import (
     roc_auc,
     roc_auc_macro,
 )
-from rowsift.operators.sampling import kfold
+from rowsift.operators.sampling import kfold, kfold_group
 
 #: Fits that may be in flight at once; each is itself a distributed job.
 PARALLEL_FITS = 4
@@ -204,12 +204,30 @@ def fit(spec: ModelSpec, train: DataFrame, n_classes: int = 0) -> Scorer:
     return fit_regressor(spec, train)
 
 
-def _over_folds(df: DataFrame, k: int, score_fold: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
-    """Union of ``score_fold(other folds, this fold)`` for every fold."""
+#: Learns a feature transformation on training rows and returns it.
+Featurizer = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
+
+
+def _over_folds(
+    df: DataFrame,
+    k: int,
+    score_fold: Callable[[DataFrame, DataFrame], DataFrame],
+    featurize: Featurizer | None = None,
+) -> DataFrame:
+    """Union of ``score_fold(other folds, this fold)`` for every fold.
+
+    ``featurize`` is learnt anew on the training part of each fold.
+    """
     held = materialize(df)
-    one = lambda f: score_fold(
-        held.filter(F.col("fold") != f).drop("fold"), held.filter(F.col("fold") == f).drop("fold")
-    )
+
+    def one(f: int) -> DataFrame:
+        train = held.filter(F.col("fold") != f).drop("fold")
+        test = held.filter(F.col("fold") == f).drop("fold")
+        if featurize:
+            ready = featurize(train)
+            train, test = ready(train), ready(test)
+        return score_fold(train, test)
+
     with ThreadPoolExecutor(min(k, PARALLEL_FITS)) as pool:
         parts = list(pool.map(one, range(k)))
     out = parts[0]
@@ -218,18 +236,23 @@ def _over_folds(df: DataFrame, k: int, score_fold: Callable[[DataFrame, DataFram
     return out
 
 
-def out_of_fold_probs(df: DataFrame, spec: ModelSpec, n_classes: int, k: int = 5, seed: int = 42) -> DataFrame:
+def out_of_fold_probs(
+    df: DataFrame, spec: ModelSpec, n_classes: int, k: int = 5, seed: int = 42, featurize: Featurizer | None = None
+) -> DataFrame:
     """Adds ``probs`` and ``predicted`` from models that never saw the row.
 
     A ``fold`` column in ``df`` is used as it is; otherwise folds are stratified.
     """
     folded = df if "fold" in df.columns else kfold(df, k, "label", seed=seed)
-    return _over_folds(folded, k, lambda train, test: fit_classifier(spec, train, n_classes)(test))
+    return _over_folds(folded, k, lambda train, test: fit_classifier(spec, train, n_classes)(test), featurize)
 
 
-def out_of_fold_predictions(df: DataFrame, spec: ModelSpec, k: int = 5, seed: int = 42) -> DataFrame:
+def out_of_fold_predictions(
+    df: DataFrame, spec: ModelSpec, k: int = 5, seed: int = 42, featurize: Featurizer | None = None
+) -> DataFrame:
+    """Adds ``predicted`` from regressors that never saw the row."""
     folded = df if "fold" in df.columns else kfold(df, k, seed=seed)
-    return _over_folds(folded, k, lambda train, test: fit_regressor(spec, train)(test))
+    return _over_folds(folded, k, lambda train, test: fit_regressor(spec, train)(test), featurize)
 
 
 def fit_binary_relevance(train: DataFrame, n_bits: int, max_iter: int = 500, bits: str = "y") -> Scorer:
@@ -278,9 +301,18 @@ def fit_binary_relevance(train: DataFrame, n_bits: int, max_iter: int = 500, bit
     return score
 
 
-def out_of_fold_bits(df: DataFrame, n_bits: int, k: int = 5, seed: int = 42) -> DataFrame:
+def out_of_fold_bits(
+    df: DataFrame, n_bits: int, k: int = 5, seed: int = 42, featurize: Featurizer | None = None
+) -> DataFrame:
+    """Adds ``p`` and ``yhat`` from bit models that never saw the row."""
     folded = df if "fold" in df.columns else kfold(df, k, seed=seed)
-    return _over_folds(folded, k, lambda train, test: fit_binary_relevance(train, n_bits)(test))
+    return _over_folds(folded, k, lambda train, test: fit_binary_relevance(train, n_bits)(test), featurize)
+
+
+def out_of_fold_tags(df: DataFrame, n_classes: int, k: int = 3, seed: int = 42, max_iter: int = 800) -> DataFrame:
+    """Adds ``probs`` from taggers that never saw the sentence."""
+    folded = df if "fold" in df.columns else kfold_group(df, "sent_id", k, seed)
+    return _over_folds(folded, k, lambda train, test: fit_token_tagger(train, n_classes, max_iter)(test))
 
 
 def fit_token_tagger(train: DataFrame, n_classes: int, max_iter: int = 800) -> Scorer:
@@ -347,9 +379,17 @@ def primary_name(task: str) -> tuple[str, ...]:
 
 
 def fit_and_score(
-    variant: str, spec: ModelSpec, train: DataFrame, test: DataFrame, n_classes: int = 0
+    variant: str,
+    spec: ModelSpec,
+    train: DataFrame,
+    test: DataFrame,
+    n_classes: int = 0,
+    featurize: Featurizer | None = None,
 ) -> DataFrame:
     """(variant, metric, value) rows of one fit."""
+    if featurize:
+        ready = featurize(train)
+        train, test = ready(train), ready(test)
     scored = materialize(fit(spec, train, n_classes)(test))
     return score_metrics(scored, spec.task, n_classes).select(F.lit(variant).alias("variant"), "metric", "value")
 
@@ -364,24 +404,33 @@ def variant_delta(metrics: DataFrame, task: str = "classification", baseline: st
 
 
 def clean_learning(
-    train: DataFrame, test: DataFrame, spec: ModelSpec, n_classes: int, k: int = 5
+    train: DataFrame,
+    test: DataFrame,
+    spec: ModelSpec,
+    n_classes: int,
+    k: int = 5,
+    featurize: Featurizer | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Find label issues by cross-validation, drop them, refit: (metrics, issues)."""
-    probs = materialize(out_of_fold_probs(train, spec, n_classes, k))
-    issues = materialize(flag_label_issues(probs.select("row_id", "label", "probs"), n_classes))
+    probs = materialize(out_of_fold_probs(train, spec, n_classes, k, featurize=featurize).select("row_id", "label", "probs"))
+    issues = materialize(flag_label_issues(probs, n_classes))
     kept = prune(train, issues)
-    return fit_and_score("clean_learning", spec, kept, test, n_classes), issues
+    return fit_and_score("clean_learning", spec, kept, test, n_classes, featurize), issues
 
 
 def sweep(
-    specs: Sequence[ModelSpec], train: DataFrame, test: DataFrame, n_classes: int = 0
+    specs: Sequence[ModelSpec],
+    train: DataFrame,
+    test: DataFrame,
+    n_classes: int = 0,
+    featurize: Featurizer | None = None,
 ) -> tuple[DataFrame, dict[str, str]]:
     """(variant = model, metric, value) of every model, and the errors of those that failed."""
     held_train, held_test = materialize(train), materialize(test)
     parts, errors = [], {}
     for spec in specs:
         try:
-            parts.append(materialize(fit_and_score(spec.name, spec, held_train, held_test, n_classes)))
+            parts.append(materialize(fit_and_score(spec.name, spec, held_train, held_test, n_classes, featurize)))
         except Exception as e:  # noqa: BLE001 - the other models go on
             errors[spec.name] = f"{type(e).__name__}: {e}".splitlines()[0]
     if not parts:
