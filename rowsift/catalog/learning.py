@@ -1,2 +1,221 @@
-QUERIES = {}
-ORACLE = {}
+"""Queries that fit models; iterative, so without SQL counterpart, and checked in tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rowsift.catalog import annotation, geometry, rows, tagging
+from rowsift.catalog.tables import low_points, noisy_points, points, read
+from rowsift.functions.hashing import hash_uniform
+from rowsift.functions.runtime import materialize
+from rowsift.operators import features, labels, models
+from rowsift.operators.sampling import stratified_split
+from rowsift.plans import general, tasks
+from rowsift.plans.configs import (
+    AnomalyConfig,
+    AuditConfig,
+    IssueConfig,
+    MulticlassConfig,
+    MultiannotatorConfig,
+    MultilabelConfig,
+    NoiseConfig,
+    OutlierConfig,
+    RegressionConfig,
+    TokenConfig,
+    VisionConfig,
+)
+
+
+def _spec(name="logistic_regression", **params):
+    return models.model_spec("classification", name, **params)
+
+
+def _parts(spark, sf_dir):
+    """part with numeric and categorical features and the price as label."""
+    p = read(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("row_id"), "p_size", "p_brand", "p_type", F.col("p_retailprice").alias("label"))
+
+
+def _part_vectors(spark, sf_dir):
+    df = _parts(spark, sf_dir)
+    return features.fit_preprocessor(df, ["p_size"], ["p_brand", "p_type"]).transform(df)
+
+
+def preprocess(spark, sf_dir):
+    out = _part_vectors(spark, sf_dir)
+    return out.select("row_id", F.posexplode("features").alias("pos", "v")).withColumn("v", F.round("v", 6))
+
+
+def reduce_dimensions(spark, sf_dir):
+    p = points(spark, sf_dir).select("row_id", "features")
+    out = features.reduce_dimensions(p, "features", 64)
+    return out.select("row_id", F.posexplode("features").alias("pos", "v")).withColumn("v", F.round("v", 6))
+
+
+def oof_probs(spark, sf_dir):
+    p = noisy_points(spark, sf_dir).select("row_id", "label", "features")
+    out = models.out_of_fold_probs(p, _spec(), 3)
+    return out.select("row_id", "label", "predicted", F.posexplode("probs").alias("k", "p"))
+
+
+def oof_forest(spark, sf_dir):
+    p = noisy_points(spark, sf_dir).select("row_id", "label", "features")
+    out = models.out_of_fold_probs(p, _spec("random_forest", trees=20, max_depth=6), 3)
+    return out.select("row_id", "label", "predicted", F.posexplode("probs").alias("k", "p"))
+
+
+def oof_regression(spark, sf_dir):
+    out = models.out_of_fold_predictions(_part_vectors(spark, sf_dir), models.model_spec("regression", "ridge"))
+    return out.select("row_id", "label", "predicted")
+
+
+def oof_bits(spark, sf_dir):
+    df = rows._bits(spark, sf_dir)
+    prep = features.fit_preprocessor(df, [], ["source"])
+    ready = prep.transform(df.select("row_id", "y", "source"))
+    out = models.out_of_fold_bits(ready, 3)
+    return out.select("row_id", F.posexplode("p").alias("bit", "p"))
+
+
+def bootstrap_quality(spark, sf_dir):
+    """Numeric label quality with out-of-fold predictions and bootstrap spread."""
+    df = materialize(_part_vectors(spark, sf_dir))
+    spec = models.model_spec("regression", "ridge")
+    oof = models.out_of_fold_predictions(df, spec).select("row_id", F.col("label").alias("y"), "predicted")
+    spread = models.bootstrap_spread(df, spec).select("row_id", "spread")
+    return labels.regression_quality(oof.join(spread, "row_id"))
+
+
+def variants(spark, sf_dir):
+    """Baseline against pruned and clean-learned training sets."""
+    df = stratified_split(noisy_points(spark, sf_dir), "label")
+    df = materialize(df.select("row_id", "features", "label", "is_test"))
+    train, test = df.filter("NOT is_test").drop("is_test"), df.filter("is_test").drop("is_test")
+    spec = _spec("knn")
+    base = models.fit_and_score("baseline", spec, train, test, 3)
+    oof = materialize(models.out_of_fold_probs(train, spec, 3).select("row_id", "label", "probs"))
+    bad = labels.worst_rows(labels.flag_label_issues(oof, 3), "score", labels.prune_size(train.count(), 0.1))
+    pruned = models.fit_and_score("pruned_retrain", spec, labels.prune(train, materialize(bad)), test, 3)
+    return models.variant_delta(base.unionByName(pruned))
+
+
+def clean_learning(spark, sf_dir):
+    df = stratified_split(noisy_points(spark, sf_dir), "label").select("row_id", "features", "label", "is_test")
+    df = materialize(df)
+    m, _ = models.clean_learning(df.filter("NOT is_test").drop("is_test"), df.filter("is_test").drop("is_test"), _spec(), 3)
+    return m
+
+
+def model_sweep(spark, sf_dir):
+    df = materialize(stratified_split(low_points(spark, sf_dir), "label"))
+    specs = [
+        _spec(),
+        _spec("random_forest", trees=20, max_depth=6),
+        _spec("hist_gradient_boosting", rounds=5),
+        _spec("knn"),
+    ]
+    m, _ = models.sweep(specs, df.filter("NOT is_test").drop("is_test"), df.filter("is_test").drop("is_test"), 3)
+    return m
+
+
+def audit_run(spark, sf_dir):
+    """The general run on documents: language from source and size, with planted label noise."""
+    docs = read(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("row_id"), "source", "n_chars",
+        F.size(F.split("text", r"\s+")).alias("n_words"),
+        (F.size(F.split("text", "[èéêàùç]")) - 1).alias("n_grave"),
+        (F.size(F.split("text", "[äöüß]")) - 1).alias("n_umlaut"),
+        (F.size(F.split("text", "[ñóíá¿]")) - 1).alias("n_acute"),
+        "lang",
+    )
+    config = AuditConfig(
+        model="logistic_regression",
+        model_params={"max_iter": 50},
+        issues=IssueConfig(cv_folds=3, prune_fraction=0.05),
+        noise=NoiseConfig(label_noise_fraction=0.05),
+    )
+    return general.run_audit(docs, "lang", config).summary_rows(spark)
+
+
+def multiclass_run(spark, sf_dir):
+    out = tasks.run_multiclass(low_points(spark, sf_dir), MulticlassConfig(noise_frac=0.1, prune_frac=0.1, cv_folds=3))
+    return out.summary_rows(spark)
+
+
+def multilabel_run(spark, sf_dir):
+    p = low_points(spark, sf_dir)
+    y = F.transform("features", lambda v: (v > 0).cast("int"))
+    out = tasks.run_multilabel(p.select("row_id", "features", y.alias("y")), 3, MultilabelConfig(noise_frac=0.1, cv_folds=3))
+    return out.summary_rows(spark)
+
+
+def token_run(spark, sf_dir):
+    """Half of the documents train the tagger, the other half score it; whole texts."""
+    t = tagging.tokens(spark, sf_dir)
+    half = hash_uniform(1, "half", "sent_id") < 0.5
+    config = TokenConfig(max_train_sentences=None, max_dev_sentences=None, noise_frac=0.05, cv_folds=2, max_iter=5)
+    return tasks.run_token(t.filter(half), t.filter(~half), config, vector_size=1 << 14).summary_rows(spark)
+
+
+def regression_run(spark, sf_dir):
+    config = RegressionConfig(model="ridge", noise_frac=0.05, cv_folds=3, prune_frac=0.05)
+    return tasks.run_regression(_part_vectors(spark, sf_dir), config).summary_rows(spark)
+
+
+def outlier_run(spark, sf_dir):
+    p = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_id"), "c_acctbal", F.col("c_nationkey").cast("double").alias("nation"))
+    return tasks.run_outlier(p, ["c_acctbal", "nation"], OutlierConfig(outlier_frac=0.02)).summary_rows(spark)
+
+
+def multiannotator_run(spark, sf_dir):
+    ann = annotation._raw(spark, sf_dir).withColumn("label", F.regexp_replace("label", "big_", ""))
+    stats = read(spark, sf_dir, "events").groupBy(F.get_json_object("props", "$.k").cast("bigint").alias("example_id")).agg(
+        F.avg("value").alias("m"), F.stddev_pop("value").alias("s"), F.max("value").alias("x")
+    )
+    feats = stats.select("example_id", F.array("m", "s", "x").alias("features"))
+    return tasks.run_multiannotator(ann, feats, MultiannotatorConfig(cv_folds=3)).summary_rows(spark)
+
+
+def vision_run(spark, sf_dir):
+    """Boxes and 8 x 8 masks of the embeddings; every image is used."""
+    pixels = geometry._pixels(spark, sf_dir)
+    images = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), F.lit(8).alias("width"), F.lit(8).alias("height"))
+    boxes = geometry.mask_boxes(spark, sf_dir).select(
+        "image_id", F.col("obj").cast("bigint").alias("box_id"), F.lit(0).alias("class_id"),
+        *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")],
+    )
+    pred = boxes.withColumn("score", hash_uniform(2, "score", "image_id", "box_id"))
+    masks = pixels.select("image_id", "y", "x", F.lit(0).alias("class_id"), F.lit(0.9).alias("score"), F.col("p").alias("m"))
+    config = VisionConfig(max_images=None, corrupt_frac=0.2)
+    return tasks.run_vision(images, boxes, pred, pixels.drop("p"), masks, 0, config).summary_rows(spark)
+
+
+def anomaly_run(spark, sf_dir):
+    from rowsift.catalog.graph import _injected
+
+    df = _injected(spark, sf_dir).select("row_id", "features", F.col("was_corrupted").cast("int").alias("ground_truth"))
+    return tasks.run_anomaly(df, AnomalyConfig(strategy="ensemble", contamination=0.05)).summary_rows(spark)
+
+
+QUERIES = {
+    "preprocess": preprocess,
+    "reduce_dimensions": reduce_dimensions,
+    "oof_probs": oof_probs,
+    "oof_forest": oof_forest,
+    "oof_regression": oof_regression,
+    "oof_bits": oof_bits,
+    "bootstrap_quality": bootstrap_quality,
+    "variants": variants,
+    "clean_learning": clean_learning,
+    "model_sweep": model_sweep,
+    "audit_run": audit_run,
+    "multiclass_run": multiclass_run,
+    "multilabel_run": multilabel_run,
+    "token_run": token_run,
+    "regression_run": regression_run,
+    "outlier_run": outlier_run,
+    "multiannotator_run": multiannotator_run,
+    "vision_run": vision_run,
+    "anomaly_run": anomaly_run,
+}
+ORACLE: dict[str, str] = {}

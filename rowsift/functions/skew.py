@@ -7,35 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsift.functions.runtime import checked_broadcast, row_count
-
-#: A key is hot when it holds more than one row in HOT_PARTS. By pigeonhole at
-#: most HOT_PARTS keys can be hot, which bounds what is broadcast.
-HOT_PARTS = 256
+#: At most this many keys are treated as hot; any other key holds less than one
+#: row in HOT_KEYS, so what is left for the shuffle has no heavy key.
+HOT_KEYS = 256
+#: Keys with fewer rows than this never need special care.
+HOT_ROWS = 100_000
 
 
 def skew_join(
-    big: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", min_rows: int = 200_000
+    big: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """``big`` join ``dim`` (unique on ``keys``); hot keys are joined by broadcast.
+    """``big`` join ``dim`` (unique on ``keys``); the heaviest keys are joined by broadcast.
 
-    The hot part of ``dim`` has at most ``HOT_PARTS`` rows, the rest is an
-    ordinary shuffled join without heavy keys. Tables under ``min_rows`` rows
-    take the plain join. Null keys never match.
+    One aggregate over ``big`` finds them. The broadcast part of ``dim`` has at
+    most ``HOT_KEYS`` rows; the rest is an ordinary shuffled join. Null keys
+    never match. Without heavy keys this is the plain join.
     """
     keys = list(keys)
-    n = row_count(big)
-    if n < min_rows:
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows)
+    found = counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys).collect()
+    if not found:
         return big.join(dim, keys, how)
-    hot = checked_broadcast(
-        big.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max(1, n // HOT_PARTS))
-        .select(*keys),
-        HOT_PARTS,
-    )
-    hot_rows = big.join(hot, keys, "left_semi").join(
+    hot = F.broadcast(big.sparkSession.createDataFrame(found, big.select(*keys).schema))
+    hot_rows_df = big.join(hot, keys, "left_semi").join(
         F.broadcast(dim.join(hot, keys, "left_semi")), keys, how
     )
     cold_rows = big.join(hot, keys, "left_anti").join(dim, keys, how)
-    return hot_rows.unionByName(cold_rows)
+    return hot_rows_df.unionByName(cold_rows)

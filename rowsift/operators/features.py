@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -205,9 +207,6 @@ def reduce_dimensions(df: DataFrame, features: str, width: int, limit: int = 50)
         raise ValueError("no_features")
     if width <= limit:
         return df
-    import numpy as np
-    import pandas as pd
-
     keep = min(limit, max(2, width - 1))
 
     def partial_gram(batches):
