@@ -57,8 +57,8 @@ def near_duplicates(edges: DataFrame) -> DataFrame:
 def row_positions(df: DataFrame, order: Sequence[str], id_col: str = "row_id") -> DataFrame:
     """(row_id, pos): 0-based position of each row in the caller's order."""
     cols = list(dict.fromkeys([*order, id_col]))
-    ranked = range_rank(df.select(*cols), [F.col(c) for c in cols], out="pos")
-    return ranked.select(F.col(id_col).alias("row_id"), (F.col("pos") - 1).alias("pos"))
+    ranked = range_rank(df.select(*cols), [F.col(c) for c in cols], out="_nth")
+    return ranked.select(F.col(id_col).alias("row_id"), (F.col("_nth") - 1).alias("pos"))
 
 
 def _background(gap, n: int):

@@ -94,7 +94,13 @@ def _nearest_in_block(keep: int):
                 out_b.append(k[kept])
                 out_d.append(dist[kept])
         if not out_q:
-            return pd.DataFrame({"qid": [], "members": [], "dist": []})
+            return pd.DataFrame(
+                {
+                    "qid": pd.Series(dtype="int64"),
+                    "members": pd.Series(dtype="object"),
+                    "dist": pd.Series(dtype="float64"),
+                }
+            )
         picked = np.concatenate(out_b)
         return pd.DataFrame(
             {
