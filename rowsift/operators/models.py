@@ -93,7 +93,8 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, n_classes: int) -> Scorer:
 
         def one(k: int):
             binary = ready.withColumn("_y", (F.col("_y") == k).cast("double"))
-            return C.GBTClassifier(**names, **model, probabilityCol=f"_p{k}", rawPredictionCol=f"_r{k}").fit(binary)
+            booster = C.GBTClassifier(**names, **model).setProbabilityCol(f"_p{k}").setRawPredictionCol(f"_r{k}")
+            return booster.fit(binary)
 
         if n_classes == 2:
             fitted = [one(1)]
