@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rowsift.catalog.tables import read, sql_key, sql_pick, sql_uniform, sql_word
 from rowsift.functions.hashing import hash_below, hash_key, hash_uniform
 from rowsift.functions.ranking import pick_smallest
-from rowsift.functions.runtime import materialize
+from rowsift.functions.runtime import materialize, spread
 from rowsift.operators import metrics, vision
 
 WIDTH, HEIGHT = 640, 480
@@ -15,7 +15,8 @@ FRAC = 0.2
 
 
 def _truth(spark, sf_dir):
-    line = read(spark, sf_dir, "lineitem")
+    line = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    line = spread(line, "l_orderkey")
     x1 = (F.col("l_partkey") * 37 % 560).cast("double")
     y1 = (F.col("l_suppkey") * 53 % 400).cast("double")
     return line.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowsift.catalog.tables import read, sql_key, sql_pick, sql_uniform, sql_word
 from rowsift.functions.arrays import active_codes, multi_hot
+from rowsift.functions.runtime import materialize, spread
 from rowsift.functions.skew import skew_join
 from rowsift.functions.text import title_year
 from rowsift.operators import corruption, features, labels, metrics, sampling
@@ -18,9 +19,10 @@ LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem columns with a text row_id made of its key."""
-    return read(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", *LINE_KEY).alias("row_id"), "l_returnflag", "l_quantity", "l_extendedprice", "l_discount"
+    lines = read(spark, sf_dir, "lineitem").select(
+        *LINE_KEY, "l_returnflag", "l_quantity", "l_extendedprice", "l_discount"
     )
+    return spread(lines, "l_orderkey").withColumn("row_id", F.concat_ws("-", *LINE_KEY)).drop(*LINE_KEY)
 
 
 _SQL_LINES = (
@@ -222,7 +224,8 @@ def _sql_multilabel() -> str:
 
 def _fold_means(spark, sf_dir):
     """Target, out-of-fold mean price of the same quantity, and its spread over folds."""
-    df = sampling.kfold(_lines(spark, sf_dir), 5).select("row_id", "l_quantity", "fold", F.col("l_extendedprice").alias("y"))
+    df = sampling.kfold(_lines(spark, sf_dir), 5)
+    df = materialize(df.select("row_id", "l_quantity", "fold", F.col("l_extendedprice").alias("y")))
     per = df.groupBy("l_quantity", "fold").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("y"), 2).alias("s"))
     tot = per.groupBy("l_quantity").agg(F.sum("n").alias("tn"), F.round(F.sum("s"), 2).alias("ts"))
     left_out = per.join(tot, "l_quantity").withColumn(
@@ -230,7 +233,8 @@ def _fold_means(spark, sf_dir):
     )
     spread = left_out.groupBy("l_quantity").agg(F.round(F.stddev_pop("predicted"), 6).alias("spread"))
     table = left_out.join(spread, "l_quantity").select("l_quantity", "fold", "predicted", "spread")
-    return skew_join(df, table, ["l_quantity", "fold"]).select("row_id", "y", "predicted", "spread")
+    counts = per.select("l_quantity", "fold", F.col("n").alias("_n"))
+    return skew_join(df, table, ["l_quantity", "fold"], counts=counts).select("row_id", "y", "predicted", "spread")
 
 
 _SQL_FOLD_MEANS = (

@@ -16,7 +16,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsift.functions.runtime import checked_broadcast, collect_small, materialize, row_count
+from rowsift.functions.runtime import (
+    SMALL_ROWS,
+    checked_broadcast,
+    collect_small,
+    materialize,
+    row_count,
+)
 
 #: Digits kept of a double that is used as a sort key or is compared.
 KEY_DIGITS = 9
@@ -25,6 +31,11 @@ _ROWS_PER_PREFIX = 4096
 _LOCAL_ROWS = 1_000_000
 
 
+def sort_key(x: Column) -> Column:
+    """``x`` in units of 10**-KEY_DIGITS, for comparing; far cheaper than rounding a double."""
+    return F.rint(x * F.lit(10.0**KEY_DIGITS))
+
+
 def group_counts(df: DataFrame, groups: Sequence[str]) -> dict[tuple, int]:
     """Rows per group as a driver dict; groups are classes or strata, so few."""
     if not groups:
@@ -139,15 +150,22 @@ def pick_smallest(
 
 
 def range_rank(
-    df: DataFrame, order: Sequence[Column], groups: Sequence[str] = (), out: str = "rank"
+    df: DataFrame,
+    order: Sequence[Column],
+    groups: Sequence[str] = (),
+    out: str = "rank",
+    rows: int | None = None,
 ) -> DataFrame:
     """Exact 1-based rank of every row inside its group, by ``order``.
 
     ``order`` must end in a unique column. One range shuffle and sort; the
     partition layout is frozen by a checkpoint and ranks are partition offset
-    plus position, so no window ever holds a whole group.
+    plus position, so no window ever holds a whole group. When the caller knows
+    that there are at most SMALL_ROWS ``rows`` an ordinary window does.
     """
     groups = list(groups)
+    if rows is not None and rows <= SMALL_ROWS:
+        return df.withColumn(out, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
     shift, mask = 33, (1 << 33) - 1
     laid = materialize(
         df.repartitionByRange(*[F.col(g) for g in groups], *order)
@@ -225,7 +243,7 @@ def top_ranked(
     base = df.withColumn("_v", signed)
     stats = base.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_total"),
-        F.percentile_approx("_v", [i / grid for i in range(grid + 1)], 5000).alias("_grid"),
+        F.percentile_approx("_v", [i / grid for i in range(grid + 1)], 4000).alias("_grid"),
         F.max("_v").alias("_worst"),
     )
     def bar(total: Column, wanted: Column) -> Column:
@@ -239,17 +257,19 @@ def top_ranked(
             stats = stats.withColumn("_n", F.lit(n))
         else:
             stats = _null_safe_join(stats, n, groups)
-        bars = checked_broadcast(
-            stats.filter("_n > 0").select(
-                *groups, "_n", bar(F.col("_total"), F.col("_n")).alias("_bar")
-            )
-        )
-        survivors = _null_safe_join(base, bars, groups)
+        stats = stats.filter("_n > 0").withColumn("_bar", bar(F.col("_total"), F.col("_n")))
+        found = collect_small(stats.select(*groups, "_n", "_bar", "_total"))
+        if not found:
+            return df.limit(0)
+        bars = df.sparkSession.createDataFrame(found, stats.select(*groups, "_n", "_bar", "_total").schema)
+        total = sum(r["_total"] for r in found)
+        survivors = _null_safe_join(base, F.broadcast(bars.drop("_total")), groups)
     else:
-        limit = stats.select(bar(F.col("_total"), F.lit(n)).alias("b")).first()["b"]
-        survivors = base.withColumns({"_n": F.lit(n), "_bar": F.lit(limit)})
+        found = stats.select("_total", bar(F.col("_total"), F.lit(n)).alias("_bar")).first()
+        total = found["_total"]
+        survivors = base.withColumns({"_n": F.lit(n), "_bar": F.lit(found["_bar"])})
     survivors = survivors.filter(F.col("_v") <= F.col("_bar")).drop("_bar")
-    ranked = range_rank(survivors, [F.col("_v"), F.col(id_col)], groups, "_rank")
+    ranked = range_rank(survivors, [F.col("_v"), F.col(id_col)], groups, "_rank", rows=total)
     return ranked.filter(F.col("_rank") <= F.col("_n")).drop("_rank", "_v", "_n")
 
 

@@ -57,3 +57,13 @@ def checked_broadcast(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
 
 def row_count(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition an input that arrives in fewer partitions than there are cores.
+
+    A large table already comes in many splits and passes unchanged; a small
+    file in one split would otherwise keep all but one core idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -15,17 +15,24 @@ HOT_ROWS = 100_000
 
 
 def skew_join(
-    big: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", hot_rows: int = HOT_ROWS
+    big: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """``big`` join ``dim`` (unique on ``keys``); the heaviest keys are joined by broadcast.
 
-    One aggregate over ``big`` finds them. The broadcast part of ``dim`` has at
+    One aggregate over ``big`` finds them, unless ``counts`` (keys..., _n) already
+    holds the rows per key. The broadcast part of ``dim`` has at
     most ``HOT_KEYS`` rows; the rest is an ordinary shuffled join. Null keys
     never match. Without heavy keys this is the plain join.
     """
     keys = list(keys)
-    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= hot_rows)
-    found = counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys).collect()
+    if counts is None:
+        counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.filter(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys).collect()
     if not found:
         return big.join(dim, keys, how)
     hot = F.broadcast(big.sparkSession.createDataFrame(found, big.select(*keys).schema))

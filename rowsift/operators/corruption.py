@@ -27,8 +27,8 @@ def _pick(df: DataFrame, frac: float, id_col: str, seed: int, tag: str, truncate
 def _other_class(label: Column, classes: list, draw: Column) -> Column:
     """The ``draw``-th class that is not the present one."""
     known = F.array(*[F.lit(c) for c in classes])
-    rest = F.filter(known, lambda c: c != label)
-    return F.element_at(rest, draw + 1)
+    present = F.array_position(known, label) - 1
+    return F.element_at(known, F.when(draw >= present, draw + 2).otherwise(draw + 1))
 
 
 def flip_labels(

@@ -12,8 +12,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsift.functions.arrays import argmax, prob_at, safe_divide
-from rowsift.functions.ranking import KEY_DIGITS, top_ranked
-from rowsift.functions.runtime import collect_small
+from rowsift.functions.ranking import KEY_DIGITS, exact_percentile, sort_key, top_ranked
+from rowsift.functions.runtime import collect_small, materialize
+
+
+#: Up to this many classes the search for the confident class is plain generated
+#: code; beyond it, an array function.
+_UNROLL = 32
 
 
 def self_confidence(df: DataFrame) -> DataFrame:
@@ -43,8 +48,8 @@ def _with_confident(df: DataFrame, n_classes: int, by: Sequence[str], threshold:
     """
     table: dict[tuple, list] = {}
     for r in collect_small(class_thresholds(df, by, threshold)):
-        bars = table.setdefault(tuple(r[b] for b in by), [2.0] * n_classes)
-        bars[r["label"]] = r["threshold"]
+        bars = table.setdefault(tuple(r[b] for b in by), [float("inf")] * n_classes)
+        bars[r["label"]] = float(round(r["threshold"] * 10**KEY_DIGITS))
     if by:
         schema = ", ".join(f"`{b}` {df.schema[b].dataType.simpleString()}" for b in by)
         bars = df.sparkSession.createDataFrame(
@@ -52,18 +57,15 @@ def _with_confident(df: DataFrame, n_classes: int, by: Sequence[str], threshold:
         )
         df = df.join(F.broadcast(bars), list(by))
     else:
-        df = df.withColumn("_bars", F.array(*[F.lit(t) for t in table.get((), [2.0] * n_classes)]))
-    sure = F.filter(
-        F.transform(
-            "probs",
-            lambda p, i: F.when(
-                F.round(p, KEY_DIGITS) >= F.element_at("_bars", i + 1),
-                F.struct(F.round(p, KEY_DIGITS).alias("p"), (-i).alias("neg")),
-            ),
-        ),
-        lambda s: s.isNotNull(),
-    )
-    best = F.array_max(sure)
+        df = df.withColumn("_bars", F.array(*[F.lit(t) for t in table.get((), [float("inf")] * n_classes)]))
+    seen = lambda p, i: F.struct(sort_key(p).alias("p"), (-i).alias("neg"))
+    passes = lambda p, i: sort_key(p) >= F.element_at("_bars", i + 1)
+    if 2 <= n_classes <= _UNROLL:
+        at = [(F.element_at("probs", i + 1), F.lit(i)) for i in range(n_classes)]
+        best = F.greatest(*[F.when(passes(p, i), seen(p, i)) for p, i in at])
+    else:
+        sure = F.transform("probs", lambda p, i: F.when(passes(p, i), seen(p, i)))
+        best = F.array_max(F.filter(sure, lambda x: x.isNotNull()))
     return df.withColumn("confident", -best["neg"]).drop("_bars")
 
 
@@ -121,14 +123,15 @@ def flag_label_issues(
     if filter_by == "confident_joint":
         hits = _with_confident(df, n_classes, by, threshold).filter("confident <> label")
         return _issue_rows(hits.filter(wrong), by, id_col)
-    rates = noise_rates(confident_joint(df, n_classes, by, threshold), class_sizes(df, by), by)
-    totals = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_all")) if by else None
-    off = rates.filter("label <> confident")
+    sizes = collect_small(class_sizes(df, by))
+    size_table = df.sparkSession.createDataFrame(sizes, class_sizes(df, by).schema) if sizes else class_sizes(df, by)
+    rates = noise_rates(confident_joint(df, n_classes, by, threshold), size_table, by)
     if by:
-        off = off.join(F.broadcast(totals), by)
-        size = F.col("joint") * F.col("_all")
+        totals = size_table.groupBy(*by).agg(F.sum("class_n").alias("_all"))
+        off = rates.join(F.broadcast(totals), by).filter("label <> confident")
     else:
-        size = F.col("joint") * F.lit(df.count())
+        off = rates.filter("label <> confident").withColumn("_all", F.lit(sum(r["class_n"] for r in sizes)))
+    size = F.col("joint") * F.col("_all")
     cells = off.withColumn("_n", F.bround(F.round(size, 6), 0).cast("bigint")).filter("_n > 0")
     if filter_by == "by_class":
         n_table = cells.groupBy(*by, "label").agg(F.sum("_n").alias("_n"))
@@ -149,7 +152,7 @@ def flag_label_issues(
     long = (
         slim.join(F.broadcast(others), [*by, "label"])
         .withColumn("_other", F.explode("_others"))
-        .withColumn("_margin", F.round(prob_at("probs", "_other") - prob_at("probs", "label"), KEY_DIGITS))
+        .withColumn("_margin", sort_key(prob_at("probs", "_other") - prob_at("probs", "label")))
         .select(*by, id_col, "label", "_other", "_margin", wrong.alias("_wrong"),
                 argmax("probs").alias("_best"), prob_at("probs", "label").alias("_p"))
     )
@@ -217,8 +220,9 @@ def sentence_scores(tokens: DataFrame, how: str = "min", sent: str = "sent_id")
     """(sent_id, score): minimum or mean token self-confidence."""
     if how not in ("min", "mean"):
         raise ValueError(f"unknown sentence score: {how}")
-    p = F.round(prob_at("probs", "label"), KEY_DIGITS)
-    return tokens.groupBy(sent).agg((F.min(p) if how == "min" else F.avg(p)).alias("score"))
+    p = prob_at("probs", "label")
+    score = F.min(p) if how == "min" else F.avg(p)
+    return tokens.groupBy(sent).agg(F.round(score, KEY_DIGITS).alias("score"))
 
 
 # -- numeric targets ---------------------------------------------------------
@@ -236,16 +240,16 @@ def regression_quality(
 
     Score 1 / (1 + |residual| / spread); the lowest ``flag_share`` is flagged.
     """
-    from rowsift.functions.ranking import exact_percentile
-
     z = F.abs(F.col(target) - F.col(predicted)) / F.greatest(
         F.col(spread) if isinstance(spread, str) else spread, F.lit(1e-12)
     )
-    scored = df.select(
-        F.col(id_col),
-        F.col(target).alias("label"),
-        F.col(predicted).alias("predicted_label"),
-        F.round(1 / (1 + z), KEY_DIGITS).alias("label_score"),
+    scored = materialize(
+        df.select(
+            F.col(id_col),
+            F.col(target).alias("label"),
+            F.col(predicted).alias("predicted_label"),
+            F.round(1 / (1 + z), KEY_DIGITS).alias("label_score"),
+        )
     )
     bar = exact_percentile(scored, "label_score", flag_share)
     return scored.withColumn("is_label_issue", F.col("label_score") < F.lit(bar))

@@ -96,14 +96,19 @@ def kfold(
     groups = [label] if label else []
     key = hash_key(seed, "fold", id_col)
     cuts = cut_points(df, key, lambda sizes: {g: _fold_ends(n, k) for g, n in sizes.items()}, groups)
-    return _fold_from_cuts(cut_column(df, cuts, groups), key, out)
+    return _fold_from_cuts(cut_column(df, cuts, groups), key, k, out)
 
 
-def _fold_from_cuts(df: DataFrame, key: Column, out: str) -> DataFrame:
+def _fold_from_cuts(df: DataFrame, key: Column, k: int, out: str) -> DataFrame:
+    """Number of cut keys below the row's key, as k - 1 plain comparisons."""
     row_key = "_fold_key"
+    above = [
+        F.coalesce((F.col(row_key) > F.try_element_at("_cuts", F.lit(i + 1))).cast("int"), F.lit(0))
+        for i in range(k - 1)
+    ]
     return (
         df.withColumn(row_key, key)
-        .withColumn(out, F.size(F.filter("_cuts", lambda c: c < F.col(row_key))).cast("int"))
+        .withColumn(out, sum(above, F.lit(0)))
         .drop(row_key, "_cuts")
     )
 
@@ -118,7 +123,7 @@ def kfold_group(
     """
     key = hash_key(seed, "fold", group)
     cuts = cut_points(df.select(group).distinct(), key, lambda s: {(): _fold_ends(s[()], k)})
-    return _fold_from_cuts(cut_column(df, cuts, []), key, out)
+    return _fold_from_cuts(cut_column(df, cuts, []), key, k, out)
 
 
 def usable_folds(df: DataFrame, label: str, k: int) -> int:
