@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rowsift.functions.arrays import argmax, prob_at
 from rowsift.functions.ranking import KEY_DIGITS
+from rowsift.functions.runtime import checked_broadcast
 from rowsift.functions.skew import skew_join
 from rowsift.operators.features import encode, label_codes
 
@@ -51,7 +52,7 @@ def consensus(df: DataFrame) -> DataFrame:
     """
     votes = vote_counts(df)
     overall = votes.groupBy("label").agg(F.sum("votes").alias("overall"))
-    ranked = votes.join(F.broadcast(overall), "label")
+    ranked = votes.join(checked_broadcast(overall), "label")
     best = F.max(F.struct("votes", "overall", (-F.col("label")).alias("neg")))
     return (
         ranked.groupBy("example_id")

@@ -85,7 +85,7 @@ def noise_rates(joint: DataFrame, label_counts: DataFrame, by: Sequence[str] = (
     row = Window.partitionBy(*by, "label")
     column = Window.partitionBy(*by, "confident")
     every = Window.partitionBy(*by)
-    sized = joint.join(F.broadcast(label_counts), [*by, "label"])
+    sized = joint.join(label_counts, [*by, "label"])
     scaled = sized.withColumn("_s", F.col("n") / F.sum("n").over(row) * F.col("class_n"))
     q = scaled.withColumn("joint", F.col("_s") / F.sum("_s").over(every))
     return q.select(

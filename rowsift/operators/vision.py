@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rowsift.functions.hashing import hash_below, hash_key, hash_uniform
 from rowsift.functions.ranking import KEY_DIGITS
+from rowsift.functions.skew import skew_join
 
 CORNERS = ("x1", "y1", "x2", "y2")
 #: IoU limits: below LOW there is no match, at or above HIGH the match is good.
@@ -60,7 +61,7 @@ def corrupt_boxes(
         (hash_below(2 * reach + 1, seed, "dx", "image_id") - reach).alias("_dx"),
         (hash_below(2 * reach + 1, seed, "dy", "image_id") - reach).alias("_dy"),
     ).join(lost, "image_id")
-    joined = boxes.join(plan, "image_id", "left").filter(
+    joined = skew_join(boxes, plan, ["image_id"], "left").filter(
         ~F.coalesce(F.col("_drop") & (box_key == F.col("_lost")), F.lit(False))
     )
     moved = F.coalesce(~F.col("_drop"), F.lit(False))
@@ -97,7 +98,7 @@ def corrupt_mask(pixels: DataFrame, images: DataFrame, seed: int = 42) -> DataFr
     )
     filled = pixels.groupBy("image_id").agg(F.max("label").alias("_any")).filter(F.col("_any") > 0)
     rect = rect.join(filled.select("image_id"), "image_id", "left_semi")
-    joined = pixels.join(rect, "image_id", "left")
+    joined = skew_join(pixels, rect, ["image_id"], "left")
     hit = (
         F.col("y").between(F.col("_y0"), F.col("_y0") + F.col("_rh") - 1)
         & F.col("x").between(F.col("_x0"), F.col("_x0") + F.col("_rw") - 1)
@@ -172,14 +173,14 @@ def box_issues(truth: DataFrame, pred: DataFrame, tile: float = 64.0) -> DataFra
         F.max(F.when(~same, F.col("iou"))).alias("best_other"),
     )
     zero = lambda c: F.coalesce(c, F.lit(0.0))
-    t = truth.join(best, key, "left").withColumns({c: zero(c) for c in ("best", "best_same", "best_other")})
+    t = skew_join(truth, best, key, "left").withColumns({c: zero(c) for c in ("best", "best_same", "best_other")})
     t_issue = (
         F.when(F.col("best") < IOU_LOW, "missing")
         .when((F.col("best_other") >= IOU_HIGH) & (F.col("best_same") < IOU_HIGH), "swapped")
         .when((F.col("best_same") >= IOU_LOW) & (F.col("best_same") < IOU_HIGH), "badly_located")
     )
     seen = pairs.groupBy(*by_side("p")).agg(F.max("iou").alias("best"))
-    p = pred.join(seen, key, "left")
+    p = skew_join(pred, seen, key, "left")
     p_issue = F.when((zero("best") < IOU_LOW) & (F.col("score") >= SURE), "overlooked")
     out = t.select("image_id", "box_id", F.lit("truth").alias("side"), t_issue.alias("issue")).unionByName(
         p.select("image_id", "box_id", F.lit("prediction").alias("side"), p_issue.alias("issue"))
