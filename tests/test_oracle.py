@@ -14,14 +14,20 @@ from tests.conftest import SF  # noqa: E402
 from tools.check_oracle import compare, connect  # noqa: E402
 
 
+#: The smallest events table has too few labels per annotator for this query,
+#: which then rightly raises; it is compared on the next larger tables.
+LARGER = {"dense_annotations": "/root/testdata/sf0.01"}
+
+
 @pytest.fixture(scope="module")
-def con():
-    return connect(SF)
+def connections():
+    return {d: connect(d) for d in {SF, *LARGER.values()}}
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
-def test_matches_sql(spark, con, name):
-    ok, text = compare(spark, con, name, SF)
+def test_matches_sql(spark, connections, name):
+    sf_dir = LARGER.get(name, SF)
+    ok, text = compare(spark, connections[sf_dir], name, sf_dir)
     assert ok, text
 
 
