@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowsift.llm import bpe, line_dedup, quality_rules
+from rowsift.llm import bpe, line_dedup, mixing, near_dup, quality_rules
 from rowsift.llm.common import documents, written
 
 
@@ -23,12 +23,22 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs, line_dedup.build_state(docs))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dup.keep_one(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them; repeats are rows of their own."""
+    return mixing.take(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document that was left, as digests of ids and decoded text."""
     return bpe.encode_table(spark, docs)
 
 
-STAGES = [("quality_rules", quality), ("line_dedup", lines), ("bpe", encode)]
+STAGES = [("quality_rules", quality), ("line_dedup", lines), ("near_dup", near_duplicates), ("mixing", mixture), ("bpe", encode)]
 #: Rules are learned and documents drawn by seeded hashes, which SQL cannot express.
 ORACLE_SQL = None
 
