@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,28 @@ from pyspark.sql import functions as F
 SMALL_ROWS = 100_000
 
 
+_SHIPPED = "rowsift.zip"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark application.
+
+    The archive is built beside the driver; Spark's own file service delivers it.
+    """
+    sc = spark.sparkContext
+    if any(os.path.basename(f) == _SHIPPED for f in sc.listFiles):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="rowsift-code-"), _SHIPPED)
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+
+
 def _checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
