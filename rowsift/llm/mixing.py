@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsift.llm.common import free_name, text_or_empty, words, written
+from rowsift.llm.common import text_or_empty, words, written
 
 #: Most patterns that may come to the driver for the flow; beyond it the plan is refused.
 MAX_PATTERNS = 20_000
@@ -40,6 +40,8 @@ MOST = 2
 COSTS = (0, 1)
 SEED = 20240611
 DIGIT_BITS = 12
+#: A pattern that lacks more than this part of what it is to give gets single documents more, so many at most.
+TOLERANCE, FILLS = 0.002, 6
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> list[float]:
@@ -171,11 +173,12 @@ def _digit(level: int) -> Column:
 
 
 def _hash_cut(rows: DataFrame, wanted: DataFrame, levels: int = 2) -> DataFrame:
-    """(pattern, cut): rows whose hash is below the cut hold about the words wanted.
+    """(pattern, cut, picks): rows whose hash is below the cut or one of the picks hold about the words wanted.
 
     ``rows``: pattern, h, size. ``wanted``: pattern, need. Each level sums the sizes by
     the next digit of the hash and goes into the one bucket where the need is met;
-    what is then left, about a 2**24th of a pattern, is summed row by row.
+    what is then left, about a 2**24th of a pattern, is summed row by row. What the rows
+    below the cut still lack is filled by a few other rows, each the closest in size.
     """
     from pyspark.sql import Window
 
@@ -195,11 +198,37 @@ def _hash_cut(rows: DataFrame, wanted: DataFrame, levels: int = 2) -> DataFrame:
     left = rows.join(F.broadcast(state), "pattern").filter(F.shiftright("h", shift) == F.col("prefix"))
     tied = left.groupBy("pattern", "need", "h").agg(F.sum("size").alias("s"))
     upto = F.sum("s").over(Window.partitionBy("pattern").orderBy("h"))
-    # the first hash that would overshoot by more than half its words is the cut
-    over = tied.withColumn("u", upto).filter("u - s / 2 > need")
-    ends = over.groupBy("pattern").agg(F.min("h").alias("cut"))
-    full = F.shiftleft(F.col("prefix") + 1, shift)
-    return state.join(ends, "pattern", "left").select("pattern", F.coalesce("cut", full).alias("cut"))
+    over = tied.withColumn("u", upto).filter("u > need")
+    ends = written(
+        over.groupBy("pattern")
+        .agg(F.min("h").alias("cut"), F.min_by(F.col("need") - F.col("u") + F.col("s"), "h").alias("lack"))
+        .join(F.broadcast(wanted), "pattern")
+        .select("pattern", "need", "cut", "lack", F.array().cast("array<bigint>").alias("picks")),
+        "mix-ends",
+    )
+    for _ in range(FILLS):
+        # a row per pattern; those that lack more than the tolerance get one more document
+        open_ = ends.filter(F.col("lack") > F.col("need") * TOLERANCE)
+        if open_.isEmpty():
+            break
+        miss = F.abs(F.col("size") - F.col("lack"))
+        fill = (
+            rows.join(F.broadcast(open_), "pattern")
+            .filter((F.col("h") >= F.col("cut")) & ~F.array_contains("picks", F.col("h")) & (miss < F.col("lack")))
+            .groupBy("pattern")
+            .agg(F.min(F.struct(miss.alias("m"), F.col("h").alias("h"), F.col("size").alias("size"))).alias("x"))
+        )
+        ends = written(
+            ends.join(F.broadcast(fill), "pattern", "left").select(
+                "pattern",
+                "need",
+                "cut",
+                (F.col("lack") - F.coalesce("x.size", F.lit(0))).alias("lack"),
+                F.when(F.col("x").isNull(), F.col("picks")).otherwise(F.concat("picks", F.array("x.h"))).alias("picks"),
+            ),
+            "mix-ends",
+        )
+    return ends.select("pattern", "cut", "picks")
 
 
 def mix(
@@ -209,13 +238,14 @@ def mix(
     costs: Sequence[int] = COSTS,
     seed: int = SEED,
     max_patterns: int = MAX_PATTERNS,
-) -> tuple[DataFrame, list[dict]]:
+) -> tuple[DataFrame, DataFrame, list[dict]]:
     """Decide how often each document is taken.
 
     ``docs``: doc_id, size (long). ``sources``: array of the row's sources, as strings; a
     null source inside is one of its own. ``quotas``: function from the list of
     (sources, size) patterns to a dict of words by source. Returns (doc_id, pattern,
-    size, copies) and, for each pattern, its sources, size and flows.
+    size, copies), the rule (pattern, whole, cut, picks) that gave the copies and, for
+    each pattern, its sources, size and flows.
     """
     # a null source and one of any name can't be mixed up: names get a letter in front
     marked = F.array_sort(F.array_distinct(F.transform(sources, lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit("~")))))
@@ -245,9 +275,17 @@ def mix(
         "pattern long, whole long, need long",
     )
     cut = _hash_cut(rows.select("pattern", "h", "size"), F.broadcast(base.filter("need > 0").select("pattern", "need")))
-    chosen = rows.join(F.broadcast(base), "pattern").join(F.broadcast(cut), "pattern", "left")
-    copies = F.col("whole") + F.when(F.col("need") > 0, (F.col("h") < F.col("cut")).cast("long")).otherwise(F.lit(0))
-    return chosen.select("doc_id", "pattern", "size", copies.alias("copies")), plan
+    rule = written(
+        base.join(F.broadcast(cut), "pattern", "left").select("pattern", "whole", F.coalesce("cut", F.lit(0)).alias("cut"), F.coalesce("picks", F.array().cast("array<bigint>")).alias("picks")),
+        "mix-rule",
+    )
+    chosen = rows.join(F.broadcast(rule), "pattern")
+    return chosen.select("doc_id", "pattern", "size", _copies().alias("copies")), rule, plan
+
+
+def _copies() -> Column:
+    """How often a row is taken, from its hash h and its pattern's rule."""
+    return F.col("whole") + ((F.col("h") < F.col("cut")) | F.array_contains("picks", F.col("h"))).cast("long")
 
 
 def _order(sources) -> list:
@@ -273,7 +311,7 @@ def sized(docs: DataFrame) -> DataFrame:
 
 def mix_by_source(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row of documents."""
-    chosen, plan = mix(sized(docs), F.array("source"), quotas_by_weight(), seed=seed)
+    chosen, _, plan = mix(sized(docs), F.array("source"), quotas_by_weight(), seed=seed)
     names = [(next(iter(p["sources"])), p) for p in plan]
     order = {s: i for i, s in enumerate(_order([s for s, _ in names]))}
     names.sort(key=lambda x: order[x[0]])
@@ -287,17 +325,14 @@ def mix_by_source(docs: DataFrame, seed: int = SEED) -> DataFrame:
 
 
 def take(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mix itself: rows of ``docs`` as often as they are taken, columns unchanged."""
-    chosen, plan = mix(sized(docs), F.array("source"), quotas_by_weight(), seed=seed)
-    # whole repetitions and hash cut, per source, decide a row where it stands; no text is shuffled
-    decided = chosen.groupBy("pattern").agg(F.min("copies").alias("least"), F.max("copies").alias("greatest"))
-    extra = chosen.join(F.broadcast(decided), "pattern").filter("copies > least").select("doc_id", "pattern")
-    h, least, cut, pattern = (free_name(docs.columns, n) for n in ("mix_h", "mix_least", "mix_cut", "mix_pattern"))
-    own = _hash(seed, F.col("doc_id").cast("string"))
-    edge = extra.groupBy("pattern").agg((F.max(own) + 1).alias("cut"))
-    rule = F.broadcast(decided.join(edge, "pattern", "left").select(F.col("pattern").alias(pattern), F.col("least").alias(least), F.coalesce("cut", F.lit(0)).alias(cut)))
+    """The mix itself: rows of ``docs`` as often as they are taken, columns unchanged.
+
+    The rule decides a row where it stands; no text is shuffled.
+    """
+    _, rule, _ = mix(sized(docs), F.array("source"), quotas_by_weight(), seed=seed)
     marked = F.array(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~")))
-    rows = docs.withColumn(pattern, F.xxhash64(marked)).withColumn(h, own).join(rule, pattern)
-    copies = (F.col(least) + (F.col(h) < F.col(cut)).cast("long")).cast("int")
-    kept = rows.withColumn(h, copies).filter(F.col(h) > 0)
-    return kept.withColumn(h, F.explode(F.array_repeat(F.lit(0), F.col(h)))).select(*docs.columns)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.xxhash64(marked).alias("pattern"), _hash(seed, F.col("doc_id").cast("string")).alias("h")
+    ).join(F.broadcast(rule), "pattern")
+    kept = rows.withColumn("copies", _copies().cast("int")).filter("copies > 0")
+    return kept.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
