@@ -21,8 +21,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowsift.llm.common import small_batches
+from rowsift.llm.common import free_name, small_batches
 
 END = "</w>"
 #: Chunks, words and fragments kept by one Python worker, each.
@@ -200,26 +201,24 @@ def split_spaces(text: str) -> list[str]:
 
 
 def encode_decode(docs: DataFrame, path: str, memo: int = MEMO) -> DataFrame:
-    """Add ids (array<int>) and decoded (string) to every row that has a ``text``."""
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
+    """Add ids (array<int>) and decoded (string) to every row that has a ``text``.
 
+    Where the table has columns of these names, the new ones get underscores in front.
+    """
     small_batches(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
-    plain = docs.select("*", F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("string").alias("decoded"))
+    names = [free_name(docs.columns, n) for n in ("ids", "decoded")]
+    empty = [F.lit(None).cast(t).alias(n) for t, n in zip(("array<int>", "string"), names, strict=True)]
+    plain = docs.select("*", *empty)
 
     def run(batches):
         bpe = encoder(path, memo)
         for b in batches:
-            ids, decoded = [], []
-            for t in b.column(b.schema.get_field_index("text")):
-                found = bpe.encode(t.as_py() or "")
-                ids.append(found)
-                decoded.append(bpe.decode(found))
+            ids = [bpe.encode(t.as_py() or "") for t in b.column(b.schema.get_field_index("text"))]
+            decoded = [bpe.decode(x) for x in ids]
             columns = [*b.columns[:-2], pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(run, plain.schema)
 
 
 def encode_digests(docs: DataFrame, path: str, memo: int = MEMO) -> DataFrame:

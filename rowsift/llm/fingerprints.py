@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsift.llm.common import small_batches, written
+from rowsift.llm.common import free_name, small_batches, written
 
 #: Least, usual and greatest bytes in a chunk; a length is written as two hex digits.
 LEAST, USUAL, MOST = 16, 64, 256
@@ -118,8 +118,9 @@ def containment(own: set[str], other: set[str]) -> float:
 
 
 def with_fingerprint(docs: DataFrame, name: str = "fingerprint") -> DataFrame:
-    """Add the fingerprint of ``text`` to every row, without shuffling."""
+    """Add the fingerprint of ``text`` to every row, without shuffling; a clashing name gets underscores."""
     small_batches(docs.sparkSession)
+    name = free_name(docs.columns, name)
     plain = docs.withColumn(name, F.lit(None).cast("string"))
 
     def run(batches):

@@ -81,9 +81,10 @@ def first_model(together: np.ndarray, share: np.ndarray, states: int = STATES) -
     n = len(together)
     emit = np.repeat(share[:, None], states, axis=1)
     if n >= states > 1 and together.sum() > 0:
+        # rounded, so that the order in which tasks are added up decides nothing
+        together = np.round(together, 6)
         d = np.sqrt(np.maximum(np.diag(together), 1e-12))
-        values, vectors = np.linalg.eigh(together / d[:, None] / d[None, :])
-        points = vectors[:, -states:] * np.sqrt(np.maximum(values[-states:], 0))
+        points = together / d[:, None] / d[None, :]
         points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
         # the most frequent word, then always the word farthest from the chosen ones
         chosen = [0]

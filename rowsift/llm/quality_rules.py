@@ -192,12 +192,18 @@ def _best_condition(
         bad, good = (sum(b[k] for b in bins.values()) for k in (0, 1))
         start = _entropy_term(bad, good)
         below_bad = below_good = 0
+        last = math.nan
         for i, cut in enumerate(cuts[f]):
             b, g = bins.get(i, (0, 0))
             below_bad, below_good = below_bad + b, below_good + g
             for at_least, (p, n) in ((False, (below_bad, below_good)), (True, (bad - below_bad, good - below_good))):
-                if (f, at_least) not in failed and p >= least and p and (gain := p * (_entropy_term(p, n) - start)) > best:
+                if (f, at_least) in failed or p < max(least, 1):
+                    continue
+                gain = p * (_entropy_term(p, n) - start)
+                # of cuts that part the rows alike, the one farthest from the good rows
+                if gain > best or (gain == best and at_least and chosen == Condition(f, True, last)):
                     best, chosen = gain, Condition(f, at_least, cut)
+            last = cut
     return chosen
 
 
