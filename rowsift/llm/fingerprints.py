@@ -19,18 +19,19 @@ import hashlib
 from bisect import bisect_left
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsift.llm.common import free_name, small_batches, written
+from rowsift.llm.common import free_name, small_batches
 
 #: Least, usual and greatest bytes in a chunk; a length is written as two hex digits.
 LEAST, USUAL, MOST = 16, 64, 256
 #: Bits that must be zero for a cut: before and after the usual length.
 HARD, EASY = np.uint32(0xFF << 24), np.uint32(0x1F << 27)
-#: Bytes of text in one partition of the ordered table, about.
-RANGE_BYTES = 32 << 20
+#: Bytes of text in one range of doc_id, about; a task gets a few ranges.
+RANGE_BYTES = 8 << 20
 
 _rng = np.random.Generator(np.random.PCG64(5))
 _GEAR = _rng.integers(0, 2**32, 256, dtype=np.uint32)
@@ -177,54 +178,60 @@ def _rows(found: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
+def _ranged(rows: DataFrame, parts: int) -> DataFrame:
+    """Add ``range``, the number of the interval of doc_id (null: the first) that a row falls in."""
+    quantiles = [i / parts for i in range(1, parts)]
+    found = rows.select(F.percentile_approx("doc_id", quantiles, max(10_000, 20 * parts)).alias("c")).first()["c"] if quantiles else None
+    cuts = np.unique(np.array(found or [], np.int64))
+    if not len(cuts):
+        return rows.withColumn("range", F.lit(0).cast("long"))
+    sent = rows.sparkSession.sparkContext.broadcast(cuts)  # one number per range
+
+    @F.pandas_udf("long")
+    def number(ids: pd.Series) -> pd.Series:
+        known = ids.notna().to_numpy()
+        out = np.zeros(len(ids), np.int64)
+        out[known] = np.searchsorted(sent.value, ids[known].to_numpy(np.int64), side="right")
+        return pd.Series(out)
+
+    return rows.withColumn("range", number("doc_id"))
+
+
 def compare_with_edit(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Fingerprints of every document, of its edited text and their likeness to each other and the next.
 
     The edited text has the last quarter of the code points replaced by the first ones
-    of the next document. One range shuffle brings neighbours together; the last row of
-    each range meets the first row of the next one in a join of a row per range.
+    of the next document. One shuffle of the texts brings neighbours together, in ranges
+    of doc_id; each range also gets the first text of the next one.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.select(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    parts = max(1, -(-size // range_bytes))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
-    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    schema = _RESULT.append(pa.field("part", pa.int32())).append(pa.field("edge", pa.string())).append(pa.field("text", pa.string()))
+    ranged = _ranged(rows, max(1, -(-size // range_bytes)))
+    # the smallest doc_id of each range, and then the texts of these documents only
+    heads = ranged.drop("text").groupBy("range").agg(F.min("doc_id").alias("head"), F.bool_or(F.col("doc_id").isNull()).alias("nulls"))
+    heads = heads.select("range", F.when(~F.col("nulls"), F.col("head")).alias("head"))
+    order = Window.orderBy("range")  # a row per range
+    heads = heads.withColumn("before", F.coalesce(F.lag("range").over(order), F.max("range").over(Window.partitionBy(F.lit(0)))))
+    guards = (
+        rows.join(F.broadcast(heads), rows["doc_id"].eqNullSafe(F.col("head")))
+        .groupBy("before")
+        .agg(F.min(F.struct(F.col("text").isNotNull().alias("k"), "text")).alias("x"))
+        .select(F.lit(None).cast("long").alias("doc_id"), F.col("x.text").alias("text"), F.col("before").alias("range"), F.lit(True).alias("guard"))
+    )
+    dealt = ranged.withColumn("guard", F.lit(False)).unionByName(guards).repartition(F.col("range"))
+    ordered = dealt.sortWithinPartitions("range", "guard", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
 
     def run(batches):
-        before, part = None, None
+        before = None
         for b in batches:
             found = []
-            for doc_id, text, part in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("part").to_pylist(), strict=True):
+            for doc_id, text, guard in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("guard").to_pylist(), strict=True):
                 doc = _Doc(doc_id, text.as_py())
-                if before is None:
-                    found.append((doc.id, *[None] * 6, part, "first", doc.text))
-                else:
-                    found.append((*_compared(before, doc), part, None, None))
-                before = doc
-            yield _rows(found, schema)
-        if before is not None:
-            yield _rows([(before.id, *[None] * 6, part, "last", before.text)], schema)
-
-    passed = written(ordered.mapInArrow(run, f"{_FIELDS}, part int, edge string, text string"), "fingerprints")
-    edges = passed.filter("edge is not null")
-    # a row per range with documents, numbers only; the texts meet in a join
-    nonempty = sorted(r["part"] for r in edges.filter("edge = 'first'").select("part").collect())
-    following = spark.createDataFrame(
-        [(p, nonempty[(i + 1) % len(nonempty)]) for i, p in enumerate(nonempty)], "part int, after int"
-    )
-    ends = (
-        edges.filter("edge = 'last'").select("part", "doc_id", "text").join(following, "part")
-        .join(edges.filter("edge = 'first'").select(F.col("part").alias("after"), F.col("text").alias("next_text")), "after")
-        .select("doc_id", "text", "next_text")
-    )
-
-    def last(batches):
-        for b in batches:
-            yield _rows(
-                [_compared(_Doc(i, x), _Doc(None, y)) for i, x, y in zip(*(c.to_pylist() for c in b.columns), strict=True)], _RESULT
-            )
+                if before is not None:
+                    found.append(_compared(before, doc))
+                before = None if guard else doc
+            yield _rows(found, _RESULT)
 
-    return passed.filter("edge is null").drop("part", "edge", "text").unionByName(ends.mapInArrow(last, _FIELDS))
+    return ordered.mapInArrow(run, _FIELDS)
