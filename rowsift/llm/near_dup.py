@@ -3,16 +3,18 @@
 Each document's set of five-word shingles becomes 256 registers: the first bits of a
 shingle's hash choose the register, and of the smallest rest in it the number of
 leading zeros (6 bits) and the next 10 bits are stored. Documents with equal sets share
-one representative. Bands of five registers (empty ones borrow from others first, so
+one representative. Bands of four registers (empty ones borrow from others first, so
 that short texts band as selectively as long ones) bring candidates together; the
 Jaccard estimate from the registers, corrected for chance collisions and lowered by
 five standard deviations, filters them; whole shingle sets, as strings, decide.
 
-No group is compared all against all in the first round: every member of a band bucket
-meets the bucket's smallest document. Only pairs of one bucket that are then still in
-different components are compared, in blocks, by registers, and those that the estimate
-passes are confirmed as well. A pair of similarity 0.75 shares no band with
-probability (1 - 0.75**5)**51, about one in a million; nothing is capped.
+No group is compared all against all: every member of a band bucket first meets the
+bucket's smallest document, and the links found give components. Buckets whose members
+are then still apart are joined into families. In a family, documents outside its
+largest component meet all others of the family, in blocks: a task compares registers,
+confirms what they leave possible on whole sets, and returns no more links than it
+joins components. A pair of similarity 0.75 shares no band with
+probability (1 - 0.75**4)**32, about one in 200,000; nothing is capped.
 
 Defined results. No words, null or empty text: n_shingles 0, linked with nothing, own
 component. Fewer than five words: the whole sequence is the one shingle. Rows that
@@ -36,16 +38,15 @@ from rowsift.llm.graphs import components
 SHINGLE = 5
 PERCENT = 75
 REGISTERS = 256
-ROWS = 5
-BANDS = REGISTERS // ROWS
+ROWS, BANDS = 4, 32
 MANTISSA = 10
 EMPTY = 0xFFFF
 #: Standard deviations by which the estimate may fall short of the threshold.
 SLACK = 5.0
-#: Members of a bucket in one block of register comparisons.
-BLOCK = 256
-#: Shingles, about, of the texts that are confirmed against one hub in one task.
-CONFIRM_SHINGLES = 100_000
+#: Shingles, about, of the texts that meet one hub, or another block, in one task.
+BLOCK_SHINGLES = 200_000
+#: Ids up to so many are broadcast to pick their texts; more are joined by shuffle.
+BROADCAST_IDS = 2_000_000
 #: Bytes of text hashed at a time.
 PIECE = 1 << 20
 
@@ -239,7 +240,7 @@ def _bands(reps: DataFrame) -> DataFrame:
 def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose registers and sizes leave the threshold possible."""
     side = reps.select("rep", "n", "regs")
-    both = pairs.join(side.toDF("b", "nb", "rb"), "b").join(side.toDF("a", "na", "ra"), "a")
+    both = pairs.join(side.toDF("b", "nb", "rb").hint("merge"), "b").join(side.toDF("a", "na", "ra").hint("merge"), "a")
     both = both.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
 
     def run(batches):
@@ -252,20 +253,19 @@ def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "nb", "ra", "rb").mapInArrow(run, "a bigint, b bigint, nb bigint")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their whole shingle sets link; nb is the size of b's set.
 
     A hub travels once for every block of its partners, so the texts of a large
     group are not repeated for each pair.
     """
     pairs = pairs.groupBy("a", "b").agg(F.max("nb").alias("nb"))
-    sizes = pairs.groupBy("a").agg(F.ceil(F.sum("nb") / F.lit(CONFIRM_SHINGLES)).cast("int").alias("blocks"))
+    sizes = pairs.groupBy("a").agg(F.ceil(F.sum("nb") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
     dealt = written(
         pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block")), "pairs"
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
-    hubs = dealt.select("a", "block").distinct().join(texts, F.col("a") == F.col("doc_id")).select("a", "block", F.lit(None).cast("long").alias("b"), "text")
-    members = dealt.join(texts, F.col("b") == F.col("doc_id")).select("a", "block", "b", "text")
+    hubs = dealt.select("a", "block").distinct().join(texts.hint("merge"), F.col("a") == F.col("doc_id")).select("a", "block", F.lit(None).cast("long").alias("b"), "text")
+    members = dealt.join(texts.hint("merge"), F.col("b") == F.col("doc_id")).select("a", "block", "b", "text")
 
     def decide(rows: pa.Table) -> pa.Table:
         partner = rows.column("b").to_pylist()
@@ -278,47 +278,95 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return hubs.unionByName(members).groupBy("a", "block").applyInArrow(decide, "a bigint, b bigint")
 
 
-def _across(bands: DataFrame, reps: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of one bucket whose documents are still in different components.
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents with these ids (column rep), written: the only other pass over the texts."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    ids = F.broadcast(ids) if few else ids.hint("merge")
+    return written(rows.join(ids, F.col("doc_id") == F.col("rep"), "left_semi"), "candidate-texts")
 
-    A bucket's rows are dealt to blocks by hash, each task compares two blocks by
-    their registers; only pairs that the estimate passes leave it.
+
+def _families(shared: DataFrame, reps: DataFrame, parts: DataFrame) -> DataFrame:
+    """(family, rep, n, part, major): documents of buckets whose members are in different components.
+
+    Families join such buckets that share a document; ``major`` says whether the
+    document is in the family's largest component.
+    """
+    rows = shared.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("part")).hint("merge"), "rep", "left")
+    rows = rows.withColumn("part", F.coalesce("part", "rep"))
+    # of two members the first round has compared the only pair
+    mixed = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q and m > 2")
+    star = written(rows.join(mixed.select("key").hint("merge"), "key").select("rep", "a", "part").distinct(), "mixed")
+    family = components(star.filter("rep <> a").select("a", F.col("rep").alias("b")))
+    own = star.select("rep", "part").distinct().join(family.select(F.col("node").alias("rep"), F.col("component").alias("family")).hint("merge"), "rep")
+    own = written(own.join(reps.select("rep", "n").hint("merge"), "rep"), "families")
+    largest = own.groupBy("family", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("family").agg(F.max(F.struct("k", "part")).alias("x"))
+    return own.join(largest.hint("merge"), "family").select("family", "rep", "n", "part", (F.col("part") == F.col("x.part")).alias("major"))
+
+
+def _sets(texts: DataFrame, family: DataFrame) -> DataFrame:
+    """The family rows with registers and hashed shingle sets."""
+    small_batches(texts.sparkSession)
+    rows = family.join(texts.hint("merge"), F.col("rep") == F.col("doc_id")).select("family", "rep", "part", "major", "text")
+    names = ["family", "rep", "part", "major", "n", "regs", "hashes"]
+
+    def run(batches):
+        for b in batches:
+            sets = [s for p in _pieces([(t.as_py() or "").encode("utf-8", "surrogatepass") for t in b.column("text")]) for s in shingle_sets(p)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(b.column(c) for c in names[:4]),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([registers(s).tobytes() for s in sets], pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
+                names=names,
+            )
+
+    return rows.mapInArrow(run, "family bigint, rep bigint, part bigint, major boolean, n bigint, regs binary, hashes binary")
+
+
+def _across(family: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(a, b, nb): links between different components of a family.
+
+    Documents are dealt to blocks by hash, those of the largest component apart from
+    the rest, and every block of the rest meets every block.
     """
-    rows = bands.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("part")), "rep", "left").withColumn(
-        "part", F.coalesce("part", "rep")
+    width = F.lit(BLOCK_SHINGLES)
+    blocks = family.groupBy("family").agg(
+        F.ceil(F.sum(F.when(F.col("major"), F.col("n")).otherwise(0)) / width).cast("int").alias("big"),
+        F.ceil(F.sum(F.when(F.col("major"), 0).otherwise(F.col("n"))) / width).cast("int").alias("small"),
+    )
+    own = F.when(F.col("major"), F.pmod(F.xxhash64("rep"), F.greatest("big", F.lit(1)))).otherwise(
+        F.col("big") + F.pmod(F.xxhash64("rep"), F.greatest("small", F.lit(1)))
     )
-    mixed = (
-        rows.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("m"), F.min("part").alias("p"), F.max("part").alias("q"))
-        # of two members the first round has compared the only pair
-        .filter("p <> q and m > 2")
-        .select("key", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = _sets(texts, family).join(blocks.hint("merge"), "family").withColumn("own", own.cast("int"))
+    met = F.when(F.col("major"), F.sequence(F.col("big"), F.col("big") + F.col("small") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("big") + F.col("small") - 1)
     )
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = rows.join(mixed, "key").withColumn("own", block)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "part")
-    dealt = dealt.join(reps.select("rep", "n", "regs"), "rep")
+    dealt = dealt.withColumn("met", F.explode(met))
+    dealt = dealt.select("family", F.least("own", "met").alias("i"), F.greatest("own", "met").alias("j"), "own", "rep", "part", "n", "regs", "hashes")
 
     def compare(rows: pa.Table) -> pa.Table:
         i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
-        own, part, rep, n = (rows.column(c).to_numpy() for c in ("own", "part", "rep", "n"))
+        own, part, rep, n = (rows.column(c).to_numpy().copy() for c in ("own", "part", "rep", "n"))
         regs = np.frombuffer(b"".join(rows.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        hashes = [np.frombuffer(x, np.uint64) for x in rows.column("hashes").to_pylist()]
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b, size = [], [], []
-        for x in left:
-            ys = right[(part[right] != part[x]) & ((rep[right] > rep[x]) | (i != j))]
-            ys = ys[np.minimum(n[ys], n[x]) * 100 >= percent * np.maximum(n[ys], n[x])]
-            if len(ys):
-                ys = ys[plausible(regs[x][None, :], regs[ys], percent)]
-                a += [int(rep[x])] * len(ys)
-                b += rep[ys].tolist()
-                size += [int(s) for s in np.maximum(n[ys], n[x])]
-        # the smaller id comes first, so that buckets that share a pair name it alike
-        low, high = ([f(p) for p in zip(a, b, strict=True)] for f in (min, max))
-        return pa.table({k: pa.array(v, pa.int64()) for k, v in (("a", low), ("b", high), ("nb", size))})
-
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a bigint, b bigint, nb bigint").distinct()
+        found = []
+        for x in right:
+            ys = left if i != j else left[left < x]
+            ys = ys[(part[ys] != part[x]) & (np.minimum(n[ys], n[x]) * 100 >= percent * np.maximum(n[ys], n[x]))]
+            ys = ys[plausible(regs[x][None, :], regs[ys], percent)] if len(ys) else ys
+            for y in ys.tolist():
+                if part[y] != part[x]:
+                    common = len(np.intersect1d(hashes[x], hashes[y], assume_unique=True))
+                    if 100 * common >= percent * (n[x] + n[y] - common):
+                        found.append((int(min(rep[x], rep[y])), int(max(rep[x], rep[y])), int(max(n[x], n[y]))))
+                        part[part == part[y]] = part[x]
+        return pa.table({k: pa.array([f[c] for f in found], pa.int64()) for c, k in enumerate(("a", "b", "nb"))})
+
+    return dealt.groupBy("family", "i", "j").applyInArrow(compare, "a bigint, b bigint, nb bigint")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -329,23 +377,25 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("regs").alias("regs")),
         "representatives",
     )
-    bands = written(_bands(reps), "bands")
+    bands = _bands(reps)
     buckets = bands.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    shared = written(bands.join(buckets, "key").select("key", "rep", "a"), "buckets")
+    shared = written(bands.join(buckets.hint("merge"), "key").select("key", "rep", "a").distinct(), "buckets")
     first = shared.filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    links = written(_confirm(written(_likely(first, reps, percent), "likely"), docs, percent), "links")
+    likely = written(_likely(first, reps, percent), "likely")
+    texts = _texts(docs, shared.select("rep").distinct())
+    links = _confirm(likely, texts, percent)
     # a doc_id with several texts ties their representatives together
-    several = known.groupBy("doc_id").agg(F.countDistinct("digest").alias("k")).filter("k > 1").select("doc_id")
+    several = known.groupBy("doc_id").agg(F.min("digest").alias("d"), F.max("digest").alias("e")).filter("d <> e").select("doc_id")
     tied = known.join(several, "doc_id").join(reps.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     links = written(links.unionByName(tied), "links")
     parts = written(components(links), "components")
-    more = written(_across(shared.select("key", "rep").distinct(), reps, parts, percent), "across")
+    family = written(_families(shared, reps, parts), "family")
+    more = written(_confirm(_across(family, texts, percent), texts, percent), "across")
     if not more.isEmpty():
-        links = links.unionByName(_confirm(more, docs, percent))
-        parts = written(components(links), "components")
-    named = reps.join(parts, reps["rep"] == parts["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"))
+        parts = written(components(links.unionByName(more)), "components")
+    named = reps.join(parts.hint("merge"), reps["rep"] == parts["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"))
     own = signed.filter("doc_id is null or digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    joined = known.select("doc_id", "n_shingles", "digest").join(named, "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    joined = known.select("doc_id", "n_shingles", "digest").join(named.hint("merge"), "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     return joined.unionByName(own).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -356,4 +406,6 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     lost = free_name(docs.columns, "lost_doc")
     gone = near_duplicates(docs.select("doc_id", "text"), percent).filter(~F.col("kept")).select(F.col("doc_id").alias(lost)).distinct()
-    return docs.join(written(gone, "near-dup-gone"), docs["doc_id"] == F.col(lost), "left_anti")
+    gone = written(gone, "near-dup-gone")
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == F.col(lost), "left_anti")

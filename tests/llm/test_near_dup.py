@@ -80,11 +80,11 @@ def test_chain_and_hot_group(docs_of):
 
 
 def test_small_blocks_lose_no_link(docs_of, monkeypatch):
-    monkeypatch.setattr(n, "BLOCK", 4)
-    monkeypatch.setattr(n, "CONFIRM_SHINGLES", 200)
+    monkeypatch.setattr(n, "BLOCK_SHINGLES", 200)
+    monkeypatch.setattr(n, "BROADCAST_IDS", 3)
     rng = random.Random(7)
     base = [f"c{k}" for k in range(60)]
-    rows = [(k, edited(rng, base, rng.randint(0, 4))) for k in range(90)]
+    rows = [(k, edited(rng, base, rng.randint(0, 6))) for k in range(150)]
     check(docs_of(rows), rows)
 
 
