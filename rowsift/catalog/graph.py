@@ -95,6 +95,12 @@ def noise_rates(spark, sf_dir):
 
 
 def label_issues(spark, sf_dir):
+    found = labels.flag_label_issues(loo(spark, sf_dir), K_CLASSES)
+    return labels.rank_issues(found).withColumn("score", F.round("score", 6))
+
+
+def label_issues_top(spark, sf_dir):
+    """The 200 worst rows of the list."""
     found = labels.flag_label_issues(loo(spark, sf_dir), K_CLASSES)
     return labels.rank_issues(found, max_issues=200).withColumn("score", F.round("score", 6))
 
@@ -178,7 +184,7 @@ def non_iid_scores(spark, sf_dir):
 def _audit_table(spark, sf_dir):
     """Issue table of the noisy low-dimensional points with all four checks."""
     p = materialize(noisy_points(spark, sf_dir))
-    edges = materialize(knn_edges(p, 10))
+    edges = knn_edges(p, 10)
     pr = materialize(leave_one_out_probs(edges, p, 3))
 
     def label_check():
@@ -314,12 +320,12 @@ def anomaly_knn(spark, sf_dir):
 
 
 def anomaly_lof(spark, sf_dir):
-    found = _strategy_scores(spark, sf_dir, lambda p: anomaly.lof_scores(materialize(knn_edges(p, 20))))
+    found = _strategy_scores(spark, sf_dir, lambda p: anomaly.lof_scores(knn_edges(p, 20)))
     return found.select("row_id", F.round("score", 6).alias("score"), F.round("lof", 6).alias("lof"), "is_anomaly", "ground_truth")
 
 
 def _knn_lof(p):
-    edges = materialize(knn_edges(p, 20))
+    edges = knn_edges(p, 20)
     return anomaly.ensemble_scores([anomaly.knn_scores(edges), anomaly.lof_scores(edges)])
 
 
@@ -344,7 +350,7 @@ def anomaly_topk(spark, sf_dir):
 def anomaly_compare(spark, sf_dir):
     """One summary row per strategy over the same rows and the same graph."""
     p = _scaled(spark, sf_dir)
-    edges = materialize(knn_edges(p, 20))
+    edges = knn_edges(p, 20)
     members = {
         "knn": anomaly.knn_scores(edges),
         "lof": anomaly.lof_scores(edges).select("row_id", "score"),
@@ -514,6 +520,7 @@ def _sql_auc(classes: str) -> str:
 
 QUERIES = {
     "label_issues": label_issues,
+    "label_issues_top": label_issues_top,
     "knn_graph": knn_graph,
     "knn_vote": vote,
     "knn_regress": regress,
@@ -553,7 +560,8 @@ QUERIES = {
 }
 
 ORACLE = {
-    "label_issues": (
+    "label_issues": f"WITH {SQL_LOO}, {sql_issues()} SELECT row_id, label, suggested_label, round(score, 6) AS score FROM issues",
+    "label_issues_top": (
         f"WITH {SQL_LOO}, {sql_issues()} SELECT row_id, label, suggested_label, round(score, 6) AS score "
         "FROM (SELECT * FROM issues ORDER BY score, row_id LIMIT 200)"
     ),

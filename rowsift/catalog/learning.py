@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rowsift.catalog import annotation, geometry, rows, tagging
-from rowsift.catalog.tables import low_points, noisy_points, points, read
+from rowsift.catalog.tables import labelled_points, noisy_points, points, read
 from rowsift.functions.hashing import hash_uniform
 from rowsift.functions.runtime import materialize
 from rowsift.operators import features, labels, models
@@ -60,7 +60,7 @@ def oof_probs(spark, sf_dir):
 
 def oof_forest(spark, sf_dir):
     p = noisy_points(spark, sf_dir).select("row_id", "label", "features")
-    out = models.out_of_fold_probs(p, _spec("random_forest", trees=20, max_depth=6), 3)
+    out = models.out_of_fold_probs(p, _spec("random_forest"), 3)
     return out.select("row_id", "label", "predicted", F.posexplode("probs").alias("k", "p"))
 
 
@@ -107,11 +107,11 @@ def clean_learning(spark, sf_dir):
 
 
 def model_sweep(spark, sf_dir):
-    df = materialize(stratified_split(low_points(spark, sf_dir), "label"))
+    df = materialize(stratified_split(labelled_points(spark, sf_dir), "label"))
     specs = [
         _spec(),
-        _spec("random_forest", trees=20, max_depth=6),
-        _spec("hist_gradient_boosting", rounds=5),
+        _spec("random_forest"),
+        _spec("hist_gradient_boosting"),
         _spec("knn"),
     ]
     m, _ = models.sweep(specs, df.filter("NOT is_test").drop("is_test"), df.filter("is_test").drop("is_test"), 3)
@@ -130,22 +130,27 @@ def audit_run(spark, sf_dir):
     )
     config = AuditConfig(
         model="logistic_regression",
-        model_params={"max_iter": 50},
-        issues=IssueConfig(cv_folds=3, prune_fraction=0.05),
+        issues=IssueConfig(prune_fraction=0.05),
         noise=NoiseConfig(label_noise_fraction=0.05),
     )
     return general.run_audit(docs, "lang", config).summary_rows(spark)
 
 
 def multiclass_run(spark, sf_dir):
-    out = tasks.run_multiclass(low_points(spark, sf_dir), MulticlassConfig(noise_frac=0.1, prune_frac=0.1, cv_folds=3))
+    out = tasks.run_multiclass(labelled_points(spark, sf_dir), MulticlassConfig(noise_frac=0.1, prune_frac=0.1))
     return out.summary_rows(spark)
 
 
+#: Labels of the multi-label run: the signs of so many sums that cover the whole vector.
+BITS = 6
+
+
 def multilabel_run(spark, sf_dir):
-    p = low_points(spark, sf_dir)
-    y = F.transform("features", lambda v: (v > 0).cast("int"))
-    out = tasks.run_multilabel(p.select("row_id", "features", y.alias("y")), 3, MultilabelConfig(noise_frac=0.1, cv_folds=3))
+    p = labelled_points(spark, sf_dir)
+    ends = [round(64 * (i + 1) / BITS) for i in range(BITS)]
+    parts = [F.slice("features", a + 1, b - a) for a, b in zip([0, *ends], ends, strict=False)]
+    y = F.array(*[(F.aggregate(x, F.lit(0.0), lambda a, v: a + v) > 0).cast("int") for x in parts])
+    out = tasks.run_multilabel(p.select("row_id", "features", y.alias("y")), BITS, MultilabelConfig(noise_frac=0.1))
     return out.summary_rows(spark)
 
 
@@ -153,12 +158,12 @@ def token_run(spark, sf_dir):
     """Half of the documents train the tagger, the other half score it; whole texts."""
     t = tagging.tokens(spark, sf_dir)
     half = hash_uniform(1, "half", "sent_id") < 0.5
-    config = TokenConfig(max_train_sentences=None, max_dev_sentences=None, noise_frac=0.05, cv_folds=2, max_iter=5)
-    return tasks.run_token(t.filter(half), t.filter(~half), config, vector_size=1 << 14).summary_rows(spark)
+    config = TokenConfig(max_train_sentences=None, noise_frac=0.05)
+    return tasks.run_token(t.filter(half), t.filter(~half), config).summary_rows(spark)
 
 
 def regression_run(spark, sf_dir):
-    config = RegressionConfig(model="ridge", noise_frac=0.05, cv_folds=3, prune_frac=0.05)
+    config = RegressionConfig(model="ridge", noise_frac=0.05, prune_frac=0.05)
     return tasks.run_regression(_part_vectors(spark, sf_dir), config).summary_rows(spark)
 
 
@@ -173,7 +178,7 @@ def multiannotator_run(spark, sf_dir):
         F.avg("value").alias("m"), F.stddev_pop("value").alias("s"), F.max("value").alias("x")
     )
     feats = stats.select("example_id", F.array("m", "s", "x").alias("features"))
-    return tasks.run_multiannotator(ann, feats, MultiannotatorConfig(cv_folds=3)).summary_rows(spark)
+    return tasks.run_multiannotator(ann, feats, MultiannotatorConfig()).summary_rows(spark)
 
 
 def vision_run(spark, sf_dir):
@@ -186,7 +191,7 @@ def vision_run(spark, sf_dir):
     )
     pred = boxes.withColumn("score", hash_uniform(2, "score", "image_id", "box_id"))
     masks = pixels.select("image_id", "y", "x", F.lit(0).alias("class_id"), F.lit(0.9).alias("score"), F.col("p").alias("m"))
-    config = VisionConfig(max_images=None, corrupt_frac=0.2)
+    config = VisionConfig(corrupt_frac=0.2)
     return tasks.run_vision(images, boxes, pred, pixels.drop("p"), masks, 0, config).summary_rows(spark)
 
 

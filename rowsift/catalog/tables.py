@@ -54,26 +54,40 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL_POINTS = "pts AS (SELECT vec_id AS row_id, CAST(embedding AS DOUBLE[]) AS features, label FROM embeddings)"
 
 
-def low_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First three vector entries with a label that follows them: the largest entry."""
-    p = points(spark, sf_dir).withColumn("features", F.slice("features", 1, 3))
-    top = (F.array_position("features", F.array_max("features")) - 1).cast("int")
-    return p.withColumn("label", top)
+#: Where the thirds of an embedding end.
+_THIRDS = (21, 42, 64)
 
 
-SQL_LOW_POINTS = (
-    "low AS (SELECT row_id, features, CAST(list_position(features, list_max(features)) - 1 AS INTEGER) AS label "
-    "FROM (SELECT vec_id AS row_id, CAST(embedding[1:3] AS DOUBLE[]) AS features FROM embeddings))"
+def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole embeddings with a label that follows them: which third of the vector has the largest sum."""
+    p = points(spark, sf_dir)
+    start, sums = 0, []
+    for end in _THIRDS:
+        part = F.slice("features", start + 1, end - start)
+        sums.append(F.round(F.aggregate(part, F.lit(0.0), lambda a, x: a + x), 9))
+        start = end
+    thirds = F.array(*sums)
+    return p.withColumn("label", (F.array_position(thirds, F.array_max(thirds)) - 1).cast("int"))
+
+
+SQL_LABELLED_POINTS = (
+    "thirds AS (SELECT vec_id AS row_id, CAST(embedding AS DOUBLE[]) AS features FROM embeddings), "
+    "summed AS (SELECT row_id, features, ["
+    + ", ".join(
+        f"round(list_sum(features[{a + 1}:{b}]), 9)" for a, b in zip((0, *_THIRDS), _THIRDS, strict=False)
+    )
+    + "] AS s FROM thirds), "
+    "low AS (SELECT row_id, features, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS label FROM summed)"
 )
 
 
 def noisy_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`low_points` with a tenth of the labels flipped."""
-    return flip_labels(low_points(spark, sf_dir), "label", 0.1)
+    """:func:`labelled_points` with a tenth of the labels flipped."""
+    return flip_labels(labelled_points(spark, sf_dir), "label", 0.1)
 
 
 SQL_NOISY_POINTS = (
-    SQL_LOW_POINTS
+    SQL_LABELLED_POINTS
     + ", picked AS ("
     + sql_pick("low", sql_key(42, "flip", "row_id"), "CAST(round_even(0.1 * {n}, 0) AS BIGINT)")
     + "), noisy AS (SELECT row_id, features, was_corrupted, label AS clean_label, "

@@ -63,7 +63,7 @@ def cut_points(
     if not wanted:
         return {g: [] for g in sizes}
     widest = max(sizes.values())
-    digits = min(4, max(0, math.ceil(math.log(max(widest / _ROWS_PER_PREFIX, 1), 16))))
+    digits = max(0, math.ceil(math.log(max(widest / _ROWS_PER_PREFIX, 1), 16)))
     keyed = df.select(*groups, key.alias("_key")).withColumn(
         "_prefix", F.substring("_key", 1, digits) if digits else F.lit("")
     )

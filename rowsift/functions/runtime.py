@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,28 +36,32 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(archive)
 
 
-def _checkpoint_dir(spark: SparkSession) -> str:
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a temporary one only where it is unset on a local master."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return configured
-    if sc.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="rowsift-checkpoint-")
+        return configured.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        own = tempfile.mkdtemp(prefix="rowsift-shared-")
+        spark.conf.set("spark.checkpoint.dir", own)
+        return own
     raise RuntimeError(
         "set spark.checkpoint.dir to a folder every executor can reach before running on a cluster"
     )
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
+    """Write ``df`` once as Parquet to the shared folder and read it from there.
 
     Used where a result feeds several consumers, or where a partition number
-    must not change on recomputation.
+    must not change on recomputation. Readers get column pruning and filter pushdown;
+    the files of an application lie in one folder that bears its id, so that they can
+    be removed when it has ended.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(_checkpoint_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/rowsift-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def collect_small(df: DataFrame, limit: int = SMALL_ROWS) -> list:

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: At most this many keys are treated as hot; any other key holds less than one
-#: row in HOT_KEYS, so what is left for the shuffle has no heavy key.
-HOT_KEYS = 256
-#: Keys with fewer rows than this never need special care.
+from rowsift.functions.runtime import checked_broadcast, materialize
+
+#: A key with more rows than this is dealt to several tasks.
 HOT_ROWS = 100_000
 
 
@@ -22,22 +21,27 @@ def skew_join(
     hot_rows: int = HOT_ROWS,
     counts: DataFrame | None = None,
 ) -> DataFrame:
-    """``big`` join ``dim`` (unique on ``keys``); the heaviest keys are joined by broadcast.
+    """``big`` join ``dim`` (unique on ``keys``); every heavy key is salted by its row count.
 
-    One aggregate over ``big`` finds them, unless ``counts`` (keys..., _n) already
-    holds the rows per key. The broadcast part of ``dim`` has at
-    most ``HOT_KEYS`` rows; the rest is an ordinary shuffled join. Null keys
-    never match. Without heavy keys this is the plain join.
+    One aggregate over ``big`` finds the keys of ``hot_rows`` rows and more, unless
+    ``counts`` (keys..., _n) already holds the rows per key. Their rows are dealt to one
+    salt per ``hot_rows`` rows and their rows of ``dim`` copied once per salt, so no task
+    gets more than about ``hot_rows`` rows of a key, however many keys are heavy. Null
+    keys never match. Without heavy keys this is the plain join.
     """
     keys = list(keys)
     if counts is None:
         counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.filter(F.col("_n") >= hot_rows).orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys).collect()
-    if not found:
+    heavy = counts.filter(F.col("_n") >= hot_rows)
+    for k in keys:
+        heavy = heavy.filter(F.col(k).isNotNull())
+    heavy = heavy.select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
+    heavy = checked_broadcast(heavy)
+    if heavy.isEmpty():
         return big.join(dim, keys, how)
-    hot = F.broadcast(big.sparkSession.createDataFrame(found, big.select(*keys).schema))
-    hot_rows_df = big.join(hot, keys, "left_semi").join(
-        F.broadcast(dim.join(hot, keys, "left_semi")), keys, how
+    salt = F.floor(F.rand(11) * F.coalesce("_salts", F.lit(1))).cast("int")
+    dealt = materialize(big.join(heavy, keys, "left").withColumn("_salt", salt).drop("_salts"))
+    copies = dim.join(heavy, keys, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    cold_rows = big.join(hot, keys, "left_anti").join(dim, keys, how)
-    return hot_rows_df.unionByName(cold_rows)
+    return dealt.join(copies.drop("_salts"), [*keys, "_salt"], how).drop("_salt")

@@ -103,7 +103,10 @@ def active_learning(df: DataFrame, model: DataFrame, n_classes: int) -> DataFram
     spread = votes.groupBy("example_id").agg(
         F.sum("votes").alias("n"), F.sum(F.col("votes") * F.log(F.col("votes").cast("double"))).alias("clogc")
     )
-    h = (F.log(F.col("n").cast("double")) - F.col("clogc") / F.col("n")) / F.log(F.lit(float(n_classes)))
+    # one class leaves nothing open
+    h = F.lit(0.0)
+    if n_classes > 1:
+        h = (F.log(F.col("n").cast("double")) - F.col("clogc") / F.col("n")) / F.log(F.lit(float(n_classes)))
     u = 1 - F.array_max("probs")
     return spread.join(model.select("example_id", "probs"), "example_id").select(
         "example_id", F.round(1 - (u + h) / 2, KEY_DIGITS).alias("al_score")
@@ -126,9 +129,9 @@ def missing_classes(codes: DataFrame, agreed: DataFrame) -> DataFrame:
 def dense_annotations(
     df: DataFrame,
     max_annotators: int = 50,
-    min_per_example: int = 5,
+    min_per_example: int = 10,
     max_examples: int = 800,
-    min_per_annotator: int = 20,
+    min_per_annotator: int = 100,
 ) -> DataFrame:
     """The busiest annotators and the examples most of them labelled.
 
@@ -141,15 +144,14 @@ def dense_annotations(
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= at_least)
         return counts.orderBy(F.desc("n"), key).limit(limit).select(key)
 
-    # both kept sets are bounded by their limits, hence the broadcasts
-    rows = df.join(F.broadcast(busiest(df, "annotator_id", max_annotators)), "annotator_id", "left_semi")
+    rows = df.join(checked_broadcast(busiest(df, "annotator_id", max_annotators)), "annotator_id", "left_semi")
     chosen = busiest(rows, "example_id", max_examples, min_per_example)
-    rows = rows.join(F.broadcast(chosen), "example_id", "left_semi")
+    rows = rows.join(checked_broadcast(chosen), "example_id", "left_semi")
     active = busiest(rows, "annotator_id", max_annotators, min_per_annotator)
     n = active.count()
     if n < 2:
         raise ValueError(f"need at least 2 annotators, got {n}")
-    return rows.join(F.broadcast(active), "annotator_id", "left_semi")
+    return rows.join(checked_broadcast(active), "annotator_id", "left_semi")
 
 
 def label_matrix(df: DataFrame) -> DataFrame:

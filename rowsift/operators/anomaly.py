@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections.abc import Callable
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rowsift.functions.arrays import safe_divide
 from rowsift.functions.hashing import hash_key
-from rowsift.functions.ranking import KEY_DIGITS, exact_percentile, pick_smallest
+from rowsift.functions.ranking import KEY_DIGITS, exact_percentile, range_rank
 from rowsift.functions.runtime import collect_small, materialize, row_count
 from rowsift.functions.skew import skew_join
 from rowsift.operators.audit import inverted_min_max, mean_distance
@@ -105,25 +106,21 @@ def _tree_builder(seed: int):
 
 
 def _tree_samples(df: DataFrame, n: int, trees: int, per_tree: int, seed: int) -> DataFrame:
-    """(tree, row_id, features): ``per_tree`` rows for each tree.
+    """(tree, row_id, features): ``per_tree`` rows for each tree, all of them if there are fewer.
 
-    A table larger than all samples together is cut into disjoint samples by
-    hash rank; a smaller one gives every tree its own hash order. Either way
-    at most trees * per_tree rows leave the map side.
+    The wanted ranks of each tree are drawn here, trees * per_tree numbers; one ranking
+    of the rows by hash finds them. Trees may share rows, whatever the size of the table.
     """
-    pool_size = trees * per_tree
-    key = hash_key(seed, "forest", "row_id")
-    if n > pool_size:
-        pool = pick_smallest(df, key, lambda _: {(): pool_size}).filter("picked")
-        at = F.row_number().over(Window.orderBy(key)) - 1
-        return pool.select("row_id", "features", at.alias("_at")).select(
-            F.pmod("_at", F.lit(trees)).cast("int").alias("tree"), "row_id", "features"
-        )
-    own = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("tree").cast("string"), F.col("row_id")))
-    every = df.select("row_id", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    w = Window.partitionBy("tree").orderBy(own)
-    ids = every.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= per_tree).drop("_rn")
-    return ids.join(df.select("row_id", "features"), "row_id").select("tree", "row_id", "features")
+    wanted = [
+        (tree, rank)
+        for tree in range(trees)
+        for rank in random.Random(f"{seed}:{tree}").sample(range(1, n + 1), min(per_tree, n))
+    ]
+    table = df.sparkSession.createDataFrame(wanted, "tree int, _rank bigint")
+    keyed = df.select("row_id", hash_key(seed, "forest", "row_id").alias("_key"))
+    ranked = range_rank(keyed, [F.col("_key"), F.col("row_id")], out="_rank", rows=n)
+    ids = ranked.withColumn("_rank", F.col("_rank").cast("bigint")).join(F.broadcast(table), "_rank").select("tree", "row_id")
+    return df.select("row_id", "features").join(F.broadcast(ids), "row_id").select("tree", "row_id", "features")
 
 
 def forest_scores(df: DataFrame, trees: int = 100, seed: int = 42, per_tree: int = TREE_ROWS) -> DataFrame:
@@ -185,7 +182,7 @@ def _strategy_knn(df: DataFrame, edges: DataFrame | None, cfg) -> DataFrame:
 
 
 def _strategy_lof(df: DataFrame, edges: DataFrame | None, cfg) -> DataFrame:
-    found = edges if edges is not None else materialize(knn_edges(df, cfg.n_neighbors))
+    found = edges if edges is not None else knn_edges(df, cfg.n_neighbors)
     return lof_scores(found).select("row_id", "score")
 
 
@@ -193,17 +190,25 @@ def _strategy_forest(df: DataFrame, edges: DataFrame | None, cfg) -> DataFrame:
     return forest_scores(df, cfg.n_estimators, cfg.seed)
 
 
-def _strategy_ensemble(df: DataFrame, edges: DataFrame | None, cfg) -> DataFrame:
-    found = edges if edges is not None else materialize(knn_edges(df, cfg.n_neighbors))
-    members = []
-    for name in ("knn", "isolation_forest", "lof"):
+#: Members of the ensemble, in the order of their mean.
+ENSEMBLE = ("knn", "isolation_forest", "lof")
+
+
+def ensemble_members(df: DataFrame, edges: DataFrame | None, cfg) -> tuple[list[DataFrame], dict[str, str]]:
+    """Scores of the members that worked, and what stopped the others."""
+    found = edges if edges is not None else knn_edges(df, cfg.n_neighbors)
+    members, errors = [], {}
+    for name in ENSEMBLE:
         try:
             members.append(materialize(get_strategy(name)(df, found, cfg)))
-        except Exception:  # noqa: BLE001 - a failing member is left out of the mean
-            continue
-    if not members:
-        return df.select("row_id", F.lit(0.5).alias("score"))
-    return ensemble_scores(members)
+        except Exception as e:  # noqa: BLE001 - a failing member is left out of the mean and reported
+            errors[name] = f"{type(e).__name__}: {e}".splitlines()[0]
+    return members, errors
+
+
+def _strategy_ensemble(df: DataFrame, edges: DataFrame | None, cfg) -> DataFrame:
+    members, _ = ensemble_members(df, edges, cfg)
+    return ensemble_scores(members) if members else df.select("row_id", F.lit(0.5).alias("score"))
 
 
 Strategy = Callable[[DataFrame, "DataFrame | None", object], DataFrame]

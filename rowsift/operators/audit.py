@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rowsift.functions.arrays import safe_divide
 from rowsift.functions.ranking import KEY_DIGITS, exact_percentile, range_rank, running_totals
+from rowsift.functions.runtime import materialize
 from rowsift.functions.skew import skew_join
 
 #: Mean neighbour distance above this many medians flags an outlier.
@@ -35,7 +36,7 @@ def inverted_min_max(df: DataFrame, raw: str, out: str = "score") -> DataFrame:
 
 def outlier_scores(edges: DataFrame) -> DataFrame:
     """(row_id, outlier_score, is_outlier_issue); low = far from its neighbours."""
-    d = mean_distance(edges)
+    d = materialize(mean_distance(edges))
     bar = round(OUTLIER_MEDIANS * (exact_percentile(d, "d", 0.5) or 0.0), KEY_DIGITS)
     return inverted_min_max(d, "d", "outlier_score").select(
         "row_id", "outlier_score", (F.col("d") > F.lit(bar)).alias("is_outlier_issue")
@@ -44,7 +45,7 @@ def outlier_scores(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(edges: DataFrame) -> DataFrame:
     """(row_id, near_duplicate_score, is_near_duplicate_issue); low = has a close twin."""
-    m = edges.groupBy(F.col("i").alias("row_id")).agg(F.min("dist").alias("m"))
+    m = materialize(edges.groupBy(F.col("i").alias("row_id")).agg(F.min("dist").alias("m")))
     median = exact_percentile(m, "m", 0.5) or 0.0
     total = F.col("m") + F.lit(median)
     return m.select(

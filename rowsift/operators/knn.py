@@ -133,8 +133,8 @@ class _Cells:
 
         return nearest
 
-    def reachable(self):
-        """Cells that may hold a row within ``bound`` of the vector."""
+    def reachable(self, probes: int | None = None):
+        """Cells that may hold a row within ``bound`` of the vector; with ``probes`` only the nearest."""
         pivots, radius = self.pivots, self.radius
         between = np.sqrt(_squared(pivots, pivots))
 
@@ -150,6 +150,11 @@ class _Cells:
             scale = 1.0 + np.sqrt(d2)
             may = np.maximum(by_radius, by_border) <= b[:, None] + _SLACK * scale
             may &= radius[None, :] >= 0
+            if probes is not None and probes < len(pivots):
+                near = np.argpartition(d2, probes - 1, axis=1)[:, :probes]
+                allowed = np.zeros_like(may)
+                allowed[np.arange(len(x))[:, None], near] = True
+                may &= allowed
             return pd.Series([np.nonzero(m)[0].astype("int32") for m in may])
 
         return cells
@@ -210,11 +215,14 @@ def knn_edges(
     visit_rows: int = 8192,
     rows_per_cell: int = 1024,
     max_pivots: int = 1024,
+    probes: int | None = None,
 ) -> DataFrame:
     """(i, j, rank, dist): the k nearest ``base`` rows j of every row i.
 
     Without ``queries`` the table is joined to itself and a row is never its own
-    neighbour (k is capped at n-1). Order is (dist, j) with dist rounded to nine
+    neighbour (k is capped at n-1). The search is exact; with ``probes`` a row only
+    visits the cells of that many nearest pivots, which bounds the work on data without
+    structure and may miss neighbours. Order is (dist, j) with dist rounded to nine
     places. Ids are BIGINT and unique, features ARRAY<DOUBLE> without nulls.
     """
     self_join = queries is None
@@ -270,7 +278,7 @@ def knn_edges(
         known = asked.join(bounds, "qid", "left").withColumn(
             "bound", F.when(F.col("c") >= keep, F.col("far")).otherwise(F.lit(float("inf")))
         )
-        reach = cells.reachable()
+        reach = cells.reachable(probes)
         rest = (
             known.withColumn("to", F.explode(reach("vec", "cell", "bound")))
             .withColumn("to_block", F.explode(F.sequence(F.lit(0), cells.blocks_of(F.col("to")) - 1)))
@@ -297,8 +305,11 @@ def knn_edges(
             late.filter(~F.array_contains("members", F.col("id"))).select(F.col("id").alias("i"), "near")
         )
     others = F.filter("near", lambda e: e["j"] != F.col("i")) if self_join else F.col("near")
-    return per_row.select("i", F.posexplode(F.slice(others, 1, k)).alias("at", "e")).select(
-        "i", F.col("e.j").alias("j"), (F.col("at") + 1).alias("rank"), F.col("e.dist").alias("dist")
+    # written once: whatever the caller does with the edges, the search runs a single time
+    return materialize(
+        per_row.select("i", F.posexplode(F.slice(others, 1, k)).alias("at", "e")).select(
+            "i", F.col("e.j").alias("j"), (F.col("at") + 1).alias("rank"), F.col("e.dist").alias("dist")
+        )
     )
 
 

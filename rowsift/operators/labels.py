@@ -179,11 +179,12 @@ def _issue_rows(hits: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
 
 
 def rank_issues(
-    issues: DataFrame, max_issues: int = 200, score_threshold: float | None = None, id_col: str = "row_id"
+    issues: DataFrame, max_issues: int | None = None, score_threshold: float | None = None, id_col: str = "row_id"
 ) -> DataFrame:
-    """Worst first, optionally only scores up to a threshold, at most ``max_issues``."""
+    """Worst first, optionally only scores up to a threshold and at most ``max_issues``."""
     kept = issues if score_threshold is None else issues.filter(F.col("score") <= score_threshold)
-    return kept.orderBy("score", id_col).limit(max_issues)
+    ordered = kept.orderBy("score", id_col)
+    return ordered if max_issues is None else ordered.limit(max_issues)
 
 
 def multilabel_issues(df: DataFrame, n_bits: int, truth: str = "y", probs: str = "p", id_col: str = "row_id") -> DataFrame:
@@ -255,9 +256,9 @@ def regression_quality(
     return scored.withColumn("is_label_issue", F.col("label_score") < F.lit(bar))
 
 
-def regression_issues(quality: DataFrame, max_issues: int = 200, id_col: str = "row_id") -> DataFrame:
-    """The worst ``max_issues`` rows by score, then only the flagged ones of those."""
-    worst = quality.orderBy("label_score", id_col).limit(max_issues)
+def regression_issues(quality: DataFrame, max_issues: int | None = None, id_col: str = "row_id") -> DataFrame:
+    """The flagged rows; with ``max_issues`` only those among so many rows of lowest score."""
+    worst = quality if max_issues is None else quality.orderBy("label_score", id_col).limit(max_issues)
     return worst.filter(F.coalesce("is_label_issue", F.lit(False)))
 
 
@@ -280,12 +281,11 @@ def choose_prune(sources: Sequence[tuple[DataFrame, str]], n: int, id_col: str =
 
 
 def worst_rows(df: DataFrame, score: str, n: int, id_col: str = "row_id") -> DataFrame:
-    """Ids of the ``n`` rows of lowest (score, id)."""
-    if n <= 0:
-        return df.select(id_col).limit(0)
-    if n <= 100_000:
-        return df.orderBy(score, id_col).limit(n).select(id_col)
-    return top_ranked(df.select(id_col, score), n, score, id_col).select(id_col)
+    """Ids of the ``n`` rows of lowest (score, id); rows without a score are never among them."""
+    rows = df.select(id_col, score).filter(F.col(score).isNotNull())
+    if n <= 0 or rows.isEmpty():
+        return rows.select(id_col).limit(0)
+    return top_ranked(rows, n, score, id_col).select(id_col)
 
 
 def prune(df: DataFrame, bad_ids: DataFrame, id_col: str = "row_id") -> DataFrame:

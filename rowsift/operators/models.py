@@ -48,11 +48,11 @@ class ModelSpec:
 #: Default parameters per (task, model); fixed values of the model menu.
 DEFAULTS: dict[tuple[str, str], dict[str, object]] = {
     ("classification", "logistic_regression"): {"max_iter": 500, "c": 1.0},
-    ("classification", "random_forest"): {"trees": 300, "max_depth": 12},
+    ("classification", "random_forest"): {"trees": 300, "max_depth": 30},
     ("classification", "hist_gradient_boosting"): {"rounds": 100, "step": 0.1, "max_depth": 5},
     ("classification", "knn"): {"n_neighbors": 15},
     ("regression", "ridge"): {"alpha": 1.0},
-    ("regression", "random_forest"): {"trees": 500, "max_depth": 12},
+    ("regression", "random_forest"): {"trees": 500, "max_depth": 30},
     ("regression", "hist_gradient_boosting"): {"rounds": 100, "step": 0.1, "max_depth": 5},
     ("regression", "knn"): {"n_neighbors": 25},
 }

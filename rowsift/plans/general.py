@@ -13,10 +13,12 @@ from rowsift.functions.runtime import materialize, row_count
 from rowsift.operators import audit, labels, models
 from rowsift.operators.corruption import flip_labels
 from rowsift.operators.features import (
+    class_share,
     column_roles,
     encode,
     fit_preprocessor,
     label_codes,
+    null_profile,
     reduce_dimensions,
 )
 from rowsift.operators.knn import knn_edges
@@ -80,6 +82,10 @@ def run_audit(
     featurize = featurizer(columns, train, config.features)
 
     frames: dict[str, DataFrame] = {}
+    if config.issues.enabled and config.issues.audit and config.issues.full_audit:
+        frames["null_profile"] = null_profile(train, columns)
+        if classify:
+            frames["class_share"] = class_share(train, "label").withColumnRenamed("label", "code")
     errors: dict[str, str] = {}
     probs = issues = None
     if classify and config.issues.enabled:
@@ -88,13 +94,8 @@ def run_audit(
             nonlocal probs
             oof = models.out_of_fold_probs(train, spec, n_classes, config.issues.cv_folds, seed, featurize)
             probs = materialize(oof.select("row_id", "label", "probs"))
-            return materialize(
-                labels.rank_issues(
-                    labels.flag_label_issues(probs, n_classes),
-                    config.issues.max_issues,
-                    config.issues.issue_score_threshold,
-                )
-            )
+            found = labels.flag_label_issues(probs, n_classes)
+            return materialize(labels.rank_issues(found, None, config.issues.issue_score_threshold))
 
         done, failed = audit.run_checks({"label_issues": find})
         errors |= failed
@@ -112,12 +113,13 @@ def run_audit(
             frames["issue_summary"] = audit.issue_summary(table)
             frames["issue_examples"] = audit.issue_examples(table, 20, source=columns)
             if not classify and "label_score" in table.columns:
-                found = labels.regression_issues(table, config.issues.max_issues)
+                found = labels.regression_issues(table)
                 issues = found.select(
                     "row_id", "label", F.col("predicted_label").alias("suggested_label"), F.col("label_score").alias("score")
                 )
     if issues is not None:
-        frames["label_issues"] = _decoded(issues, codes)
+        # only the list that is shown is cut; counting and pruning take all issues
+        frames["label_issues"] = _decoded(labels.rank_issues(issues, config.issues.max_issues), codes)
     n_issues = issues.count() if issues is not None else 0
 
     n_prune = labels.prune_size(n_train, config.issues.prune_fraction, config.issues.prune_max_samples)
@@ -176,7 +178,7 @@ def _audit_table(train, columns, featurize, spec, probs, n_classes, config, orde
             ready = featurize(train)(train).select("row_id", "features")
             first = ready.select(F.size("features").alias("d")).first()
             vectors = reduce_dimensions(ready, "features", first["d"])
-            state["edges"] = materialize(knn_edges(vectors, config.issues.neighbours))
+            state["edges"] = knn_edges(vectors, config.issues.neighbours)
         return state["edges"]
 
     def label_check() -> DataFrame:

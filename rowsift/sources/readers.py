@@ -48,35 +48,43 @@ def read_conllu(
 ) -> DataFrame:
     """(sent_id, tok_i, token, tag): one row per word of a CoNLL-U file.
 
-    A blank line ends a sentence; comment lines and ids that are not plain
-    numbers are skipped. Sentences are numbered in file order.
+    A line that is empty or holds white space only ends a sentence, and so does the end
+    of a file; line ends may be of either kind. Comments, ids that are not plain numbers
+    and lines without the wanted columns are skipped. Sentences are numbered in file
+    order. Files are split by line: sentence numbers are running counts, so neither a
+    long sentence nor a large file has to fit one task.
     """
-    from rowsift.functions.ranking import range_rank
-
-    blocks = spark.read.option("lineSep", "\n\n").text(path).select(
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"),
-        F.col("value").alias("_text"),
+    from rowsift.functions.ranking import range_rank, running_totals
+    from rowsift.functions.runtime import materialize
+
+    cells = F.split("_line", "\t")
+    at = [CONLLU_COLUMNS[token] + 1, CONLLU_COLUMNS[tag] + 1]
+    lines = materialize(
+        spark.read.text(path).select(
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_at"),
+            F.regexp_replace("value", "\r$", "").alias("_line"),
+        )
+    )
+    wordy = F.coalesce(cells[0].rlike("^[0-9]+$"), F.lit(False)) & (F.size(cells) >= max(at))
+    marked = lines.select(
+        "_file",
+        "_block",
+        "_at",
+        F.col("_line").rlike("^\\s*$").cast("bigint").alias("_break"),
+        wordy.cast("bigint").alias("_word"),
+        F.when(wordy, F.struct(cells[at[0] - 1].alias("token"), cells[at[1] - 1].alias("tag"))).alias("_w"),
     )
-    lines = F.transform(F.split("_text", "\r?\n"), lambda s: F.split(s, "\t"))
-    wordy = F.filter(lines, lambda c: F.coalesce(F.element_at(c, 1).rlike("^[0-9]+$"), F.lit(False)))
-    pick = lambda c, name: F.try_element_at(c, F.lit(CONLLU_COLUMNS[name] + 1))
-    words = F.transform(wordy, lambda c: F.struct(pick(c, token).alias("token"), pick(c, tag).alias("tag")))
-    sents = blocks.withColumn("_words", words).filter(F.size("_words") > 0).drop("_text")
-    order = [F.col("_file"), F.col("_block"), F.col("_at")]
-    numbered = range_rank(sents, order, out="_n")
+    counted = running_totals(marked, ["_file", "_block", "_at"], ["_break", "_word"]).filter("_w IS NOT NULL")
+    words = materialize(counted.select("_file", F.col("_break_upto").alias("_s"), F.col("_word_upto").alias("_n"), "_w"))
+    starts = words.groupBy("_file", "_s").agg(F.min("_n").alias("_head"))
+    numbered = range_rank(starts, [F.col("_head")], out="_k")
     if max_sentences is not None:
-        numbered = numbered.filter(F.col("_n") <= max_sentences)
-    return numbered.select(
-        (F.col("_n") - 1).cast("bigint").alias("sent_id"), F.posexplode("_words").alias("tok_i", "_w")
-    ).select("sent_id", "tok_i", "_w.token", "_w.tag")
-
-
-def texts_to_tokens(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(sent_id, tok_i, token): whitespace words of whole texts."""
-    from rowsift.functions.text import words
-
-    return df.select(
-        F.col(id_col).cast("bigint").alias("sent_id"), F.posexplode(words(F.col(text))).alias("tok_i", "token")
+        numbered = numbered.filter(F.col("_k") <= max_sentences)
+    return words.join(numbered, ["_file", "_s"]).select(
+        (F.col("_k") - 1).cast("bigint").alias("sent_id"),
+        (F.col("_n") - F.col("_head")).cast("int").alias("tok_i"),
+        "_w.token",
+        "_w.tag",
     )

@@ -71,6 +71,29 @@ def test_conllu(spark, folder):
     assert {r["token"] for r in capped.collect()} == {"the", "dog", "run", "!"}
 
 
+def test_conllu_line_ends_blanks_and_short_lines(spark, folder):
+    lines = ["# one", "1\tA\ta\tX", "2\tB\tb\tY", "", "1\tC\tc\tX", "3\tshort", " \t", "1-2\tno\tno\tX", "1\tD\td\tZ", "", "", "1\tE\te\tX"]
+    want = [(0, 0, "A", "X"), (0, 1, "B", "Y"), (1, 0, "C", "X"), (2, 0, "D", "Z"), (3, 0, "E", "X")]
+    for k, end in enumerate(("\n", "\r\n")):
+        path = put(folder, f"ends{k}.conllu", end.join(lines))
+        got = readers.read_conllu(spark, path).orderBy("sent_id", "tok_i")
+        assert [tuple(r) for r in got.collect()] == want
+    # the end of a file ends a sentence
+    both = readers.read_conllu(spark, f"{folder}/ends*.conllu")
+    assert sorted({r["sent_id"] for r in both.collect()}) == list(range(8))
+
+
+def test_conllu_in_many_splits(spark, folder):
+    path = put(folder, "long.conllu", "\n".join(f"{k % 7 + 1}\tw{k}\tl\tX" if k % 10 else "" for k in range(4000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = readers.read_conllu(spark, path).orderBy("sent_id", "tok_i").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["token"] for r in got] == [f"w{k}" for k in range(4000) if k % 10]
+    assert [(r["sent_id"], r["tok_i"]) for r in got] == [(k // 10, k % 10 - 1) for k in range(4000) if k % 10]
+
+
 def test_registry(spark):
     reg = DatasetRegistry()
     reg.register("toy", lambda s: s.createDataFrame([(1, "a")], "x int, y string"), "classification", "y")
@@ -133,7 +156,7 @@ def test_config_limits(make):
 
 def test_config_defaults():
     c = configs.AuditConfig()
-    assert (c.model_name, c.split.test_size, c.issues.cv_folds, c.issues.max_issues) == ("logistic_regression", 0.2, 5, 200)
+    assert (c.model_name, c.split.test_size, c.issues.cv_folds, c.issues.max_issues) == ("logistic_regression", 0.2, 5, None)
     assert configs.AuditConfig(task="regression").model_name == "ridge"
     with pytest.raises(TypeError):
         configs.SplitConfig(unknown=1)
