@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowsift.functions.runtime import shared_folder
+
 #: The characters that part words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -17,25 +18,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BATCH_ROWS = 1000
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where it is unset on a local master."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    found = tempfile.mkdtemp(prefix="rowsift-llm-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to a new folder of the shared folder and read it back.
 
     This cuts the lineage at files that outlive any executor.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/rowsift-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/rowsift-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

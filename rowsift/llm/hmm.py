@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +43,8 @@ ITERATIONS = 3
 #: Frequent words whose co-occurrence the first states come from.
 SEEDS = 256
 #: Tokens in a block, and in a batch of the recursions, about.
-BLOCK_TOKENS = 3_000_000
-BATCH_TOKENS = 400_000
+BLOCK_TOKENS = 2_000_000
+BATCH_TOKENS = 200_000
 #: Pseudo-counts: of the corpus distribution in each state, of each transition.
 PRIOR, STEP_PRIOR = 50.0, 1.0
 FOLDS, HELD_FOLD = 5, 1
@@ -191,13 +192,13 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
 
     block; doc_ids, held and lengths (words, end included); ids, the dictionary numbers of
     all words (int32, end as -1); words, the dictionary joined by blanks; counts, each
-    word's tokens in training documents (int64).
+    word's tokens in training documents (int64); these three are compressed.
     """
     small_batches(docs.sparkSession)
     parted = docs.select("doc_id", "text").withColumn("part", F.spark_partition_id())
 
     def run(source):
-        words = None
+        words, serial = None, 0
         for b in source:
             for doc_id, text, part in zip(b.column("doc_id").to_pylist(), b.column("text"), b.column("part").to_pylist(), strict=True):
                 if words is None:
@@ -212,32 +213,45 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
                 ids += [own, _END]
                 filled += len(own) + 1
                 if filled >= block_tokens:
-                    yield _block(part, docs_, held, lengths, ids, words)
-                    words = None
+                    yield _block((part << 32) + serial, docs_, held, lengths, ids, words)
+                    words, serial = None, serial + 1
         if words is not None:
-            yield _block(part, docs_, held, lengths, ids, words)
+            yield _block((part << 32) + serial, docs_, held, lengths, ids, words)
 
-    out = "block string, doc_ids array<bigint>, held array<boolean>, lengths array<int>, ids binary, words binary, counts binary"
+    out = "block bigint, doc_ids array<bigint>, held array<boolean>, lengths array<int>, ids binary, words binary, counts binary"
     return parted.mapInArrow(run, out)
 
 
 _END = np.array([-1], np.int32)
 
 
-def _block(part: int, docs_: list, held: list, lengths: list, ids: list, words: dict) -> pa.RecordBatch:
+def _packed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _plain(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows one by one; a row is a block, so a batch of them is never unpacked at once."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
+
+
+def _block(block: int, docs_: list, held: list, lengths: list, ids: list, words: dict) -> pa.RecordBatch:
     flat = np.concatenate(ids)
     trained = np.repeat(~np.array(held), lengths) & (flat >= 0)
     counts = np.bincount(flat[trained], minlength=len(words)).astype(np.int64)
-    # a name from the content of the block, the same if a lost task runs again
-    name = f"{part}-{zlib.crc32(flat.tobytes())}-{docs_[0]}-{docs_[-1]}-{len(docs_)}"
     columns = [
-        pa.array([name]),
+        pa.array([block], pa.int64()),
         pa.array([docs_], pa.list_(pa.int64())),
         pa.array([held], pa.list_(pa.bool_())),
         pa.array([lengths], pa.list_(pa.int32())),
-        pa.array([flat.tobytes()], pa.binary()),
-        pa.array([b" ".join(words)], pa.binary()),
-        pa.array([counts.tobytes()], pa.binary()),
+        pa.array([_packed(flat.tobytes())], pa.binary()),
+        pa.array([_packed(b" ".join(words))], pa.binary()),
+        pa.array([_packed(counts.tobytes())], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["block", "doc_ids", "held", "lengths", "ids", "words", "counts"])
 
@@ -246,23 +260,22 @@ def _dictionaries(packed: DataFrame) -> DataFrame:
     """(block, local, word, n): a row for each word of each block."""
 
     def run(source):
-        for b in source:
-            for block, words, counts in zip(*(b.column(c).to_pylist() for c in ("block", "words", "counts")), strict=True):
-                all_words = words.split(b" ") if words else []
-                n = np.frombuffer(counts, np.int64)
-                for lo in range(0, len(all_words), 50_000):
-                    some = all_words[lo : lo + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([block] * len(some)),
-                            pa.array(np.arange(lo, lo + len(some), dtype=np.int32)),
-                            pa.array(some, pa.binary()),
-                            pa.array(n[lo : lo + len(some)]),
-                        ],
-                        names=["block", "local", "word", "n"],
-                    )
-
-    return packed.select("block", "words", "counts").mapInArrow(run, "block string, local int, word binary, n bigint")
+        for r in _rows(source):
+            all_words = [w for w in _plain(r["words"]).split(b" ") if w]
+            n = np.frombuffer(_plain(r["counts"]), np.int64)
+            for lo in range(0, len(all_words), 50_000):
+                some = all_words[lo : lo + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(some), r["block"])),
+                        pa.array(np.arange(lo, lo + len(some), dtype=np.int32)),
+                        pa.array(some, pa.binary()),
+                        pa.array(n[lo : lo + len(some)]),
+                    ],
+                    names=["block", "local", "word", "n"],
+                )
+
+    return packed.select("block", "words", "counts").mapInArrow(run, "block bigint, local int, word binary, n bigint")
 
 
 @dataclass(frozen=True)
@@ -310,7 +323,7 @@ def lexicon(dictionary: DataFrame, ends: int) -> Lexicon:
 def encoded(packed: DataFrame, dictionary: DataFrame, lex: Lexicon) -> DataFrame:
     """Blocks with class numbers for words, and the sums over words that no state changes.
 
-    block, doc_ids, held, lengths, classes (uint16), known (training words and ends),
+    block, doc_ids, held, lengths, classes (uint16, compressed), known (training words and ends),
     log_count (sum of log10(c + 0.5)) and within (sum of log10 of the words' shares of
     their classes), all as arrays by document.
     """
@@ -326,8 +339,8 @@ def encoded(packed: DataFrame, dictionary: DataFrame, lex: Lexicon) -> DataFrame
         log_count = np.log10(c + 0.5)
         within = np.where(cls > OWN, log_count - bound[cls], 0.0)
         out = []
-        for r in block.to_pylist():
-            ids = np.frombuffer(r["ids"], np.int32)
+        for r in _rows(block.to_batches()):
+            ids = np.frombuffer(_plain(r["ids"]), np.int32)
             starts = np.cumsum([0, *r["lengths"][:-1]])
             out.append(
                 {
@@ -335,7 +348,7 @@ def encoded(packed: DataFrame, dictionary: DataFrame, lex: Lexicon) -> DataFrame
                     "doc_ids": r["doc_ids"],
                     "held": r["held"],
                     "lengths": r["lengths"],
-                    "classes": cls[ids].astype(np.uint16).tobytes(),
+                    "classes": _packed(cls[ids].astype(np.uint16).tobytes()),
                     "known": np.add.reduceat((c[ids] > 0).astype(np.int64), starts).tolist(),
                     "log_count": np.add.reduceat(log_count[ids], starts).tolist(),
                     "within": np.add.reduceat(within[ids], starts).tolist(),
@@ -344,13 +357,13 @@ def encoded(packed: DataFrame, dictionary: DataFrame, lex: Lexicon) -> DataFrame
         return pa.Table.from_pylist(out, schema=_ENCODED)
 
     kept = packed.select("block", "doc_ids", "held", "lengths", "ids")
-    fields = "block string, doc_ids array<bigint>, held array<boolean>, lengths array<int>, classes binary, known array<bigint>, log_count array<double>, within array<double>"
+    fields = "block bigint, doc_ids array<bigint>, held array<boolean>, lengths array<int>, classes binary, known array<bigint>, log_count array<double>, within array<double>"
     return kept.groupBy("block").cogroup(spelled.groupBy("block")).applyInArrow(run, fields)
 
 
 _ENCODED = pa.schema(
     [
-        ("block", pa.string()),
+        ("block", pa.int64()),
         ("doc_ids", pa.list_(pa.int64())),
         ("held", pa.list_(pa.bool_())),
         ("lengths", pa.list_(pa.int32())),
@@ -379,7 +392,7 @@ def _training(r: dict) -> tuple[np.ndarray, np.ndarray]:
     """Classes and lengths of a block's training documents."""
     lengths = np.array(r["lengths"], np.int64)
     learned = ~np.array(r["held"], bool)
-    classes = np.frombuffer(r["classes"], np.uint16)
+    classes = np.frombuffer(_plain(r["classes"]), np.uint16)
     return classes[np.repeat(learned, lengths)], lengths[learned]
 
 
@@ -400,13 +413,12 @@ def _per_task(coded: DataFrame, add, width: int) -> dict[str, np.ndarray]:
 
     def run(source):
         total, part = {}, 0
-        for b in source:
-            for r in b.to_pylist():
-                part = r["part"]
-                classes, lengths = _training(r)
-                if len(lengths):
-                    for name, v in add(classes, lengths).items():
-                        total[name] = total[name] + v if name in total else v
+        for r in _rows(source):
+            part = r["part"]
+            classes, lengths = _training(r)
+            if len(lengths):
+                for name, v in add(classes, lengths).items():
+                    total[name] = total[name] + v if name in total else v
         if total:
             yield _vectors(total, part)
 
@@ -459,25 +471,24 @@ def scored(coded: DataFrame, lex: Lexicon, model: Hmm) -> DataFrame:
     base, total = lex.base_bound() if lex.total else math.log10(0.5), lex.total
 
     def run(source):
-        for b in source:
-            for r in b.to_pylist():
-                lengths = np.array(r["lengths"], np.int64)
-                classes = np.frombuffer(r["classes"], np.uint16)
-                logs = np.empty(len(lengths))
-                for part, seen, active in batches(classes, lengths):
-                    logs[part], _, _ = forward(sent.value, seen, active, False)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(r["doc_ids"], pa.int64()),
-                        pa.array(r["held"], pa.bool_()),
-                        pa.array(lengths),
-                        pa.array(r["known"], pa.int64()),
-                        pa.array([total] * len(lengths), pa.int64()),
-                        pa.array(np.array(r["log_count"]) - lengths * base),
-                        pa.array(np.array(r["within"]) + logs / math.log(10)),
-                    ],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        for r in _rows(source):
+            lengths = np.array(r["lengths"], np.int64)
+            classes = np.frombuffer(_plain(r["classes"]), np.uint16)
+            logs = np.empty(len(lengths))
+            for part, seen, active in batches(classes, lengths):
+                logs[part], _, _ = forward(sent.value, seen, active, False)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(r["doc_ids"], pa.int64()),
+                    pa.array(r["held"], pa.bool_()),
+                    pa.array(lengths),
+                    pa.array(r["known"], pa.int64()),
+                    pa.array([total] * len(lengths), pa.int64()),
+                    pa.array(np.array(r["log_count"]) - lengths * base),
+                    pa.array(np.array(r["within"]) + logs / math.log(10)),
+                ],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     return coded.mapInArrow(
         run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
