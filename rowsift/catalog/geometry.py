@@ -246,6 +246,12 @@ def softmin_quality(spark, sf_dir):
     return out.withColumn("quality", F.round("quality", 6))
 
 
+def softmin_padded(spark, sf_dir):
+    """Quality of the 8 x 8 masks padded to 10 x 10."""
+    out = vision.softmin_quality(_damaged_pixels(spark, sf_dir), padded=(10, 10))
+    return out.withColumn("quality", F.round("quality", 6))
+
+
 def softmin_topk(spark, sf_dir):
     pixels = materialize(_damaged_pixels(spark, sf_dir))
     bad = pixels.filter("was_corrupted").select("image_id").distinct()
@@ -273,6 +279,7 @@ QUERIES = {
     "corrupt_mask": corrupt_mask,
     "pixel_probs": pixel_probs,
     "softmin_quality": softmin_quality,
+    "softmin_padded": softmin_padded,
     "softmin_topk": softmin_topk,
 }
 
@@ -308,6 +315,11 @@ ORACLE = {
         "SELECT image_id, y, x, round(least(greatest(coalesce(m, 0.0), 0.0), 1.0), 6) AS p FROM grid LEFT JOIN bs USING (image_id, y, x)"
     ),
     "softmin_quality": f"WITH {_SQL_DAMAGED_PIXELS} SELECT image_id, round(quality, 6) AS quality FROM sm",
+    "softmin_padded": (
+        f"WITH {_SQL_DAMAGED_PIXELS} SELECT image_id, round((sum(q * exp(-q / 0.1)) + (100 - count(*)) * exp(-10.0)) / "
+        "(sum(exp(-q / 0.1)) + (100 - count(*)) * exp(-10.0)), 6) AS quality FROM "
+        "(SELECT image_id, CASE WHEN label = 1 THEN p ELSE 1 - p END AS q FROM dp) GROUP BY image_id"
+    ),
     "softmin_topk": (
         f"WITH {_SQL_DAMAGED_PIXELS}, tr AS (SELECT image_id FROM sm WHERE was_corrupted), "
         "fo AS (SELECT image_id FROM sm QUALIFY row_number() OVER (ORDER BY quality, image_id) <= greatest(1, (SELECT count(*) FROM tr))), "

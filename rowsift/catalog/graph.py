@@ -105,6 +105,15 @@ def label_issues_top(spark, sf_dir):
     return labels.rank_issues(found, max_issues=200).withColumn("score", F.round("score", 6))
 
 
+#: Highest score in the list of sure issues.
+SURE_SCORE = 0.25
+
+
+def label_issues_sure(spark, sf_dir):
+    found = labels.flag_label_issues(loo(spark, sf_dir), K_CLASSES)
+    return labels.rank_issues(found, score_threshold=SURE_SCORE).withColumn("score", F.round("score", 6))
+
+
 def _noisy_issues(spark, sf_dir):
     p, pr = noisy_loo(spark, sf_dir)
     return p, pr, labels.flag_label_issues(pr, 3)
@@ -126,6 +135,16 @@ def prune(spark, sf_dir):
     return labels.prune(p, _pruned_ids(p, found)).select("row_id", "label")
 
 
+def prune_fallback(spark, sf_dir):
+    """Rows left when no label issue was found and flagged outliers are pruned instead."""
+    p = points(spark, sf_dir)
+    found = materialize(audit.outlier_scores(graph(spark, sf_dir)))
+    none = found.select("row_id", F.col("outlier_score").alias("score")).limit(0)
+    flagged = found.filter("is_outlier_issue OR outlier_score <= 0.5")
+    bad = labels.choose_prune([(none, "score"), (flagged, "outlier_score")], labels.prune_size(p.count(), 0.1))
+    return labels.prune(p, bad).select("row_id", "label")
+
+
 def prune_quality(spark, sf_dir):
     p, _, found = _noisy_issues(spark, sf_dir)
     q = metrics.set_quality(_pruned_ids(p, found), p.filter("was_corrupted"))
@@ -521,6 +540,8 @@ def _sql_auc(classes: str) -> str:
 QUERIES = {
     "label_issues": label_issues,
     "label_issues_top": label_issues_top,
+    "label_issues_sure": label_issues_sure,
+    "prune_fallback": prune_fallback,
     "knn_graph": knn_graph,
     "knn_vote": vote,
     "knn_regress": regress,
@@ -561,6 +582,16 @@ QUERIES = {
 
 ORACLE = {
     "label_issues": f"WITH {SQL_LOO}, {sql_issues()} SELECT row_id, label, suggested_label, round(score, 6) AS score FROM issues",
+    "label_issues_sure": (
+        f"WITH {SQL_LOO}, {sql_issues()} SELECT row_id, label, suggested_label, round(score, 6) AS score FROM issues "
+        f"WHERE score <= {SURE_SCORE}"
+    ),
+    "prune_fallback": (
+        f"WITH {SQL_POINTS}, {sql_edges('pts', 10)}, {_sql_outlier()}, bad AS (SELECT row_id FROM outl "
+        "WHERE is_outlier_issue OR outlier_score <= 0.5 QUALIFY row_number() OVER (ORDER BY outlier_score, row_id) "
+        "<= (SELECT CAST(round_even(0.1 * count(*), 0) AS BIGINT) FROM pts)) "
+        "SELECT row_id, label FROM pts WHERE row_id NOT IN (SELECT row_id FROM bad)"
+    ),
     "label_issues_top": (
         f"WITH {SQL_LOO}, {sql_issues()} SELECT row_id, label, suggested_label, round(score, 6) AS score "
         "FROM (SELECT * FROM issues ORDER BY score, row_id LIMIT 200)"

@@ -223,4 +223,17 @@ QUERIES = {
     "vision_run": vision_run,
     "anomaly_run": anomaly_run,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "preprocess": (
+        "WITH m AS (SELECT avg(p_size) AS a, stddev_pop(p_size) AS s FROM part), "
+        "b AS (SELECT p_brand AS v, row_number() OVER (ORDER BY p_brand) AS k FROM (SELECT DISTINCT p_brand FROM part)), "
+        "t AS (SELECT p_type AS v, row_number() OVER (ORDER BY count(*) DESC, p_type) AS r, count(*) OVER () AS total FROM part GROUP BY p_type), "
+        "kept AS (SELECT v, row_number() OVER (ORDER BY v) AS k FROM t WHERE total <= 100 OR r <= 99), "
+        "n AS (SELECT (SELECT count(*) FROM b) AS nb, (SELECT count(*) FROM kept) AS nt, (SELECT max(total) > 100 FROM t) AS pooled), "
+        "slot AS (SELECT unnest(range(1 + nb + nt + CAST(pooled AS INTEGER))) AS pos FROM n) "
+        "SELECT p_partkey AS row_id, CAST(pos AS INTEGER) AS pos, round(CAST(CASE WHEN pos = 0 THEN (p_size - a) / s "
+        "WHEN pos <= nb THEN CAST(b.k = pos AS INTEGER) WHEN pos <= nb + nt THEN CAST(coalesce(kept.k = pos - nb, FALSE) AS INTEGER) "
+        "ELSE CAST(kept.k IS NULL AS INTEGER) END AS DOUBLE), 6) AS v "
+        "FROM part CROSS JOIN m CROSS JOIN n CROSS JOIN slot JOIN b ON b.v = p_brand LEFT JOIN kept ON kept.v = p_type"
+    ),
+}

@@ -124,8 +124,8 @@ def standardize(spark, sf_dir):
 def one_hot(spark, sf_dir):
     parts = read(spark, sf_dir, "part").select("p_partkey", "p_brand")
     prep = features.fit_preprocessor(parts, [], ["p_brand"], max_categories=10)
-    hot = F.transform(prep.one_hot("p_brand"), lambda v: v.cast("int"))
-    return parts.select("p_partkey", _text(hot).alias("slots"))
+    hot = F.transform("hot", lambda v: v.cast("int"))
+    return prep.one_hot(parts, "p_brand", "hot").select("p_partkey", _text(hot).alias("slots"))
 
 
 # -- corruption of rows ------------------------------------------------------

@@ -113,6 +113,28 @@ def cut_points(
     return {g: sorted(v) for g, v in out.items()}
 
 
+def ranked_cuts(df: DataFrame, key: Column, wanted: Column, groups: Sequence[str], sizes: DataFrame) -> DataFrame:
+    """(groups..., _cuts): :func:`cut_points` as a table, for any number of groups.
+
+    ``wanted`` is the ascending array of ranks as an expression over a row of ``sizes``
+    (groups..., _n, ...). One range shuffle of the keys finds them.
+    """
+    ranked = range_rank(df.select(*groups, key.alias("_key")), [F.col("_key")], groups, "_rank")
+    both = _null_safe_join(ranked, checked_broadcast(sizes.withColumn("_wanted", wanted)), groups)
+    hits = both.filter(F.array_contains("_wanted", F.col("_rank").cast("bigint")))
+    return materialize(hits.groupBy(*groups).agg(F.sort_array(F.collect_list("_key")).alias("_cuts")))
+
+
+def join_cuts(df: DataFrame, cuts: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Attach ``_cuts`` from :func:`ranked_cuts`; null without a cut."""
+    cond = None
+    for g in groups:
+        one = F.col(f"l.`{g}`").eqNullSafe(F.col(f"r.`{g}`"))
+        cond = one if cond is None else cond & one
+    joined = df.alias("l").join(checked_broadcast(cuts).alias("r"), cond, "left")
+    return joined.select(*[F.col(f"l.`{c}`") for c in df.columns], F.col("r._cuts").alias("_cuts"))
+
+
 def cut_column(df: DataFrame, cuts: dict[tuple, list[str]], groups: Sequence[str]) -> DataFrame:
     """Attach the cut keys of each row's group as ``_cuts ARRAY<STRING>``.
 
@@ -258,12 +280,11 @@ def top_ranked(
         else:
             stats = _null_safe_join(stats, n, groups)
         stats = stats.filter("_n > 0").withColumn("_bar", bar(F.col("_total"), F.col("_n")))
-        found = collect_small(stats.select(*groups, "_n", "_bar", "_total"))
-        if not found:
+        bars = materialize(stats.select(*groups, "_n", "_bar", "_total"))
+        total = bars.agg(F.sum("_total").alias("t")).first()["t"]
+        if not total:
             return df.limit(0)
-        bars = df.sparkSession.createDataFrame(found, stats.select(*groups, "_n", "_bar", "_total").schema)
-        total = sum(r["_total"] for r in found)
-        survivors = _null_safe_join(base, F.broadcast(bars.drop("_total")), groups)
+        survivors = _null_safe_join(base, checked_broadcast(bars.drop("_total")), groups)
     else:
         found = stats.select("_total", bar(F.col("_total"), F.lit(n)).alias("_bar")).first()
         total = found["_total"]
@@ -273,6 +294,14 @@ def top_ranked(
     return ranked.filter(F.col("_rank") <= F.col("_n")).drop("_rank", "_v", "_n")
 
 
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Median of each column's non-null values; one pass for all of them while the table is of moderate size."""
+    if row_count(df) > _LOCAL_ROWS:
+        return {c: exact_percentile(df, c, 0.5) for c in columns}
+    row = df.agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in columns]).first()
+    return {c: row[c] for c in columns}
+
+
 def exact_percentile(df: DataFrame, column: str, q: float) -> float | None:
     """Linear-interpolated percentile of the non-null values.
 

@@ -11,11 +11,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsift.functions.ranking import KEY_DIGITS, exact_percentile
-from rowsift.functions.runtime import collect_small
+from rowsift.functions.ranking import KEY_DIGITS, exact_medians
+from rowsift.functions.runtime import collect_small, materialize
 from rowsift.functions.text import BEGIN, END, shape_features
 
 
+#: Most columns whose d x d products are summed and decomposed on the driver.
+MAX_WIDTH = 4096
+
+
 def column_roles(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
     """(numeric, categorical) columns by type; booleans count as numeric."""
     numeric, categorical = [], []
@@ -66,6 +70,8 @@ class Preprocessor:
     spread: dict[str, float] = field(default_factory=dict)
     levels: dict[str, list[str]] = field(default_factory=dict)
     pooled: dict[str, bool] = field(default_factory=dict)
+    #: (name, level) of all levels seen, as a table; however many they are
+    seen: DataFrame | None = None
 
     def impute(self, df: DataFrame) -> DataFrame:
         cols = {c: F.coalesce(_number(df, c), F.lit(self.fill[c])) for c in self.numeric}
@@ -80,18 +86,20 @@ class Preprocessor:
         }
         return df.withColumns(cols) if cols else df
 
-    def one_hot(self, column: str) -> Column:
-        """0/1 array over the known levels, plus one pooled slot when levels were cut."""
+    def one_hot(self, df: DataFrame, column: str, out: str) -> DataFrame:
+        """Add a 0/1 array over the kept levels, plus one pooled slot when levels were cut.
+
+        At most max_categories levels are kept, so they are a constant; whether any other
+        value is a rare level or was never seen comes from a join with the level table.
+        """
         known = F.array(*[F.lit(v) for v in self.levels[column]]).cast("array<string>")
         slots = F.transform(known, lambda v: (v == F.col(column)).cast("double"))
         if not self.pooled[column]:
-            return slots
-        seen = F.array(*[F.lit(v) for v in self.fill_levels(column)]).cast("array<string>")
-        rare = (~F.array_contains(known, F.col(column))) & F.array_contains(seen, F.col(column))
-        return F.concat(slots, F.array(rare.cast("double")))
-
-    def fill_levels(self, column: str) -> list[str]:
-        return self.levels[column] + self.levels.get(f"{column}//rare", [])
+            return df.withColumn(out, slots)
+        rare = self.seen.filter(F.col("name") == column).select(F.col("level").alias("_level"), F.lit(1.0).alias("_rare"))
+        other = F.when(~F.array_contains(known, F.col(column)), F.col(column))
+        joined = df.withColumn("_other", other).join(rare, F.col("_other") == F.col("_level"), "left")
+        return joined.withColumn(out, F.concat(slots, F.array(F.coalesce("_rare", F.lit(0.0))))).drop("_other", "_level", "_rare")
 
     @property
     def width(self) -> int:
@@ -102,10 +110,13 @@ class Preprocessor:
         """Numeric then one-hot columns as one ARRAY<DOUBLE>; the inputs are dropped."""
         ready = self.scale(self.impute(df))
         parts = [F.array(*[F.col(c) for c in self.numeric])] if self.numeric else []
-        parts += [self.one_hot(c) for c in self.categorical]
+        for c in self.categorical:
+            ready = self.one_hot(ready, c, f"{c}//hot")
+            parts.append(F.col(f"`{c}//hot`"))
         if not parts:
             return ready.withColumn(out, F.array().cast("array<double>"))
-        return ready.withColumn(out, F.concat(*parts)).drop(*self.numeric, *self.categorical)
+        hot = [f"{c}//hot" for c in self.categorical]
+        return ready.withColumn(out, F.concat(*parts)).drop(*self.numeric, *self.categorical, *hot)
 
 
 def _number(df: DataFrame, c: str) -> Column:
@@ -135,7 +146,7 @@ def fit_preprocessor(
         means = numbers.agg(*[F.avg(c).alias(c) for c in numeric]).first()
         fill |= {c: means[c] if means[c] is not None else 0.0 for c in numeric}
     elif numeric:
-        fill |= {c: exact_percentile(numbers, c, 0.5) or 0.0 for c in numeric}
+        fill |= {c: m or 0.0 for c, m in exact_medians(numbers, numeric).items()}
     center, spread = {}, {}
     if numeric and scale:
         filled = numbers.select(*[F.coalesce(c, F.lit(fill[c])).alias(c) for c in numeric])
@@ -145,18 +156,21 @@ def fit_preprocessor(
         ).first()
         center = {c: stats[f"{c}//m"] for c in numeric}
         spread = {c: stats[f"{c}//s"] if round(stats[f"{c}//s"] or 0.0, 12) > 0 else 1.0 for c in numeric}
-    levels, pooled = {}, {}
-    for c in categorical:
-        counted = train.groupBy(F.col(c).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        rows = [r for r in collect_small(counted) if r["v"] is not None]
-        rows.sort(key=lambda r: (-r["n"], r["v"]))
-        fill[c] = rows[0]["v"] if rows else ""
-        names = [r["v"] for r in rows]
-        pooled[c] = len(names) > max_categories
-        kept = names[: max_categories - 1] if pooled[c] else names
-        levels[c] = sorted(kept)
-        levels[f"{c}//rare"] = sorted(set(names) - set(kept))
-    return Preprocessor(tuple(numeric), tuple(categorical), fill, center, spread, levels, pooled)
+    levels, pooled, seen = {}, {}, None
+    if categorical:
+        # one aggregate counts the levels of all columns
+        long = train.select(*[F.col(c).cast("string").alias(c) for c in categorical]).unpivot([], list(categorical), "name", "level")
+        seen = materialize(long.filter("level IS NOT NULL").groupBy("name", "level").agg(F.count(F.lit(1)).alias("n")))
+        by_size = Window.partitionBy("name").orderBy(F.desc("n"), "level")
+        top = seen.withColumn("at", F.row_number().over(by_size)).filter(F.col("at") <= max_categories + 1)
+        found: dict[str, list[str]] = {c: [] for c in categorical}
+        for r in top.orderBy("name", "at").select("name", "level").collect():
+            found[r["name"]].append(r["level"])
+        for c, names in found.items():
+            fill[c] = names[0] if names else ""
+            pooled[c] = len(names) > max_categories
+            levels[c] = sorted(names[: max_categories - 1] if pooled[c] else names)
+    return Preprocessor(tuple(numeric), tuple(categorical), fill, center, spread, levels, pooled, seen)
 
 
 def standardize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -205,6 +219,8 @@ def reduce_dimensions(df: DataFrame, features: str, width: int, limit: int = 50)
     """
     if width == 0:
         raise ValueError("no_features")
+    if width > MAX_WIDTH:
+        raise ValueError(f"{width} columns are too many to decompose; the limit is {MAX_WIDTH}")
     if width <= limit:
         return df
     keep = min(limit, max(2, width - 1))
@@ -218,11 +234,11 @@ def reduce_dimensions(df: DataFrame, features: str, width: int, limit: int = 50)
         yield pd.DataFrame({"row": range(width), "sums": list(total)})
 
     parts = df.select(F.col(features).alias("x")).mapInPandas(partial_gram, "row int, sums array<double>")
-    cells = parts.select("row", F.posexplode("sums").alias("col", "v"))
-    summed = collect_small(cells.groupBy("row", "col").agg(F.sum("v").alias("v")), width * width)
+    cells = parts.select("row", F.posexplode("sums").alias("col", "v")).groupBy("row", "col").agg(F.sum("v").alias("v"))
+    rows = cells.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("col", "v"))).alias("x"))
     gram = np.zeros((width, width))
-    for r in summed:
-        gram[r["row"], r["col"]] = r["v"]
+    for r in rows.select("row", F.col("x.v").alias("v")).collect():
+        gram[r["row"]] = r["v"]
     basis = np.linalg.eigh(gram)[1][:, ::-1][:, :keep]
     top = np.abs(basis).argmax(axis=0)
     basis = basis * np.where(basis[top, range(keep)] < 0, -1.0, 1.0)

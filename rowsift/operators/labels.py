@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rowsift.functions.arrays import argmax, prob_at, safe_divide
 from rowsift.functions.ranking import KEY_DIGITS, exact_percentile, sort_key, top_ranked
-from rowsift.functions.runtime import collect_small, materialize
+from rowsift.functions.runtime import checked_broadcast, collect_small, materialize
 
 
 #: Up to this many classes the search for the confident class is plain generated
@@ -123,14 +123,13 @@ def flag_label_issues(
     if filter_by == "confident_joint":
         hits = _with_confident(df, n_classes, by, threshold).filter("confident <> label")
         return _issue_rows(hits.filter(wrong), by, id_col)
-    sizes = collect_small(class_sizes(df, by))
-    size_table = df.sparkSession.createDataFrame(sizes, class_sizes(df, by).schema) if sizes else class_sizes(df, by)
+    size_table = materialize(class_sizes(df, by))
     rates = noise_rates(confident_joint(df, n_classes, by, threshold), size_table, by)
     if by:
         totals = size_table.groupBy(*by).agg(F.sum("class_n").alias("_all"))
-        off = rates.join(F.broadcast(totals), by).filter("label <> confident")
+        off = rates.join(checked_broadcast(totals), by).filter("label <> confident")
     else:
-        off = rates.filter("label <> confident").withColumn("_all", F.lit(sum(r["class_n"] for r in sizes)))
+        off = rates.filter("label <> confident").withColumn("_all", F.lit(size_table.agg(F.sum("class_n").alias("n")).first()["n"]))
     size = F.col("joint") * F.col("_all")
     cells = off.withColumn("_n", F.bround(F.round(size, 6), 0).cast("bigint")).filter("_n > 0")
     if filter_by == "by_class":
@@ -140,17 +139,13 @@ def flag_label_issues(
         return _issue_rows(hits.filter(wrong), by, id_col)
     if filter_by != "prune_by_noise_rate":
         raise ValueError(f"unknown filter: {filter_by}")
-    wanted = [
-        (*[r[b] for b in by], r["label"], r["confident"], r["_n"])
-        for r in collect_small(cells.select(*by, "label", "confident", "_n"))
-    ]
-    spark = df.sparkSession
-    schema = "".join(f"`{b}` {df.schema[b].dataType.simpleString()}, " for b in by)
-    n_table = spark.createDataFrame(wanted, schema + "label int, _other int, _n bigint")
+    n_table = materialize(
+        cells.select(*by, F.col("label").cast("int").alias("label"), F.col("confident").cast("int").alias("_other"), "_n")
+    )
     others = n_table.groupBy(*by, "label").agg(F.sort_array(F.collect_list("_other")).alias("_others"))
     slim = df.select(*by, id_col, F.col("label").cast("int").alias("label"), "probs")
     long = (
-        slim.join(F.broadcast(others), [*by, "label"])
+        slim.join(checked_broadcast(others), [*by, "label"])
         .withColumn("_other", F.explode("_others"))
         .withColumn("_margin", sort_key(prob_at("probs", "_other") - prob_at("probs", "label")))
         .select(*by, id_col, "label", "_other", "_margin", wrong.alias("_wrong"),

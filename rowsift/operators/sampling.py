@@ -8,11 +8,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowsift.functions.hashing import hash_key
-from rowsift.functions.ranking import cut_column, cut_points, group_counts, pick_smallest
+from rowsift.functions.ranking import cut_column, cut_points, group_counts, join_cuts, pick_smallest, ranked_cuts
+from rowsift.functions.runtime import materialize, row_count
 
 
 def sample_cap(df: DataFrame, max_rows: int | None, id_col: str = "row_id", seed: int = 42) -> DataFrame:
@@ -43,14 +44,47 @@ def stratified_split(
 ) -> DataFrame:
     """Adds a test flag: ceil(test_size * n) rows, each label in proportion."""
 
+    few = "a stratified split needs at least 2 rows of every class"
+    sizes = _group_table(df, label)
+    if sizes is not None:
+        return _split_many_classes(df, label, sizes, test_size, hash_key(seed, "split", id_col), flag, few)
+
     def quota(sizes: dict[tuple, int]) -> dict[tuple, int]:
         if min(sizes.values()) < 2:
-            raise ValueError("a stratified split needs at least 2 rows of every class")
+            raise ValueError(few)
         return _shares(sizes, math.ceil(round(test_size * sum(sizes.values()), 9)))
 
     return pick_smallest(df, hash_key(seed, "split", id_col), quota, [label], flag)
 
 
+#: Groups times cut points beyond which they stay a table instead of driver constants.
+MANY_CUTS = 50_000
+
+
+def _group_table(df: DataFrame, label: str, cuts: int = 1) -> DataFrame | None:
+    """(label, _n) if there are many groups, else None."""
+    sizes = materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
+    return sizes if row_count(sizes) * cuts > MANY_CUTS else None
+
+
+def _split_many_classes(
+    df: DataFrame, label: str, sizes: DataFrame, test_size: float, key: Column, flag: str, few: str
+) -> DataFrame:
+    """:func:`stratified_split` with the shares of :func:`_shares` worked out in tables of a row per class."""
+    total = sizes.agg(F.sum("_n").alias("n"), F.min("_n").alias("least")).first()
+    if total["least"] < 2:
+        raise ValueError(few)
+    rows = math.ceil(round(test_size * total["n"], 9))
+    exact = F.lit(rows) * F.col("_n") / F.lit(total["n"])
+    shared = sizes.withColumn("_x", exact).withColumn("_floor", F.floor(F.col("_x") + 1e-9))
+    rest = rows - (shared.agg(F.sum("_floor").alias("f")).first()["f"] or 0)
+    order = Window.orderBy(F.desc(F.round(F.col("_x") - F.col("_floor"), 9)), F.col(label).cast("string"))
+    quota = shared.withColumn("_q", F.col("_floor") + (F.row_number().over(order) <= rest).cast("bigint"))
+    cuts = ranked_cuts(df, key, F.array(F.col("_q").cast("bigint")), [label], materialize(quota.select(label, "_n", "_q")))
+    hit = F.coalesce(key <= F.try_element_at("_cuts", F.lit(1)), F.lit(False))
+    return join_cuts(df, cuts, [label]).withColumn(flag, hit).drop("_cuts")
+
+
 def plain_split(
     df: DataFrame,
     test_size: float = 0.2,
@@ -95,6 +129,12 @@ def kfold(
     """Adds fold 0..k-1, balanced within each label when ``label`` is given."""
     groups = [label] if label else []
     key = hash_key(seed, "fold", id_col)
+    sizes = _group_table(df, label, k - 1) if label else None
+    if sizes is not None:
+        n = F.col("_n")
+        ends = [F.lit(f + 1) * F.floor(n / k) + F.least(F.lit(f + 1), n % k) for f in range(k - 1)]
+        cuts = ranked_cuts(df, key, F.array(*[e.cast("bigint") for e in ends]), groups, sizes)
+        return _fold_from_cuts(join_cuts(df, cuts, groups), key, k, out)
     cuts = cut_points(df, key, lambda sizes: {g: _fold_ends(n, k) for g, n in sizes.items()}, groups)
     return _fold_from_cuts(cut_column(df, cuts, groups), key, k, out)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rowsift.functions.hashing import hash_below, hash_key, hash_uniform
 from rowsift.functions.ranking import KEY_DIGITS
+from rowsift.functions.runtime import materialize
 from rowsift.functions.skew import skew_join
 
 CORNERS = ("x1", "y1", "x2", "y2")
@@ -117,42 +118,61 @@ def mask_boxes(mask: DataFrame) -> DataFrame:
     )
 
 
-def _tiled(boxes: DataFrame, tile: float, side: str) -> DataFrame:
+#: A box is copied to at most this many tiles in either direction, and one.
+TILES = 32
+#: Truth boxes of one tile beyond which the tile is dealt to several tasks.
+BUSY_TILE = 2000
+
+
+def _tile_sides(truth: DataFrame, pred: DataFrame) -> DataFrame:
+    """(image_id, _tile): about the mean side of an image's boxes, so that a crowd of small boxes gets small tiles."""
+    side = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    both = truth.select("image_id", side.alias("s")).unionByName(pred.select("image_id", side.alias("s")))
+    return both.groupBy("image_id").agg(F.greatest(F.avg("s"), F.max("s") / TILES, F.lit(1e-6)).alias("_tile"))
+
+
+def _tiled(boxes: DataFrame, tiles: DataFrame | None, tile: float | None, side: str) -> DataFrame:
     """One copy of a box per tile it touches, corners renamed for ``side``."""
-    span = lambda a, b: F.sequence(F.floor(F.col(a) / tile), F.floor(F.col(b) / tile))
+    span = lambda a, b: F.sequence(F.floor(F.col(a) / F.col("_tile")), F.floor(F.col(b) / F.col("_tile")))
+    sized = boxes.withColumn("_tile", F.lit(tile)) if tiles is None else skew_join(boxes, tiles, ["image_id"])
     return (
-        boxes.withColumn("_tx", F.explode(span("x1", "x2")))
+        sized.withColumn("_tx", F.explode(span("x1", "x2")))
         .withColumn("_ty", F.explode(span("y1", "y2")))
         .select(
             "image_id",
             "_tx",
             "_ty",
+            *([F.col("_tile")] if side == "t" else []),
             *[F.col(c).alias(f"{side}_{c}") for c in boxes.columns if c != "image_id"],
         )
     )
 
 
-def box_iou(truth: DataFrame, pred: DataFrame, tile: float = 64.0) -> DataFrame:
+def box_iou(truth: DataFrame, pred: DataFrame, tile: float | None = None) -> DataFrame:
     """Overlapping (truth, prediction) pairs of an image with their IoU.
 
     The join is on (image, tile), so boxes that are far apart never meet, and a
-    pair is reported only by the tile of the corner of its intersection.
-    Columns t_* and p_* hold the two boxes.
+    pair is reported only by the tile of the corner of its intersection. The side of
+    a tile follows from the image's boxes unless ``tile`` sets it; busy tiles are
+    dealt to several tasks. Columns t_* and p_* hold the two boxes.
     """
-    pairs = _tiled(truth, tile, "t").join(_tiled(pred, tile, "p"), ["image_id", "_tx", "_ty"])
+    tiles = materialize(_tile_sides(truth, pred)) if tile is None else None
+    pairs = skew_join(
+        _tiled(truth, tiles, tile, "t"), _tiled(pred, tiles, tile, "p"), ["image_id", "_tx", "_ty"], hot_rows=BUSY_TILE
+    )
     left, top = F.greatest("t_x1", "p_x1"), F.greatest("t_y1", "p_y1")
     right, bottom = F.least("t_x2", "p_x2"), F.least("t_y2", "p_y2")
     area = lambda s: (F.col(f"{s}_x2") - F.col(f"{s}_x1")) * (F.col(f"{s}_y2") - F.col(f"{s}_y1"))
     inter = (right - left) * (bottom - top)
     return (
         pairs.filter((right > left) & (bottom > top))
-        .filter((F.floor(left / tile) == F.col("_tx")) & (F.floor(top / tile) == F.col("_ty")))
+        .filter((F.floor(left / F.col("_tile")) == F.col("_tx")) & (F.floor(top / F.col("_tile")) == F.col("_ty")))
         .withColumn("iou", F.round(inter / (area("t") + area("p") - inter), KEY_DIGITS))
-        .drop("_tx", "_ty")
+        .drop("_tx", "_ty", "_tile")
     )
 
 
-def box_issues(truth: DataFrame, pred: DataFrame, tile: float = 64.0) -> DataFrame:
+def box_issues(truth: DataFrame, pred: DataFrame, tile: float | None = None) -> DataFrame:
     """(image_id, box_id, side, issue) for boxes that disagree.
 
     Truth boxes: ``missing``, ``badly_located`` or ``swapped``; predictions:

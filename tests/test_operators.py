@@ -79,9 +79,19 @@ def test_preprocessing(spark):
 def test_one_hot_pools_rare_levels(spark):
     df = spark.createDataFrame([(v,) for v in "aaabbcd"], "cat string")
     prep = features.fit_preprocessor(df, [], ["cat"], max_categories=3)
-    got = {r["cat"]: r["h"] for r in df.select("cat", prep.one_hot("cat").alias("h")).collect()}
+    got = {r["cat"]: r["h"] for r in prep.one_hot(df, "cat", "h").collect()}
     assert got == {"a": [1, 0, 0], "b": [0, 1, 0], "c": [0, 0, 1], "d": [0, 0, 1]}
     assert prep.width == 3
+    more = prep.one_hot(spark.createDataFrame([("zz",), (None,), ("c",)], "cat string"), "cat", "h")
+    assert {r["cat"]: r["h"] for r in more.collect()} == {"zz": [0, 0, 0], None: [None, None, 0], "c": [0, 0, 1]}
+
+
+def test_one_hot_of_very_many_levels(spark):
+    df = spark.range(400_000).select(F.concat(F.lit("v"), F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id"))).alias("cat"))
+    prep = features.fit_preprocessor(df, [], ["cat"], max_categories=5)
+    assert prep.levels["cat"][0] == "v0" and prep.width == 5
+    got = prep.one_hot(df, "cat", "h").agg(F.sum(F.col("h")[0]).alias("v0"), F.sum(F.element_at("h", -1)).alias("rare")).first()
+    assert (got["v0"], got["rare"]) == (200_000, 200_000 - 3)
 
 
 def test_reduce_dimensions(spark):
