@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from rowsift.llm.common import free_name, small_batches
 
 END = "</w>"
-#: Chunks, words and fragments kept by one Python worker, each.
+#: Chunks, words and fragments kept by one task, each.
 MEMO = 400_000
 
 
@@ -176,16 +176,6 @@ class WordBpe:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
-_LOADED: dict[tuple[str, int], WordBpe] = {}
-
-
-def encoder(path: str, memo: int = MEMO) -> WordBpe:
-    """The encoder of a file; a Python worker loads it once and keeps its memo from task to task."""
-    if (path, memo) not in _LOADED:
-        _LOADED[path, memo] = WordBpe(path, memo)
-    return _LOADED[path, memo]
-
-
 #: Letters outside the blocks up to Cyrillic.
 _UNCOMMON = regex.compile("[^\\x00-\u052f]")
 #: Separators that str.split takes for white space and the tokenizer doesn't.
@@ -211,7 +201,7 @@ def encode_decode(docs: DataFrame, path: str, memo: int = MEMO) -> DataFrame:
     plain = docs.select("*", *empty)
 
     def run(batches):
-        bpe = encoder(path, memo)
+        bpe = WordBpe(path, memo)  # its memory goes with the task
         for b in batches:
             ids = [bpe.encode(t.as_py() or "") for t in b.column(b.schema.get_field_index("text"))]
             decoded = [bpe.decode(x) for x in ids]
@@ -226,7 +216,7 @@ def encode_digests(docs: DataFrame, path: str, memo: int = MEMO) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches):
-        bpe = encoder(path, memo)
+        bpe = WordBpe(path, memo)  # its memory goes with the task
         for b in batches:
             n, ids_hex, text_hex = [], [], []
             for t in b.column("text"):

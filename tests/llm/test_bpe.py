@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 from rowsift.llm import bpe
 
 PATH = bpe.default_path()
+OWN = bpe.WordBpe(PATH)
 
 
 @pytest.fixture(scope="module")
@@ -40,9 +41,9 @@ ODD = [
 
 def check(library, text):
     ids = library.encode(text, add_special_tokens=False).ids
-    mine = bpe.encoder(PATH).encode(text)
+    mine = OWN.encode(text)
     assert mine == ids
-    assert bpe.encoder(PATH).decode(mine) == library.decode(ids, skip_special_tokens=False)
+    assert OWN.decode(mine) == library.decode(ids, skip_special_tokens=False)
 
 
 @pytest.mark.parametrize("text", ODD)
@@ -70,7 +71,7 @@ def test_small_memo_changes_nothing(library):
 
 
 def test_cuts_are_pairs_of_no_token():
-    own = bpe.encoder(PATH)
+    own = OWN
     assert own.cut(["t", "h", "e</w>"]) == [["t", "h", "e</w>"]]
     parts = own.cut(list("qzx") + ["q</w>"])
     assert len(parts) > 1 and sum(parts, []) == ["q", "z", "x", "q</w>"]
