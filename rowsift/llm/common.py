@@ -29,6 +29,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fitted(df: DataFrame, rows: int, per_task: int) -> DataFrame:
+    """``df`` in no more tasks than its rows fill.
+
+    A small table would otherwise go through as many tasks as the shuffle setting says.
+    """
+    return df.coalesce(max(1, -(-rows // per_task)))
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Keep Arrow batches small, so that a batch of long texts fits a Python worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsift.llm.common import written
+from rowsift.llm.common import fitted, written
+
+#: Links in one task, about.
+TASK_LINKS = 100_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,7 +41,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     mark = _mark(edges)
     while mark[0]:
         # each round halves the depth of every tree at least; it ends when all are stars
-        edges = written(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+        n = mark[0]
+        large = fitted(fitted(_large_star(edges), n, TASK_LINKS).distinct(), n, TASK_LINKS)
+        edges = written(fitted(fitted(_small_star(large), n, TASK_LINKS).distinct(), n, TASK_LINKS), "edges")
         was, mark = mark, _mark(edges)
         if was == mark:
             break

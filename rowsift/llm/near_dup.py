@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsift.llm.common import free_name, small_batches, written
+from rowsift.llm.common import fitted, free_name, small_batches, written
 from rowsift.llm.graphs import components
 
 SHINGLE = 5
@@ -45,6 +45,8 @@ EMPTY = 0xFFFF
 SLACK = 5.0
 #: Shingles, about, of the texts that meet one hub, or another block, in one task.
 BLOCK_SHINGLES = 200_000
+#: Rows in one task, about: of narrow tables, of tables with registers, of pairs to be confirmed.
+NARROW_ROWS, WIDE_ROWS, PAIR_ROWS = 500_000, 20_000, 2_000
 #: Ids up to so many are broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 #: Bytes of text hashed at a time.
@@ -237,11 +239,11 @@ def _bands(reps: DataFrame) -> DataFrame:
     return reps.select("rep", "regs").mapInArrow(run, "key bigint, rep bigint")
 
 
-def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose registers and sizes leave the threshold possible."""
+def _likely(pairs: DataFrame, reps: DataFrame, percent: int, rows: int) -> DataFrame:
+    """The pairs (a, b), ``rows`` at most, whose registers and sizes leave the threshold possible."""
     side = reps.select("rep", "n", "regs")
     both = pairs.join(side.toDF("b", "nb", "rb").hint("merge"), "b").join(side.toDF("a", "na", "ra").hint("merge"), "a")
-    both = both.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    both = fitted(both, rows, WIDE_ROWS).filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
 
     def run(batches):
         for b in batches:
@@ -259,11 +261,11 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     A hub travels once for every block of its partners, so the texts of a large
     group are not repeated for each pair.
     """
-    pairs = pairs.groupBy("a", "b").agg(F.max("nb").alias("nb"))
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("nb").alias("nb")), "pairs")
+    rows = pairs.count()
     sizes = pairs.groupBy("a").agg(F.ceil(F.sum("nb") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    dealt = written(
-        pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block")), "pairs"
-    )
+    dealt = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"))
+    dealt = written(fitted(dealt, rows, NARROW_ROWS), "dealt")
     hubs = dealt.select("a", "block").distinct().join(texts.hint("merge"), F.col("a") == F.col("doc_id")).select("a", "block", F.lit(None).cast("long").alias("b"), "text")
     members = dealt.join(texts.hint("merge"), F.col("b") == F.col("doc_id")).select("a", "block", "b", "text")
 
@@ -275,7 +277,8 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         a = rows.column("a")[0].as_py()
         return pa.table({"a": pa.array([a] * len(found), pa.int64()), "b": pa.array(sorted(found), pa.int64())})
 
-    return hubs.unionByName(members).groupBy("a", "block").applyInArrow(decide, "a bigint, b bigint")
+    both = fitted(hubs, rows, PAIR_ROWS).unionByName(fitted(members, rows, PAIR_ROWS))
+    return fitted(both.groupBy("a", "block").applyInArrow(decide, "a bigint, b bigint"), rows, PAIR_ROWS)
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -286,8 +289,8 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return written(rows.join(ids, F.col("doc_id") == F.col("rep"), "left_semi"), "candidate-texts")
 
 
-def _families(shared: DataFrame, reps: DataFrame, parts: DataFrame) -> DataFrame:
-    """(family, rep, n, part, major): documents of buckets whose members are in different components.
+def _families(shared: DataFrame, reps: DataFrame, parts: DataFrame, size: int) -> DataFrame:
+    """Of the ``size`` rows of ``shared``: (family, rep, n, part, major): documents of buckets whose members are in different components.
 
     Families join such buckets that share a document; ``major`` says whether the
     document is in the family's largest component.
@@ -296,16 +299,19 @@ def _families(shared: DataFrame, reps: DataFrame, parts: DataFrame) -> DataFrame
     rows = rows.withColumn("part", F.coalesce("part", "rep"))
     # of two members the first round has compared the only pair
     mixed = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q and m > 2")
-    star = written(rows.join(mixed.select("key").hint("merge"), "key").select("rep", "a", "part").distinct(), "mixed")
+    star = fitted(rows.join(mixed.select("key").hint("merge"), "key").select("rep", "a", "part"), size, NARROW_ROWS).distinct()
+    star = written(fitted(star, size, NARROW_ROWS), "mixed")
+    rows = star.count()
     family = components(star.filter("rep <> a").select("a", F.col("rep").alias("b")))
     own = star.select("rep", "part").distinct().join(family.select(F.col("node").alias("rep"), F.col("component").alias("family")).hint("merge"), "rep")
-    own = written(own.join(reps.select("rep", "n").hint("merge"), "rep"), "families")
+    own = written(fitted(own.join(reps.select("rep", "n").hint("merge"), "rep"), rows, WIDE_ROWS), "families")
     largest = own.groupBy("family", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("family").agg(F.max(F.struct("k", "part")).alias("x"))
-    return own.join(largest.hint("merge"), "family").select("family", "rep", "n", "part", (F.col("part") == F.col("x.part")).alias("major"))
+    named = own.join(largest.hint("merge"), "family").select("family", "rep", "n", "part", (F.col("part") == F.col("x.part")).alias("major"))
+    return fitted(named, rows, WIDE_ROWS)
 
 
-def _sets(texts: DataFrame, family: DataFrame) -> DataFrame:
-    """The family rows with registers and hashed shingle sets."""
+def _sets(texts: DataFrame, family: DataFrame, size: int) -> DataFrame:
+    """The ``size`` family rows with registers and hashed shingle sets."""
     small_batches(texts.sparkSession)
     rows = family.join(texts.hint("merge"), F.col("rep") == F.col("doc_id")).select("family", "rep", "part", "major", "text")
     names = ["family", "rep", "part", "major", "n", "regs", "hashes"]
@@ -323,7 +329,7 @@ def _sets(texts: DataFrame, family: DataFrame) -> DataFrame:
                 names=names,
             )
 
-    return rows.mapInArrow(run, "family bigint, rep bigint, part bigint, major boolean, n bigint, regs binary, hashes binary")
+    return fitted(rows, size, PAIR_ROWS).mapInArrow(run, "family bigint, rep bigint, part bigint, major boolean, n bigint, regs binary, hashes binary")
 
 
 def _across(family: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -332,7 +338,7 @@ def _across(family: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     Documents are dealt to blocks by hash, those of the largest component apart from
     the rest, and every block of the rest meets every block.
     """
-    width = F.lit(BLOCK_SHINGLES)
+    width, size = F.lit(BLOCK_SHINGLES), family.count()
     blocks = family.groupBy("family").agg(
         F.ceil(F.sum(F.when(F.col("major"), F.col("n")).otherwise(0)) / width).cast("int").alias("big"),
         F.ceil(F.sum(F.when(F.col("major"), 0).otherwise(F.col("n"))) / width).cast("int").alias("small"),
@@ -340,7 +346,7 @@ def _across(family: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     own = F.when(F.col("major"), F.pmod(F.xxhash64("rep"), F.greatest("big", F.lit(1)))).otherwise(
         F.col("big") + F.pmod(F.xxhash64("rep"), F.greatest("small", F.lit(1)))
     )
-    dealt = _sets(texts, family).join(blocks.hint("merge"), "family").withColumn("own", own.cast("int"))
+    dealt = _sets(texts, family, size).join(blocks.hint("merge"), "family").withColumn("own", own.cast("int"))
     met = F.when(F.col("major"), F.sequence(F.col("big"), F.col("big") + F.col("small") - 1)).otherwise(
         F.sequence(F.lit(0), F.col("big") + F.col("small") - 1)
     )
@@ -366,7 +372,7 @@ def _across(family: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                         part[part == part[y]] = part[x]
         return pa.table({k: pa.array([f[c] for f in found], pa.int64()) for c, k in enumerate(("a", "b", "nb"))})
 
-    return dealt.groupBy("family", "i", "j").applyInArrow(compare, "a bigint, b bigint, nb bigint")
+    return fitted(dealt.groupBy("family", "i", "j").applyInArrow(compare, "a bigint, b bigint, nb bigint"), size, PAIR_ROWS)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -377,23 +383,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("regs").alias("regs")),
         "representatives",
     )
+    n_reps = reps.count()
     bands = _bands(reps)
     buckets = bands.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    shared = written(bands.join(buckets.hint("merge"), "key").select("key", "rep", "a").distinct(), "buckets")
-    first = shared.filter("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    likely = written(_likely(first, reps, percent), "likely")
+    shared = bands.join(buckets.hint("merge"), "key").select("key", "rep", "a")
+    shared = written(fitted(shared, n_reps * BANDS, NARROW_ROWS), "buckets")
+    size = shared.count()
+    first = fitted(shared.filter("rep <> a").select("a", F.col("rep").alias("b")).distinct(), size, NARROW_ROWS)
+    likely = written(_likely(first, reps, percent, size), "likely")
     texts = _texts(docs, shared.select("rep").distinct())
     links = _confirm(likely, texts, percent)
     # a doc_id with several texts ties their representatives together
     several = known.groupBy("doc_id").agg(F.min("digest").alias("d"), F.max("digest").alias("e")).filter("d <> e").select("doc_id")
     tied = known.join(several, "doc_id").join(reps.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = written(links.unionByName(tied), "links")
+    links = written(links.unionByName(fitted(tied, n_reps, NARROW_ROWS)), "links")
     parts = written(components(links), "components")
-    family = written(_families(shared, reps, parts), "family")
+    family = written(_families(shared, reps, parts, size), "family")
     more = written(_confirm(_across(family, texts, percent), texts, percent), "across")
     if not more.isEmpty():
         parts = written(components(links.unionByName(more)), "components")
     named = reps.join(parts.hint("merge"), reps["rep"] == parts["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"))
+    named = fitted(named, n_reps, NARROW_ROWS)
     own = signed.filter("doc_id is null or digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     joined = known.select("doc_id", "n_shingles", "digest").join(named.hint("merge"), "digest").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     return joined.unionByName(own).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
