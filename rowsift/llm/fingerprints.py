@@ -30,8 +30,8 @@ from rowsift.llm.common import free_name, small_batches
 LEAST, USUAL, MOST = 16, 64, 256
 #: Bits that must be zero for a cut: before and after the usual length.
 HARD, EASY = np.uint32(0xFF << 24), np.uint32(0x1F << 27)
-#: Bytes of text in one range of doc_id, about; a task gets a few ranges.
-RANGE_BYTES = 8 << 20
+#: Bytes of text in one range of doc_id, about; a task gets one range.
+RANGE_BYTES = 16 << 20
 
 _rng = np.random.Generator(np.random.PCG64(5))
 _GEAR = _rng.integers(0, 2**32, 256, dtype=np.uint32)
@@ -208,7 +208,8 @@ def compare_with_edit(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.select(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    ranged = _ranged(rows, max(1, -(-size // range_bytes)))
+    parts = max(1, -(-size // range_bytes))
+    ranged = _ranged(rows, parts)
     # the smallest doc_id of each range, and then the texts of these documents only
     heads = ranged.drop("text").groupBy("range").agg(F.min("doc_id").alias("head"), F.bool_or(F.col("doc_id").isNull()).alias("nulls"))
     heads = heads.select("range", F.when(~F.col("nulls"), F.col("head")).alias("head"))
@@ -220,7 +221,7 @@ def compare_with_edit(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
         .agg(F.min(F.struct(F.col("text").isNotNull().alias("k"), "text")).alias("x"))
         .select(F.lit(None).cast("long").alias("doc_id"), F.col("x.text").alias("text"), F.col("before").alias("range"), F.lit(True).alias("guard"))
     )
-    dealt = ranged.withColumn("guard", F.lit(False)).unionByName(guards).repartition(F.col("range"))
+    dealt = ranged.withColumn("guard", F.lit(False)).unionByName(guards).repartitionById(parts, F.col("range").cast("int"))
     ordered = dealt.sortWithinPartitions("range", "guard", F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
 
     def run(batches):
