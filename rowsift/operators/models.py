@@ -316,6 +316,10 @@ def out_of_fold_tags(df: DataFrame, n_classes: int, k: int = 3, seed: int = 42,
     return _over_folds(folded, k, lambda train, test: fit_token_tagger(train, n_classes, max_iter)(test))
 
 
+#: Change of the loss at which a tagger has converged.
+TAGGER_TOLERANCE = 1e-4
+
+
 def fit_token_tagger(train: DataFrame, n_classes: int, max_iter: int = 800) -> Scorer:
     """Multinomial logistic model on a sparse ``features`` vector column."""
     from pyspark.ml.classification import LogisticRegression
@@ -330,6 +334,7 @@ def fit_token_tagger(train: DataFrame, n_classes: int, max_iter: int = 800) -> S
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
+        tol=TAGGER_TOLERANCE,
     ).fit(ready)
 
     def score(df: DataFrame) -> DataFrame:
