@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rowsift.functions.arrays import safe_divide
 from rowsift.functions.ranking import KEY_DIGITS, exact_percentile, range_rank, running_totals
-from rowsift.functions.runtime import materialize
+from rowsift.functions.runtime import checked_broadcast, materialize
 from rowsift.functions.skew import skew_join
 
 #: Mean neighbour distance above this many medians flags an outlier.
@@ -165,14 +165,18 @@ def issue_examples(table: DataFrame, per_type: int = 20, id_col: str = "row_id",
         )
         for t in names
     ]
-    extra = [F.struct(*source).alias("row")] if source else []
     long = (
-        table.select(id_col, *kept, *extra, F.explode(F.array(*parts)).alias("s"))
+        table.select(id_col, *kept, F.explode(F.array(*parts)).alias("s"))
         .filter("s.flag")
-        .select("s.issue_type", id_col, "s.score", *kept, *(["row"] if source else []))
+        .select("s.issue_type", id_col, "s.score", *kept)
     )
     w = Window.partitionBy("issue_type").orderBy("score", id_col)
-    return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_type)
+    worst = long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_type)
+    if not source:
+        return worst
+    # per_type rows of each type meet the table; its columns take no part in the ranking
+    rows = table.select(id_col, F.struct(*source).alias("row"))
+    return rows.join(checked_broadcast(worst), id_col).select("issue_type", id_col, "score", *kept, "row", "rank")
 
 
 def run_checks(checks: dict[str, Callable[[], DataFrame]]) -> tuple[dict[str, DataFrame], dict[str, str]]:

@@ -287,3 +287,12 @@ def test_softmin_padding_and_empty_mask(spark):
     images = spark.createDataFrame([(1, 8, 8)], "image_id bigint, width int, height int")
     empty = px.withColumn("label", F.lit(0))
     assert vision.corrupt_mask(empty, images).filter("was_corrupted").count() == 0
+
+
+def test_mean_and_primary_metric(spark):
+    rows = spark.createDataFrame([("roc_auc", 0.5), ("f1_weighted", 0.9)], "metric string, value double")
+    assert metrics.mean_metric(rows).first()["value"] == pytest.approx(0.7)
+    assert metrics.mean_metric(rows, percent=True).first()["value"] == pytest.approx(70)
+    assert metrics.mean_metric(rows.limit(0)).first()["value"] == 0
+    assert metrics.primary_metric(rows).first()["primary"] == 0.5
+    assert metrics.primary_metric(rows.filter("metric <> 'roc_auc'")).first()["primary"] == 0.9
