@@ -239,11 +239,11 @@ def _bands(reps: DataFrame) -> DataFrame:
     return reps.select("rep", "regs").mapInArrow(run, "key bigint, rep bigint")
 
 
-def _likely(pairs: DataFrame, reps: DataFrame, percent: int, rows: int) -> DataFrame:
+def _likely(pairs: DataFrame, reps: DataFrame, percent: int, rows: int, n_reps: int) -> DataFrame:
     """The pairs (a, b), ``rows`` at most, whose registers and sizes leave the threshold possible."""
     side = reps.select("rep", "n", "regs")
     both = pairs.join(side.toDF("b", "nb", "rb").hint("merge"), "b").join(side.toDF("a", "na", "ra").hint("merge"), "a")
-    both = fitted(both, rows, WIDE_ROWS).filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    both = fitted(both, max(rows, n_reps // 4), WIDE_ROWS).filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
 
     def run(batches):
         for b in batches:
@@ -255,7 +255,7 @@ def _likely(pairs: DataFrame, reps: DataFrame, percent: int, rows: int) -> DataF
     return both.select("a", "b", "nb", "ra", "rb").mapInArrow(run, "a bigint, b bigint, nb bigint")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, texts: DataFrame, percent: int, n_texts: int) -> DataFrame:
     """The pairs (a, b) that their whole shingle sets link; nb is the size of b's set.
 
     A hub travels once for every block of its partners, so the texts of a large
@@ -277,7 +277,9 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         a = rows.column("a")[0].as_py()
         return pa.table({"a": pa.array([a] * len(found), pa.int64()), "b": pa.array(sorted(found), pa.int64())})
 
-    both = fitted(hubs, rows, PAIR_ROWS).unionByName(fitted(members, rows, PAIR_ROWS))
+    # few pairs may still meet many texts
+    held = max(rows, n_texts * PAIR_ROWS // WIDE_ROWS)
+    both = fitted(hubs, held, PAIR_ROWS).unionByName(fitted(members, held, PAIR_ROWS))
     return fitted(both.groupBy("a", "block").applyInArrow(decide, "a bigint, b bigint"), rows, PAIR_ROWS)
 
 
@@ -289,7 +291,7 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return written(rows.join(ids, F.col("doc_id") == F.col("rep"), "left_semi"), "candidate-texts")
 
 
-def _families(shared: DataFrame, reps: DataFrame, parts: DataFrame, size: int) -> DataFrame:
+def _families(shared: DataFrame, reps: DataFrame, parts: DataFrame, size: int, n_reps: int) -> DataFrame:
     """Of the ``size`` rows of ``shared``: (family, rep, n, part, major): documents of buckets whose members are in different components.
 
     Families join such buckets that share a document; ``major`` says whether the
@@ -304,13 +306,13 @@ def _families(shared: DataFrame, reps: DataFrame, parts: DataFrame, size: int) -
     rows = star.count()
     family = components(star.filter("rep <> a").select("a", F.col("rep").alias("b")))
     own = star.select("rep", "part").distinct().join(family.select(F.col("node").alias("rep"), F.col("component").alias("family")).hint("merge"), "rep")
-    own = written(fitted(own.join(reps.select("rep", "n").hint("merge"), "rep"), rows, WIDE_ROWS), "families")
+    own = written(fitted(own.join(reps.select("rep", "n").hint("merge"), "rep"), max(rows, n_reps * WIDE_ROWS // NARROW_ROWS), WIDE_ROWS), "families")
     largest = own.groupBy("family", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("family").agg(F.max(F.struct("k", "part")).alias("x"))
     named = own.join(largest.hint("merge"), "family").select("family", "rep", "n", "part", (F.col("part") == F.col("x.part")).alias("major"))
     return fitted(named, rows, WIDE_ROWS)
 
 
-def _sets(texts: DataFrame, family: DataFrame, size: int) -> DataFrame:
+def _sets(texts: DataFrame, family: DataFrame, size: int, n_texts: int) -> DataFrame:
     """The ``size`` family rows with registers and hashed shingle sets."""
     small_batches(texts.sparkSession)
     rows = family.join(texts.hint("merge"), F.col("rep") == F.col("doc_id")).select("family", "rep", "part", "major", "text")
@@ -329,10 +331,10 @@ def _sets(texts: DataFrame, family: DataFrame, size: int) -> DataFrame:
                 names=names,
             )
 
-    return fitted(rows, size, PAIR_ROWS).mapInArrow(run, "family bigint, rep bigint, part bigint, major boolean, n bigint, regs binary, hashes binary")
+    return fitted(rows, max(size, n_texts * PAIR_ROWS // WIDE_ROWS), PAIR_ROWS).mapInArrow(run, "family bigint, rep bigint, part bigint, major boolean, n bigint, regs binary, hashes binary")
 
 
-def _across(family: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _across(family: DataFrame, texts: DataFrame, percent: int, n_texts: int) -> DataFrame:
     """(a, b, nb): links between different components of a family.
 
     Documents are dealt to blocks by hash, those of the largest component apart from
@@ -346,7 +348,7 @@ def _across(family: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     own = F.when(F.col("major"), F.pmod(F.xxhash64("rep"), F.greatest("big", F.lit(1)))).otherwise(
         F.col("big") + F.pmod(F.xxhash64("rep"), F.greatest("small", F.lit(1)))
     )
-    dealt = _sets(texts, family, size).join(blocks.hint("merge"), "family").withColumn("own", own.cast("int"))
+    dealt = _sets(texts, family, size, n_texts).join(blocks.hint("merge"), "family").withColumn("own", own.cast("int"))
     met = F.when(F.col("major"), F.sequence(F.col("big"), F.col("big") + F.col("small") - 1)).otherwise(
         F.sequence(F.lit(0), F.col("big") + F.col("small") - 1)
     )
@@ -383,23 +385,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("regs").alias("regs")),
         "representatives",
     )
-    n_reps = reps.count()
+    n_docs, n_reps = signed.count(), reps.count()
     bands = _bands(reps)
     buckets = bands.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     shared = bands.join(buckets.hint("merge"), "key").select("key", "rep", "a")
     shared = written(fitted(shared, n_reps * BANDS, NARROW_ROWS), "buckets")
     size = shared.count()
     first = fitted(shared.filter("rep <> a").select("a", F.col("rep").alias("b")).distinct(), size, NARROW_ROWS)
-    likely = written(_likely(first, reps, percent, size), "likely")
+    likely = written(_likely(first, reps, percent, size, n_reps), "likely")
     texts = _texts(docs, shared.select("rep").distinct())
-    links = _confirm(likely, texts, percent)
+    n_texts = texts.count()
+    links = _confirm(likely, texts, percent, n_texts)
     # a doc_id with several texts ties their representatives together
     several = known.groupBy("doc_id").agg(F.min("digest").alias("d"), F.max("digest").alias("e")).filter("d <> e").select("doc_id")
     tied = known.join(several, "doc_id").join(reps.select("digest", "rep"), "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    links = written(links.unionByName(fitted(tied, n_reps, NARROW_ROWS)), "links")
+    links = written(links.unionByName(fitted(tied, n_docs, NARROW_ROWS)), "links")
     parts = written(components(links), "components")
-    family = written(_families(shared, reps, parts, size), "family")
-    more = written(_confirm(_across(family, texts, percent), texts, percent), "across")
+    family = written(_families(shared, reps, parts, size, n_reps), "family")
+    more = written(_confirm(_across(family, texts, percent, n_texts), texts, percent, n_texts), "across")
     if not more.isEmpty():
         parts = written(components(links.unionByName(more)), "components")
     named = reps.join(parts.hint("merge"), reps["rep"] == parts["node"], "left").select("digest", F.coalesce("component", "rep").alias("component"))
