@@ -8,7 +8,8 @@ and again, each time at a higher cost (convex), so the cheapest flow repeats tex
 only where nothing fresh is left. What each pattern gives is then drawn from its
 documents in a seeded order of hashes: everyone gets the whole repetitions, and those
 below a hash cut get one more. The cut is found by histograms of hash digits, so a
-pattern may hold any share of the rows.
+pattern may hold any share of the rows. A document that is too much for what is still
+wanted is skipped, and the draw goes on behind it with those that fit.
 
 Defined results. Null text: size 0, taken 0. Null sources: a source of its own, named
 None, last in order. An empty set of sources: never taken. Rows that repeat a doc_id
@@ -40,8 +41,10 @@ MOST = 2
 COSTS = (0, 1)
 SEED = 20240611
 DIGIT_BITS = 12
-#: A pattern that lacks more than this part of what it is to give gets single documents more, so many at most.
-TOLERANCE, FILLS = 0.002, 6
+#: The draw ends when a pattern lacks no more than this part of what it is to give, or no document fits.
+TOLERANCE = 0.002
+#: Beyond all hashes; beyond all sizes.
+END, _ANY = 1 << 60, (1 << 63) - 1
 
 
 def targets(sizes: Sequence[int], weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> list[float]:
@@ -172,63 +175,105 @@ def _digit(level: int) -> Column:
     return F.shiftright(F.col("h"), 60 - DIGIT_BITS * (level + 1)).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)).cast("int")
 
 
-def _hash_cut(rows: DataFrame, wanted: DataFrame, levels: int = 2) -> DataFrame:
-    """(pattern, cut, picks): rows whose hash is below the cut or one of the picks hold about the words wanted.
+def _cut_round(rows: DataFrame, wanted: DataFrame, levels: int = 2) -> DataFrame:
+    """(pattern, cut, lack): how far the rows that fit reach into the need, in hash order.
 
-    ``rows``: pattern, h, size. ``wanted``: pattern, need. Each level sums the sizes by
-    the next digit of the hash and goes into the one bucket where the need is met;
-    what is then left, about a 2**24th of a pattern, is summed row by row. What the rows
-    below the cut still lack is filled by a few other rows, each the closest in size.
+    ``rows``: pattern, h, size, weight. ``wanted``: pattern, need, lo, most; rows count from
+    the hash lo on that weigh no more than most. The row at the cut is the first that is
+    too much. Where all rows fit, the cut is END; where there are none, the pattern is left out.
+    Each level sums the sizes by the next digit of the hash and goes into the one bucket
+    where the need is met; what is then left, about a 2**24th of a pattern, is summed row
+    by row.
     """
     from pyspark.sql import Window
 
-    state = wanted.select("pattern", "need", F.lit(0).cast("long").alias("prefix"))  # all hashes are below 2**60
+    state = wanted.select("pattern", "need", "lo", "most", F.lit(0).cast("long").alias("prefix"))  # all hashes are below 2**60
+    full = None
+    fits = (F.col("h") >= F.col("lo")) & (F.col("weight") <= F.col("most"))
+    order = Window.partitionBy("pattern").orderBy("d")
     for level in range(levels):
         shift = 60 - DIGIT_BITS * level
         # a row per pattern at most, of which mix() has counted few enough
-        inside = rows.join(F.broadcast(state), "pattern").filter(F.shiftright("h", shift) == F.col("prefix"))
-        sums = inside.groupBy("pattern", "need", "prefix", _digit(level).alias("d")).agg(F.sum("size").alias("s"))
-        before = F.coalesce(F.sum("s").over(Window.partitionBy("pattern").orderBy("d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        met = sums.withColumn("b", before).filter("b <= need and need < b + s")
-        state = written(
-            met.select("pattern", (F.col("need") - F.col("b")).alias("need"), (F.shiftleft("prefix", DIGIT_BITS) + F.col("d")).alias("prefix")),
-            "mix-cut",
-        )
+        inside = rows.join(F.broadcast(state), "pattern").filter(fits & (F.shiftright("h", shift) == F.col("prefix")))
+        sums = inside.groupBy("pattern", "need", "lo", "most", "prefix", _digit(level).alias("d")).agg(F.sum("size").alias("s"))
+        before = F.coalesce(F.sum("s").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        met = sums.withColumn("b", before).withColumn("last", F.lead("d").over(order).isNull())
+        met = met.filter("(b <= need and need < b + s) or (last and b + s <= need)").withColumn("all", F.col("b") + F.col("s") <= F.col("need"))
+        prefix = (F.shiftleft("prefix", DIGIT_BITS) + F.col("d")).alias("prefix")
+        lack = F.col("need") - F.col("b")
+        found = written(met.select("pattern", F.when(F.col("all"), lack - F.col("s")).otherwise(lack).alias("need"), "lo", "most", prefix, "all"), "mix-cut")
+        if full is None:
+            full = found.filter("all").select("pattern", F.lit(END).cast("long").alias("cut"), F.col("need").alias("lack"))
+        state = found.filter("not all").drop("all")
     shift = 60 - DIGIT_BITS * levels
-    left = rows.join(F.broadcast(state), "pattern").filter(F.shiftright("h", shift) == F.col("prefix"))
+    left = rows.join(F.broadcast(state), "pattern").filter(fits & (F.shiftright("h", shift) == F.col("prefix")))
     tied = left.groupBy("pattern", "need", "h").agg(F.sum("size").alias("s"))
     upto = F.sum("s").over(Window.partitionBy("pattern").orderBy("h"))
     over = tied.withColumn("u", upto).filter("u > need")
-    ends = written(
-        over.groupBy("pattern")
-        .agg(F.min("h").alias("cut"), F.min_by(F.col("need") - F.col("u") + F.col("s"), "h").alias("lack"))
-        .join(F.broadcast(wanted), "pattern")
-        .select("pattern", "need", "cut", "lack", F.array().cast("array<bigint>").alias("picks")),
-        "mix-ends",
+    ends = over.groupBy("pattern").agg(F.min("h").alias("cut"), F.min_by(F.col("need") - F.col("u") + F.col("s"), "h").alias("lack"))
+    return ends.unionByName(full)
+
+
+def _taken(weight: Column) -> Column:
+    """Whether a row is in one of the stretches, or picked, from its hash h and its pattern's rule."""
+    drawn = F.exists("stretches", lambda x: (F.col("h") >= x["lo"]) & (F.col("h") < x["cut"]) & (x["most"].isNull() | (weight <= x["most"])))
+    return drawn | F.array_contains("picks", F.col("h"))
+
+
+def _draw(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(pattern, stretches, picks): the rows of these hashes hold about the words wanted.
+
+    ``rows``: pattern, h, size, weight. ``wanted``: pattern, need. Rows are taken in hash
+    order up to the first that is too much; that one is skipped and the draw goes on
+    behind it with those that still fit, until the lack is within the tolerance or no
+    row fits. So what is lacking then is less than any row left out; one more is
+    picked if that comes closer. A stretch (lo, cut, most) holds the rows from lo to below
+    cut that weigh no more than most, null for any.
+    """
+    state = wanted.select(
+        "pattern",
+        "need",
+        F.col("need").alias("lack"),
+        F.lit(0).cast("long").alias("lo"),
+        F.array().cast("array<struct<lo:bigint,cut:bigint,most:bigint>>").alias("stretches"),
     )
-    for _ in range(FILLS):
-        # a row per pattern; those that lack more than the tolerance get one more document
-        open_ = ends.filter(F.col("lack") > F.col("need") * TOLERANCE)
-        if open_.isEmpty():
-            break
-        miss = F.abs(F.col("size") - F.col("lack"))
-        fill = (
-            rows.join(F.broadcast(open_), "pattern")
-            .filter((F.col("h") >= F.col("cut")) & ~F.array_contains("picks", F.col("h")) & (miss < F.col("lack")))
-            .groupBy("pattern")
-            .agg(F.min(F.struct(miss.alias("m"), F.col("h").alias("h"), F.col("size").alias("size"))).alias("x"))
-        )
-        ends = written(
-            ends.join(F.broadcast(fill), "pattern", "left").select(
+    lacking = F.col("lack") > F.col("need") * TOLERANCE
+    first = True
+    while first or not state.filter(lacking & (F.col("lo") < END)).isEmpty():
+        # a row per pattern
+        most = F.lit(_ANY).cast("long") if first else F.col("lack")
+        open_ = state.filter(lacking & (F.col("lo") < END)).select("pattern", F.col("lack").alias("need"), "lo", most.alias("most"))
+        found = _cut_round(rows, open_).select("pattern", "cut", F.col("lack").alias("left"))
+        bound = F.lit(None).cast("long") if first else F.col("lack")
+        more = F.array(F.struct("lo", "cut", bound.alias("most")))
+        state = written(
+            state.join(F.broadcast(found), "pattern", "left").select(
                 "pattern",
                 "need",
-                "cut",
-                (F.col("lack") - F.coalesce("x.size", F.lit(0))).alias("lack"),
-                F.when(F.col("x").isNull(), F.col("picks")).otherwise(F.concat("picks", F.array("x.h"))).alias("picks"),
+                F.coalesce("left", "lack").alias("lack"),
+                # no row was found: none fits any more
+                F.when(F.col("cut").isNotNull(), F.col("cut")).otherwise(F.lit(END)).cast("long").alias("lo"),
+                F.when(F.col("cut").isNotNull(), F.concat("stretches", more)).otherwise(F.col("stretches")).alias("stretches"),
             ),
-            "mix-ends",
+            "mix-state",
         )
-    return ends.select("pattern", "cut", "picks")
+        first = False
+    open_ = state.filter(lacking).withColumn("picks", F.array().cast("array<bigint>"))
+    miss = F.abs(F.col("weight") - F.col("lack"))
+    fill = (
+        rows.join(F.broadcast(open_), "pattern")
+        .filter(~_taken(F.col("weight")) & (miss < F.col("lack")))
+        .groupBy("pattern")
+        .agg(F.min(F.struct(miss.alias("m"), F.col("h").alias("h"))).alias("x"))
+    )
+    picks = F.when(F.col("x").isNull(), F.array().cast("array<bigint>")).otherwise(F.array("x.h"))
+    return written(state.join(F.broadcast(fill), "pattern", "left").select("pattern", "stretches", picks.alias("picks")), "mix-ends")
+
+
+def _repeats(rows: DataFrame) -> DataFrame:
+    """(pattern, h, together): the words of rows that repeat a doc_id, together, as they are taken or left as a whole."""
+    units = rows.groupBy("pattern", "h").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("together"))
+    return written(units.filter("n > 1").drop("n"), "mix-repeats")
 
 
 def mix(
@@ -244,9 +289,14 @@ def mix(
     ``docs``: doc_id, size (long). ``sources``: array of the row's sources, as strings; a
     null source inside is one of its own. ``quotas``: function from the list of
     (sources, size) patterns to a dict of words by source. Returns (doc_id, pattern,
-    size, copies), the rule (pattern, whole, cut, picks) that gave the copies and, for
+    size, copies), the rule (pattern, whole, stretches, picks) that gave the copies and, for
     each pattern, its sources, size and flows.
     """
+    return _decided(docs, sources, quotas, costs, seed, max_patterns)[:3]
+
+
+def _decided(docs: DataFrame, sources: Column, quotas, costs: Sequence[int], seed: int, max_patterns: int):
+    """What :func:`mix` returns, and the words of repeated rows."""
     # a null source and one of any name can't be mixed up: names get a letter in front
     marked = F.array_sort(F.array_distinct(F.transform(sources, lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit("~")))))
     rows = written(
@@ -255,6 +305,8 @@ def mix(
         ),
         "mix-rows",
     )
+    repeats = _repeats(rows)
+    rows = rows.join(repeats, ["pattern", "h"], "left").withColumn("weight", F.coalesce("together", "size"))
     found = (
         rows.groupBy("pattern", "members").agg(F.sum("size").alias("size")).orderBy("members").limit(max_patterns + 1).collect()
     )
@@ -274,18 +326,16 @@ def mix(
         [(p["pattern"], p["given"] // p["size"] if p["size"] else 0, p["given"] % p["size"] if p["size"] else 0) for p in plan],
         "pattern long, whole long, need long",
     )
-    cut = _hash_cut(rows.select("pattern", "h", "size"), F.broadcast(base.filter("need > 0").select("pattern", "need")))
-    rule = written(
-        base.join(F.broadcast(cut), "pattern", "left").select("pattern", "whole", F.coalesce("cut", F.lit(0)).alias("cut"), F.coalesce("picks", F.array().cast("array<bigint>")).alias("picks")),
-        "mix-rule",
-    )
+    drawn = _draw(rows.select("pattern", "h", "size", "weight"), base.filter("need > 0").select("pattern", "need"))
+    empty = [F.coalesce(c, F.array().cast(drawn.schema[c].dataType)).alias(c) for c in ("stretches", "picks")]
+    rule = written(base.join(F.broadcast(drawn), "pattern", "left").select("pattern", "whole", *empty), "mix-rule")
     chosen = rows.join(F.broadcast(rule), "pattern")
-    return chosen.select("doc_id", "pattern", "size", _copies().alias("copies")), rule, plan
+    return chosen.select("doc_id", "pattern", "size", _copies(F.col("weight")).alias("copies")), rule, plan, repeats
 
 
-def _copies() -> Column:
-    """How often a row is taken, from its hash h and its pattern's rule."""
-    return F.col("whole") + ((F.col("h") < F.col("cut")) | F.array_contains("picks", F.col("h"))).cast("long")
+def _copies(weight: Column) -> Column:
+    """How often a row is taken, from its hash h, its weight and its pattern's rule."""
+    return F.col("whole") + _taken(weight).cast("long")
 
 
 def _order(sources) -> list:
@@ -327,12 +377,14 @@ def mix_by_source(docs: DataFrame, seed: int = SEED) -> DataFrame:
 def take(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, columns unchanged.
 
-    The rule decides a row where it stands; no text is shuffled.
+    The rule decides a row where it stands; no text is shuffled, unless very many rows
+    repeat a doc_id. Words are counted again behind the first document skipped only.
     """
-    _, rule, _ = mix(sized(docs), F.array("source"), quotas_by_weight(), seed=seed)
+    _, rule, _, repeats = _decided(sized(docs), F.array("source"), quotas_by_weight(), COSTS, seed, MAX_PATTERNS)
     marked = F.array(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~")))
     rows = docs.select(
         F.struct(*docs.columns).alias("row"), F.xxhash64(marked).alias("pattern"), _hash(seed, F.col("doc_id").cast("string")).alias("h")
     ).join(F.broadcast(rule), "pattern")
-    kept = rows.withColumn("copies", _copies().cast("int")).filter("copies > 0")
+    weight = F.coalesce(F.col("together"), F.size(words(text_or_empty(F.col("row.text")))).cast("long"))
+    kept = rows.join(repeats, ["pattern", "h"], "left").withColumn("copies", _copies(weight).cast("int")).filter("copies > 0")
     return kept.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")

@@ -101,6 +101,52 @@ def test_overlapping_sources(spark, docs_of):
     assert sum(p["given"] for p in plan) == 3400 and all(p["given"] >= p["size"] for p in plan)
 
 
+def test_a_very_long_document_leaves_no_gap(spark):
+    """Sources of 500 ordinary documents and one of a third of their words; half of the words are wanted."""
+    rng = random.Random(12)
+    lengths = {s: [rng.randint(50, 900) for _ in range(500)] for s in "abcdefgh"}
+    rows = [(f"{s}{i}", n, [s]) for s, own in lengths.items() for i, n in enumerate([*own, sum(own) // 2])]
+    docs = spark.createDataFrame(rows, "doc_id string, size long, members array<string>")
+    want = {s: sum(n for _, n, (t,) in rows if t == s) // 2 for s in lengths}
+    for seed in (1, 2):
+        chosen, _, plan = m.mix(docs, F.col("members"), lambda p: want, seed=seed)
+        taken = {r.pattern: r.t for r in chosen.groupBy("pattern").agg(F.sum(F.col("size") * F.col("copies")).alias("t")).collect()}
+        for p in plan:
+            (s,) = p["sources"]
+            assert abs(taken[p["pattern"]] - want[s]) <= 0.002 * want[s], (s, taken[p["pattern"]], want[s])
+
+
+def first_fit(units, need):
+    """Units in hash order, each taken if it still fits."""
+    out = set()
+    for h, n in sorted(units):
+        if n <= need:
+            need -= n
+            out.add(h)
+    return out
+
+
+def test_the_draw_is_the_first_fit_in_hash_order(spark):
+    """Down to the last document, with repeated rows of different lengths as a whole."""
+    rng = random.Random(13)
+    for trial in range(2):
+        rows = [(7, rng.randint(0, (1 << 60) - 1), rng.choice([rng.randint(0, 9), rng.randint(10, 200), 3000])) for _ in range(60)]
+        rows += [(7, h, rng.randint(1, 50)) for _, h, _ in rng.sample(rows, 15)]
+        together = Counter()
+        for _, h, n in rows:
+            together[h] += n
+        need = sum(together.values()) // (2 + trial)
+        docs = spark.createDataFrame([(*r, together[r[1]]) for r in rows], "pattern long, h long, size long, weight long")
+        rule = m._draw(docs, spark.createDataFrame([(7, need)], "pattern long, need long"))
+        got = docs.join(rule, "pattern").filter(m._taken(F.col("weight"))).select("h", "picks").collect()
+        picks = {h for r in got for h in r.picks}
+        want = first_fit(together.items(), need)
+        lack = need - sum(together[h] for h in want)
+        # the draw ends earlier when the lack is within the tolerance
+        assert {r.h for r in got} - picks == want or abs(need - sum(together[h] for h in {r.h for r in got})) <= m.TOLERANCE * need
+        assert abs(need - sum(together[h] for h in {r.h for r in got})) <= max(lack, m.TOLERANCE * need)
+
+
 def test_awkward_rows(awkward, nothing):
     rows = m.mix_by_source(awkward).collect()
     assert len(rows) == 11
