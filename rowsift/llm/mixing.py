@@ -27,9 +27,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowsift.functions.ranking import range_rank
+from rowsift.functions.runtime import SMALL_ROWS
+from rowsift.functions.skew import skew_join
 from rowsift.llm.common import text_or_empty, words, written
 
-#: Most patterns that may come to the driver for the flow; beyond it the plan is refused.
+#: Most patterns that may come to the driver for the flow; beyond it the plan is refused. With quotas
+#: by weight, patterns of one source that no other pattern shares need no flow and are not counted.
 MAX_PATTERNS = 20_000
 #: Weights dealt to the sources in order, again and again.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -175,7 +179,22 @@ def _digit(level: int) -> Column:
     return F.shiftright(F.col("h"), 60 - DIGIT_BITS * (level + 1)).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1)).cast("int")
 
 
-def _cut_round(rows: DataFrame, wanted: DataFrame, levels: int = 2) -> DataFrame:
+@dataclass(frozen=True)
+class Near:
+    """Joins with tables of a row per pattern: broadcast, or by shuffle where ``counts`` (pattern, _n) is given."""
+
+    counts: DataFrame | None = None
+
+    def rows(self, rows: DataFrame, table: DataFrame) -> DataFrame:
+        if self.counts is None:
+            return rows.join(F.broadcast(table), "pattern")
+        return skew_join(rows, table, ["pattern"], counts=self.counts)
+
+    def added(self, table: DataFrame, more: DataFrame) -> DataFrame:
+        return table.join(F.broadcast(more) if self.counts is None else more, "pattern", "left")
+
+
+def _cut_round(rows: DataFrame, wanted: DataFrame, near: Near, levels: int = 2) -> DataFrame:
     """(pattern, cut, lack): how far the rows that fit reach into the need, in hash order.
 
     ``rows``: pattern, h, size, weight. ``wanted``: pattern, need, lo, most; rows count from
@@ -193,8 +212,7 @@ def _cut_round(rows: DataFrame, wanted: DataFrame, levels: int = 2) -> DataFrame
     order = Window.partitionBy("pattern").orderBy("d")
     for level in range(levels):
         shift = 60 - DIGIT_BITS * level
-        # a row per pattern at most, of which mix() has counted few enough
-        inside = rows.join(F.broadcast(state), "pattern").filter(fits & (F.shiftright("h", shift) == F.col("prefix")))
+        inside = near.rows(rows, state).filter(fits & (F.shiftright("h", shift) == F.col("prefix")))
         sums = inside.groupBy("pattern", "need", "lo", "most", "prefix", _digit(level).alias("d")).agg(F.sum("size").alias("s"))
         before = F.coalesce(F.sum("s").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         met = sums.withColumn("b", before).withColumn("last", F.lead("d").over(order).isNull())
@@ -206,7 +224,7 @@ def _cut_round(rows: DataFrame, wanted: DataFrame, levels: int = 2) -> DataFrame
             full = found.filter("all").select("pattern", F.lit(END).cast("long").alias("cut"), F.col("need").alias("lack"))
         state = found.filter("not all").drop("all")
     shift = 60 - DIGIT_BITS * levels
-    left = rows.join(F.broadcast(state), "pattern").filter(fits & (F.shiftright("h", shift) == F.col("prefix")))
+    left = near.rows(rows, state).filter(fits & (F.shiftright("h", shift) == F.col("prefix")))
     tied = left.groupBy("pattern", "need", "h").agg(F.sum("size").alias("s"))
     upto = F.sum("s").over(Window.partitionBy("pattern").orderBy("h"))
     over = tied.withColumn("u", upto).filter("u > need")
@@ -220,7 +238,7 @@ def _taken(weight: Column) -> Column:
     return drawn | F.array_contains("picks", F.col("h"))
 
 
-def _draw(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+def _draw(rows: DataFrame, wanted: DataFrame, near: Near = Near()) -> DataFrame:
     """(pattern, stretches, picks): the rows of these hashes hold about the words wanted.
 
     ``rows``: pattern, h, size, weight. ``wanted``: pattern, need. Rows are taken in hash
@@ -243,11 +261,11 @@ def _draw(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         # a row per pattern
         most = F.lit(_ANY).cast("long") if first else F.col("lack")
         open_ = state.filter(lacking & (F.col("lo") < END)).select("pattern", F.col("lack").alias("need"), "lo", most.alias("most"))
-        found = _cut_round(rows, open_).select("pattern", "cut", F.col("lack").alias("left"))
+        found = _cut_round(rows, open_, near).select("pattern", "cut", F.col("lack").alias("left"))
         bound = F.lit(None).cast("long") if first else F.col("lack")
         more = F.array(F.struct("lo", "cut", bound.alias("most")))
         state = written(
-            state.join(F.broadcast(found), "pattern", "left").select(
+            near.added(state, found).select(
                 "pattern",
                 "need",
                 F.coalesce("left", "lack").alias("lack"),
@@ -261,13 +279,13 @@ def _draw(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     open_ = state.filter(lacking).withColumn("picks", F.array().cast("array<bigint>"))
     miss = F.abs(F.col("weight") - F.col("lack"))
     fill = (
-        rows.join(F.broadcast(open_), "pattern")
+        near.rows(rows, open_)
         .filter(~_taken(F.col("weight")) & (miss < F.col("lack")))
         .groupBy("pattern")
         .agg(F.min(F.struct(miss.alias("m"), F.col("h").alias("h"))).alias("x"))
     )
     picks = F.when(F.col("x").isNull(), F.array().cast("array<bigint>")).otherwise(F.array("x.h"))
-    return written(state.join(F.broadcast(fill), "pattern", "left").select("pattern", "stretches", picks.alias("picks")), "mix-ends")
+    return written(near.added(state, fill).select("pattern", "stretches", picks.alias("picks")), "mix-ends")
 
 
 def _repeats(rows: DataFrame) -> DataFrame:
@@ -287,16 +305,17 @@ def mix(
     """Decide how often each document is taken.
 
     ``docs``: doc_id, size (long). ``sources``: array of the row's sources, as strings; a
-    null source inside is one of its own. ``quotas``: function from the list of
-    (sources, size) patterns to a dict of words by source. Returns (doc_id, pattern,
+    null source inside is one of its own. ``quotas``: :class:`ByWeight`, or a function from
+    the list of (sources, size) patterns to a dict of words by source. Returns (doc_id, pattern,
     size, copies), the rule (pattern, whole, stretches, picks) that gave the copies and, for
-    each pattern, its sources, size and flows.
+    each pattern of the flow, its sources, size and flows. With a function all patterns are in
+    the flow, else those whose sources overlap with others.
     """
     return _decided(docs, sources, quotas, costs, seed, max_patterns)[:3]
 
 
 def _decided(docs: DataFrame, sources: Column, quotas, costs: Sequence[int], seed: int, max_patterns: int):
-    """What :func:`mix` returns, and the words of repeated rows."""
+    """What :func:`mix` returns, the words of repeated rows, targets by source and how to join with patterns."""
     # a null source and one of any name can't be mixed up: names get a letter in front
     marked = F.array_sort(F.array_distinct(F.transform(sources, lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit("~")))))
     rows = written(
@@ -306,31 +325,58 @@ def _decided(docs: DataFrame, sources: Column, quotas, costs: Sequence[int], see
         "mix-rows",
     )
     repeats = _repeats(rows)
-    rows = rows.join(repeats, ["pattern", "h"], "left").withColumn("weight", F.coalesce("together", "size"))
-    found = (
-        rows.groupBy("pattern", "members").agg(F.sum("size").alias("size")).orderBy("members").limit(max_patterns + 1).collect()
+    patterns = written(
+        rows.groupBy("pattern", "members").agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"), F.count(F.lit(1)).alias("_n")), "mix-patterns"
     )
+    near = Near(patterns.select("pattern", "_n") if patterns.count() > SMALL_ROWS else None)
+    rows = rows.join(repeats, ["pattern", "h"], "left").withColumn("weight", F.coalesce("together", "size"))
+    apart, flowing, aims = None, patterns, None
+    if isinstance(quotas, ByWeight):
+        one = F.size("members") == 1
+        by_source = patterns.select(F.explode("members").alias("member"), "size").groupBy("member").agg(F.sum("size").alias("source_size"))
+        aims = written(quotas.table(by_source), "mix-targets")
+        shared = written(patterns.filter(F.size("members") > 1).select(F.explode("members").alias("member")).distinct(), "mix-shared")
+        singles = patterns.filter(one).withColumn("member", F.col("members")[0])
+        alone = singles.join(shared, "member", "left_anti").join(aims.select("member", "quota"), "member")
+        apart = alone.select("pattern", "size", F.least("quota", F.col("size") * len(costs)).alias("given"))
+        apart = apart.unionByName(patterns.filter(F.coalesce(F.size("members") < 1, F.lit(True))).select("pattern", "size", F.lit(0).cast("long").alias("given")))
+        flowing = patterns.filter(F.size("members") > 1).unionByName(singles.join(shared, "member", "left_semi").select(*patterns.columns))
+    found = flowing.select("pattern", "members", "size").orderBy("members").limit(max_patterns + 1).collect()
     if len(found) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns; raise max_patterns or merge sources")
-    plan = [
-        {"pattern": r["pattern"], "sources": frozenset(None if m == "~" else m[1:] for m in r["members"] or ()), "size": r["size"] or 0}
-        for r in found
-    ]
-    quota = quotas([(p["sources"], p["size"]) for p in plan])
+        raise ValueError(f"more than {max_patterns} membership patterns of overlapping sources; raise max_patterns or merge sources")
+    plan = [{"pattern": r["pattern"], "sources": frozenset(map(_named, r["members"] or ())), "size": r["size"]} for r in found]
+    if aims is None:
+        quota = quotas([(p["sources"], p["size"]) for p in plan])
+    else:
+        quota = {_named(r["member"]): r["quota"] for r in aims.join(shared, "member", "left_semi").orderBy("member").collect()} if plan else {}
     flows = route([(p["sources"], p["size"]) for p in plan], quota, costs)
-    for i, p in enumerate(plan):
-        p["flows"] = {s: a for (k, s), a in flows.items() if k == i}
+    for p in plan:
+        p["flows"] = {}
+    for (k, s), a in flows.items():
+        plan[k]["flows"][s] = a
+    for p in plan:
         p["given"] = sum(p["flows"].values())
-    spark = docs.sparkSession
-    base = spark.createDataFrame(
-        [(p["pattern"], p["given"] // p["size"] if p["size"] else 0, p["given"] % p["size"] if p["size"] else 0) for p in plan],
-        "pattern long, whole long, need long",
+    given = docs.sparkSession.createDataFrame([(p["pattern"], p["size"], p["given"]) for p in plan], "pattern long, size long, given long")
+    if apart is not None:
+        given = given.unionByName(apart)
+    some = F.col("size") > 0
+    base = written(
+        given.select(
+            "pattern",
+            F.when(some, F.expr("given div size")).otherwise(F.lit(0)).cast("long").alias("whole"),
+            F.when(some, F.expr("given % size")).otherwise(F.lit(0)).cast("long").alias("need"),
+        ),
+        "mix-given",
     )
-    drawn = _draw(rows.select("pattern", "h", "size", "weight"), base.filter("need > 0").select("pattern", "need"))
+    drawn = _draw(rows.select("pattern", "h", "size", "weight"), base.filter("need > 0").select("pattern", "need"), near)
     empty = [F.coalesce(c, F.array().cast(drawn.schema[c].dataType)).alias(c) for c in ("stretches", "picks")]
-    rule = written(base.join(F.broadcast(drawn), "pattern", "left").select("pattern", "whole", *empty), "mix-rule")
-    chosen = rows.join(F.broadcast(rule), "pattern")
-    return chosen.select("doc_id", "pattern", "size", _copies(F.col("weight")).alias("copies")), rule, plan, repeats
+    rule = written(near.added(base, drawn).select("pattern", "whole", *empty), "mix-rule")
+    chosen = near.rows(rows, rule)
+    return chosen.select("doc_id", "pattern", "size", _copies(F.col("weight")).alias("copies")), rule, plan, repeats, (patterns, aims), near
+
+
+def _named(member: str) -> str | None:
+    return None if member == "~" else member[1:]
 
 
 def _copies(weight: Column) -> Column:
@@ -338,20 +384,38 @@ def _copies(weight: Column) -> Column:
     return F.col("whole") + _taken(weight).cast("long")
 
 
-def _order(sources) -> list:
-    """By code point, None last."""
-    return sorted(sources, key=lambda s: (s is None, s or ""))
+@dataclass(frozen=True)
+class ByWeight:
+    """Quotas of all sources after :func:`targets`; a source's size is what its patterns hold together."""
 
+    weights: Sequence[float] = WEIGHTS
+    share: float = SHARE
+    most: float = MOST
 
-def quotas_by_weight(weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST):
-    """Quotas of all sources after :func:`targets`; a source's size is what its patterns hold together."""
+    def table(self, sizes: DataFrame) -> DataFrame:
+        """(member, source_size, target, quota) from (member, source_size), for any number of sources.
 
-    def make(patterns):
-        names = _order({s for sources, _ in patterns for s in sources})
-        sizes = [sum(n for sources, n in patterns if s in sources) for s in names]
-        return {s: round(t) for s, t in zip(names, targets(sizes, weights, share, most), strict=True)}
+        Members are in the order of their weights: by code point, the null one last. The
+        scale only rises from round to round, so the full sources are those it has reached.
+        """
+        ranked = range_rank(written(sizes, "mix-sizes"), [F.col("member")], (), "at")
+        weight = F.element_at(F.array(*[F.lit(float(w)) for w in self.weights]), (F.pmod(F.col("at") - 1, F.lit(len(self.weights))) + 1).cast("int"))
+        bound = F.col("source_size") * F.lit(float(self.most))
+        rows = written(ranked.select("member", "source_size", weight.alias("weight"), bound.alias("bound")), "mix-weights")
+        total = self.share * (rows.agg(F.sum("source_size").alias("n")).first()["n"] or 0)
+        scale, full = 0.0, -1
+        while total > 0:
+            reached = F.lit(scale) * F.col("weight") >= F.col("bound") if full >= 0 else F.lit(False)
+            r = rows.agg(F.count_if(reached).alias("n"), F.sum(F.when(reached, F.col("bound"))).alias("b"), F.sum(F.when(~reached, F.col("weight"))).alias("w")).first()
+            if r["n"] == full or not r["w"]:
+                break
+            full, scale = r["n"], max(0.0, total - (r["b"] or 0.0)) / r["w"]
+        target = F.least(F.lit(scale) * F.col("weight"), F.col("bound")) if total > 0 else F.lit(0.0)
+        return rows.select("member", "source_size", target.alias("target")).withColumn("quota", F.bround("target").cast("long"))
 
-    return make
+
+def quotas_by_weight(weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST) -> ByWeight:
+    return ByWeight(weights, share, most)
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -361,30 +425,22 @@ def sized(docs: DataFrame) -> DataFrame:
 
 def mix_by_source(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row of documents."""
-    chosen, _, plan = mix(sized(docs), F.array("source"), quotas_by_weight(), seed=seed)
-    names = [(next(iter(p["sources"])), p) for p in plan]
-    order = {s: i for i, s in enumerate(_order([s for s, _ in names]))}
-    names.sort(key=lambda x: order[x[0]])
-    wanted = targets([p["size"] for _, p in names])
-    table = docs.sparkSession.createDataFrame(
-        [(p["pattern"], p["size"], t) for (_, p), t in zip(names, wanted, strict=True)], "pattern long, source_size long, target double"
-    )
-    return chosen.join(F.broadcast(table), "pattern").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
-    )
+    chosen, _, _, _, (patterns, aims), near = _decided(sized(docs), F.array("source"), quotas_by_weight(), COSTS, seed, MAX_PATTERNS)
+    table = patterns.select("pattern", F.col("members")[0].alias("member")).join(aims, "member").select("pattern", "source_size", "target")
+    return near.rows(chosen, table).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def take(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as they are taken, columns unchanged.
 
-    The rule decides a row where it stands; no text is shuffled, unless very many rows
-    repeat a doc_id. Words are counted again behind the first document skipped only.
+    The rule decides a row where it stands; no text is shuffled, unless there are more than
+    SMALL_ROWS sources or very many rows repeat a doc_id. Words are counted again behind the first document skipped only.
     """
-    _, rule, _, repeats = _decided(sized(docs), F.array("source"), quotas_by_weight(), COSTS, seed, MAX_PATTERNS)
+    _, rule, _, repeats, _, near = _decided(sized(docs), F.array("source"), quotas_by_weight(), COSTS, seed, MAX_PATTERNS)
     marked = F.array(F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("~")))
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.xxhash64(marked).alias("pattern"), _hash(seed, F.col("doc_id").cast("string")).alias("h")
-    ).join(F.broadcast(rule), "pattern")
+    rows = near.rows(
+        docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(marked).alias("pattern"), _hash(seed, F.col("doc_id").cast("string")).alias("h")), rule
+    )
     weight = F.coalesce(F.col("together"), F.size(words(text_or_empty(F.col("row.text")))).cast("long"))
     kept = rows.join(repeats, ["pattern", "h"], "left").withColumn("copies", _copies(weight).cast("int")).filter("copies > 0")
     return kept.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")

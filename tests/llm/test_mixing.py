@@ -147,6 +147,42 @@ def test_the_draw_is_the_first_fit_in_hash_order(spark):
         assert abs(need - sum(together[h] for h in {r.h for r in got})) <= max(lack, m.TOLERANCE * need)
 
 
+def test_more_sources_than_the_flow_takes(docs_of):
+    n = m.MAX_PATTERNS + 500
+    docs = docs_of([(i, "w " * (1 + i % 7), f"site{i}" if i else None) for i in range(n)])
+    got = {r.doc_id: r for r in m.mix_by_source(docs).collect()}
+    assert len(got) == n
+    ids = sorted(range(n), key=lambda i: (i == 0, f"site{i}"))
+    for i, t in zip(ids, m.targets([1 + i % 7 for i in ids]), strict=True):
+        r = got[i]
+        assert (r.size, r.source_size) == (1 + i % 7, 1 + i % 7) and abs(r.target - t) < 1e-6
+        # a document alone can only be taken whole, so within half of it where that is closer
+        assert r.taken in (0, r.size, 2 * r.size) and abs(r.taken - t) <= r.size
+
+
+def test_only_overlapping_sources_are_counted(spark, monkeypatch):
+    rows = [(i, 5, [f"s{i % 30}"]) for i in range(600)] + [(1000 + i, 4, ["a", None]) for i in range(90)] + [(2000 + i, 3, ["a"]) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, size long, members array<string>")
+    seen = []
+    for small in (m.SMALL_ROWS, 3):
+        monkeypatch.setattr(m, "SMALL_ROWS", small)
+        chosen, _, plan = m.mix(docs, F.col("members"), m.quotas_by_weight(), max_patterns=2)
+        assert {p["sources"] for p in plan} == {frozenset(["a", None]), frozenset(["a"])}
+        seen.append(sorted(chosen.select("doc_id", "size", "copies").collect()))
+    assert seen[0] == seen[1] and len(seen[0]) == len(rows)
+    sizes = Counter()
+    for _, n, names in rows:
+        for s in names:
+            sizes[s] += n
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    want = dict(zip(names, m.targets([sizes[s] for s in names]), strict=True))
+    taken = Counter()
+    for (_, n, own), r in zip(sorted(rows), seen[0], strict=True):
+        taken[own[0] if len(own) == 1 and own[0] != "a" else "a"] += n * r.copies
+    assert all(abs(taken[s] - want[s]) <= 5 for s in names if s not in ("a", None))
+    assert abs(taken["a"] - sum(p["given"] for p in plan)) <= 7
+
+
 def test_awkward_rows(awkward, nothing):
     rows = m.mix_by_source(awkward).collect()
     assert len(rows) == 11
