@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsift.llm import bpe, chat, fingerprints, hmm, line_dedup, mixing, near_dup, quality_rules, sharding, url_filter
+from rowsift.llm import bpe, chat, fingerprints, hmm, line_dedup, merkle, mixing, near_dup, quality_rules, sharding, spelling, url_filter
 from rowsift.llm.common import documents
 
 
@@ -58,6 +58,14 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_report(documents(spark, sf_dir))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_language_model": op2_language_model,
@@ -69,6 +77,8 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_line_dedup": op9_line_dedup,
     "op10_near_dup": op10_near_dup,
+    "op11_merkle": op11_merkle,
+    "op13_spelling": op13_spelling,
 }
 
 _LINES = r"""
