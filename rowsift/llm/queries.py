@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsift.llm import bpe, chat, fingerprints, hmm, line_dedup, merkle, mixing, near_dup, quality_rules, sharding, spelling, url_filter
+from rowsift.llm import (
+    bpe,
+    chat,
+    fingerprints,
+    hmm,
+    line_dedup,
+    merkle,
+    mixing,
+    near_dup,
+    quality_rules,
+    sharding,
+    spelling,
+    sql,
+    suffixes,
+    url_filter,
+)
 from rowsift.llm.common import documents
 
 
@@ -62,6 +77,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_report(documents(spark, sf_dir))
 
 
+def op12_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.cut_report(documents(spark, sf_dir))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
 
@@ -78,6 +97,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_near_dup": op10_near_dup,
     "op11_merkle": op11_merkle,
+    "op12_suffixes": op12_suffixes,
     "op13_spelling": op13_spelling,
 }
 
@@ -117,4 +137,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM marked GROUP BY conv_id
 """
 
-ORACLE = {"op7_chat": _CHAT, "op9_line_dedup": _LINES}
+ORACLE = {"op7_chat": _CHAT, "op9_line_dedup": _LINES, "op11_merkle": sql.MERKLE, "op13_spelling": sql.SPELLING}
