@@ -2,15 +2,16 @@
 
 Rows are gathered into cells around pivots sampled from the data (the Voronoi
 partitioning of Lu et al. 2012, "Efficient processing of k nearest neighbor
-joins using MapReduce"). Each query row first searches one block of its own
-cell, which bounds the distance of its k-th neighbour, and then visits only the
-cells whose distance bounds do not rule them out. Three things keep tasks
-bounded whatever the data:
+joins using MapReduce"), and cells with more rows than a block into cells around
+pivots of their own, level by level. Each query row first searches one block of
+its own cell, which bounds the distance of its k-th neighbour, and then goes down
+the tree into the cells whose distance bounds do not rule them out. So cells stay
+as small however many rows there are. Three things keep tasks bounded whatever the data:
 
 * equal vectors are searched once and carry their k+1 smallest ids, so a group
   of copies costs one row;
-* a cell with many distinct rows is split into blocks of about ``block_rows``;
-* a block with many visitors is salted, visitors being spread over the salts.
+* pivots below the root are tables met cell by cell, never broadcast as a whole;
+* a cell or block with many visitors is salted, visitors being spread over the salts.
 
 Exact search is still quadratic for data without any structure (high dimension,
 all distances alike): no bound rules anything out there.
@@ -22,12 +23,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowsift.functions.hashing import hash_key
+from rowsift.functions.hashing import hash_key, hash_uniform
 from rowsift.functions.ranking import KEY_DIGITS, cut_points
-from rowsift.functions.runtime import collect_small, materialize
+from rowsift.functions.runtime import checked_broadcast, collect_small, materialize
 from rowsift.functions.skew import skew_join
 
 _SLACK = 1e-7
@@ -113,57 +114,222 @@ def _nearest_in_block(keep: int):
     return search
 
 
-class _Cells:
-    """Pivots, cell radii and block counts: a driver-side summary of fixed size."""
+#: Children of one node of the pivot tree at most; cell codes have ten bits per level.
+_FAN = 1024
+#: Levels below the root.
+_LEVELS = 5
+#: Rows in one task that looks for the nearest pivots of a cell.
+_PLACE_ROWS = 50_000
 
-    def __init__(self, pivots: np.ndarray):
-        self.pivots = pivots
+
+def _near_bound(d2: np.ndarray, pivots: np.ndarray, radius: np.ndarray, bound: np.ndarray, probes: int | None) -> np.ndarray:
+    """Which cells may hold a row within ``bound``, by their radius and by the border to the nearest pivot's cell.
+
+    Holds for any query: a row of cell c is nearer to c than to the pivot h nearest to the query.
+    """
+    home = d2.argmin(axis=1)
+    by_radius = np.sqrt(d2) - radius[None, :]
+    apart = np.sqrt(_squared(pivots, pivots))[home]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        by_border = (d2 - d2[np.arange(len(d2)), home][:, None]) / (2.0 * apart)
+    by_border = np.where(apart > 0, by_border, -np.inf)
+    may = np.maximum(by_radius, by_border) <= bound[:, None] + _SLACK * (1.0 + np.sqrt(d2))
+    may &= radius[None, :] >= 0
+    if probes is not None and probes < len(pivots):
+        near = np.argpartition(d2, probes - 1, axis=1)[:, :probes]
+        allowed = np.zeros_like(may)
+        allowed[np.arange(len(d2))[:, None], near] = True
+        may &= allowed
+    return may
+
+
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], per_task: int, search, schema: str, few: bool = False) -> DataFrame:
+    """Cogroup by ``keys``; a key with more than ``per_task`` rows of ``left`` is dealt to several tasks.
+
+    ``left`` has an id ``lid``; rows of ``right`` are copied once per task. ``few`` says that
+    ``left`` is known to be small.
+    """
+    if few:
+        l, r = left.withColumn("_salt", F.lit(0)), right.withColumn("_salt", F.lit(0))
+    else:
+        busy = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > per_task)
+        busy = checked_broadcast(busy.select(*keys, F.ceil(F.col("n") / F.lit(per_task)).cast("int").alias("_tasks")))
+        tasks = F.coalesce("_tasks", F.lit(1))
+        l = left.join(busy, keys, "left").withColumn("_salt", F.pmod(F.xxhash64("lid", F.lit(1)), tasks.cast("bigint")).cast("int"))
+        r = right.join(busy, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), tasks - 1)))
+    # the two sides may come from one frame, so the left keys get names of their own
+    l = l.drop("_tasks").withColumnsRenamed({c: f"_to_{c}" for c in [*keys, "_salt"]})
+    to = l.groupBy(*[f"_to_{c}" for c in [*keys, "_salt"]])
+    return to.cogroup(r.drop("_tasks").groupBy(*keys, "_salt")).applyInPandas(search, schema)
+
+
+def _child_of(points: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+    """(lid, cell, pd): the nearest pivot of the cell every point is in."""
+    if not len(points) or not len(pivots):
+        return pd.DataFrame({"lid": pd.Series(dtype="int64"), "cell": pd.Series(dtype="int64"), "pd": pd.Series(dtype="float64")})
+    x, p = _stack(points["vec"]), _stack(pivots["pivot"])
+    child = np.concatenate([_squared(x[s : s + _TILE], p).argmin(axis=1) for s in range(0, len(x), _TILE)])
+    exact = np.sqrt(((x - p[child]) ** 2).sum(1))
+    codes = pivots["child"].to_numpy()[child]
+    return pd.DataFrame({"lid": points["lid"].to_numpy(), "cell": codes, "pd": exact})
+
+
+_VISIT = "qid bigint, vec array<double>, bound double, own_cell bigint, own_block int, cell bigint, blocks int"
+
+
+def _children_in_reach(probes: int | None):
+    def descend(visitors: pd.DataFrame, children: pd.DataFrame) -> pd.DataFrame:
+        cols = ["qid", "vec", "bound", "own_cell", "own_block"]
+        out = []
+        if len(children):
+            pivots, radius = _stack(children["pivot"]), children["radius"].to_numpy()
+            codes, blocks = children["child"].to_numpy(), children["blocks"].to_numpy()
+            for s in range(0, len(visitors), _TILE):
+                some = visitors.iloc[s : s + _TILE]
+                may = _near_bound(_squared(_stack(some["vec"]), pivots), pivots, radius, some["bound"].to_numpy(), probes)
+                r, k = np.nonzero(may)
+                out.append(some[cols].iloc[r].assign(cell=codes[k], blocks=blocks[k]))
+        return pd.concat(out) if out else visitors[cols].iloc[:0].assign(cell=np.int64(0), blocks=np.int32(0))
+
+    return descend
+
+
+class _Tree:
+    """Pivots within cells within cells.
+
+    The root's pivots are a driver-side table of at most ``_FAN`` rows. A cell with more rows
+    than a block gets pivots of its own, sampled from its rows by a hash, and so on below;
+    these stay tables (cell, child, pivot, radius, blocks), one per level, which points and
+    visitors meet cell by cell. ``blocks`` is 0 for a cell that has children. A cell's code
+    is its parent's, ten bits on.
+    """
+
+    def __init__(self, pivots: np.ndarray, block_rows: int, rows_per_cell: int, fan: int, probes: int | None):
+        self.pivots, self.probes = pivots, probes
         self.radius = np.full(len(pivots), -1.0)
-        self.blocks = [1] * len(pivots)
+        self.blocks = [0] * len(pivots)
+        self.block_rows, self.rows_per_cell, self.fan = block_rows, rows_per_cell, fan
+        self.levels: list[DataFrame] = []
 
-    def assign(self):
+    def _from_root(self, points: DataFrame) -> DataFrame:
+        """Adds ``cell`` (the nearest of the root's) and ``pd``, the distance to its pivot."""
         pivots = self.pivots
 
-        @F.pandas_udf("cell int, pd double")
+        @F.pandas_udf("cell bigint, pd double")
         def nearest(vec: pd.Series) -> pd.DataFrame:
-            d = _squared(_stack(vec), pivots)
-            cell = d.argmin(axis=1)
-            exact = np.sqrt(((_stack(vec) - pivots[cell]) ** 2).sum(1))
-            return pd.DataFrame({"cell": cell.astype("int32"), "pd": exact})
-
-        return nearest
-
-    def reachable(self, probes: int | None = None):
-        """Cells that may hold a row within ``bound`` of the vector; with ``probes`` only the nearest."""
-        pivots, radius = self.pivots, self.radius
-        between = np.sqrt(_squared(pivots, pivots))
+            x = _stack(vec)
+            cell = _squared(x, pivots).argmin(axis=1)
+            return pd.DataFrame({"cell": cell + _FAN, "pd": np.sqrt(((x - pivots[cell]) ** 2).sum(1))})
+
+        return points.withColumn("_p", nearest("vec")).select(*points.columns, "_p.cell", "_p.pd")
+
+    @staticmethod
+    def _one_level(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+        """``rows`` of cells with children, moved to the nearest child."""
+        points = rows.select(F.col("vid").alias("lid"), "vec", "cell")
+        found = _meet(points, nodes.select("cell", "child", "pivot"), ["cell"], _PLACE_ROWS, _child_of, "lid bigint, cell bigint, pd double")
+        return rows.drop("cell", "pd").join(found.withColumnRenamed("lid", "vid"), "vid")
+
+    def build(self, points: DataFrame, n: int) -> DataFrame:
+        """Grow the tree over ``points`` (vid, vec, ...) and return them with ``cell`` and ``block``."""
+        if len(self.pivots) == 1:
+            self.radius[0], self.blocks[0] = np.inf, math.ceil(n / self.block_rows)
+            return self._with_blocks(points.withColumn("cell", F.lit(_FAN).cast("bigint")))
+        rows = materialize(self._from_root(points))
+        sizes = {}
+        for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("pd").alias("r")).collect():
+            self.radius[r["cell"] - _FAN], sizes[r["cell"]] = r["r"], r["n"]
+            self.blocks[r["cell"] - _FAN] = math.ceil(r["n"] / self.block_rows)
+        spark = points.sparkSession
+        large = spark.createDataFrame([(c, k) for c, k in sizes.items() if k > self.block_rows], "cell bigint, n bigint")
+        settled = None
+        for level in range(_LEVELS):
+            if large.isEmpty():
+                break
+            inner = rows.join(checked_broadcast(large), "cell")
+            nodes = self._sampled(inner, level)
+            split = nodes.select("cell").distinct()
+            if level == 0:
+                for r in split.collect():  # at most one row per pivot of the root
+                    self.blocks[r["cell"] - _FAN] = 0
+            still = rows.join(checked_broadcast(split), "cell", "left_anti")
+            settled = still if settled is None else settled.unionByName(still)
+            rows = materialize(self._one_level(rows.join(checked_broadcast(split), "cell"), nodes).select(*rows.columns))
+            stats = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("pd").alias("radius"))
+            stats = materialize(stats.withColumnRenamed("cell", "child"))
+            if self.levels:  # cells that have got children are no longer visited as blocks
+                was = self.levels[-1].join(checked_broadcast(split.select(F.col("cell").alias("child"), F.lit(0).alias("_none"))), "child", "left")
+                self.levels[-1] = materialize(was.withColumn("blocks", F.coalesce("_none", "blocks")).drop("_none"))
+            blocks = F.ceil(F.col("n") / F.lit(self.block_rows)).cast("int").alias("blocks")
+            self.levels.append(materialize(nodes.join(stats, "child").select("cell", "child", "pivot", "radius", blocks)))
+            large = stats.filter(F.col("n") > self.block_rows).select(F.col("child").alias("cell"), "n")
+        return self._with_blocks(rows if settled is None else settled.unionByName(rows))
+
+    def _sampled(self, inner: DataFrame, level: int) -> DataFrame:
+        """(cell, child, pivot): pivots of every cell, sampled from its rows by a hash; a cell with one stays whole."""
+        wanted = F.least(F.lit(self.fan), F.ceil(F.col("n") / F.lit(self.rows_per_cell)) + 1)
+        taken = inner.filter(hash_uniform(7, f"pivot{level}", F.col("vid").cast("string")) < wanted / F.col("n"))
+        order = Window.partitionBy("cell").orderBy("vid")  # over the few sampled rows
+        numbered = taken.select(
+            "cell", F.row_number().over(order).alias("k"), F.col("vec").alias("pivot"), F.count(F.lit(1)).over(Window.partitionBy("cell")).alias("of")
+        )
+        kept = numbered.filter((F.col("of") > 1) & (F.col("k") <= _FAN))
+        return materialize(kept.select("cell", (F.col("cell") * _FAN + F.col("k") - 1).alias("child"), "pivot"))
+
+    def _with_blocks(self, rows: DataFrame) -> DataFrame:
+        """Adds ``block``; only cells that could not be split have more than one."""
+        spark = rows.sparkSession
+        many = spark.createDataFrame([(_FAN + i, b) for i, b in enumerate(self.blocks) if b > 1], "cell bigint, blocks int")
+        for nodes in self.levels:
+            many = many.unionByName(nodes.filter("blocks > 1").select(F.col("child").alias("cell"), "blocks"))
+        many = checked_broadcast(many)
+        block = F.pmod(F.xxhash64("vid"), F.coalesce("blocks", F.lit(1)).cast("bigint")).cast("int")
+        return rows.join(many, "cell", "left").withColumn("block", block).drop("blocks")
+
+    def place(self, points: DataFrame) -> DataFrame:
+        """``points`` (vid, vec, ...) with the ``cell`` and ``block`` they would be in."""
+        if len(self.pivots) == 1:
+            return self._with_blocks(points.withColumn("cell", F.lit(_FAN).cast("bigint")))
+        rows, settled = materialize(self._from_root(points)), None
+        for nodes in self.levels:
+            split = checked_broadcast(nodes.select("cell").distinct())
+            still = rows.join(split, "cell", "left_anti")
+            settled = still if settled is None else settled.unionByName(still)
+            rows = materialize(self._one_level(rows.join(split, "cell"), nodes).select(*rows.columns))
+        return self._with_blocks(rows if settled is None else settled.unionByName(rows))
+
+    def visits(self, known: DataFrame, visit_rows: int) -> DataFrame:
+        """(qid, vec, bound, cell, block): blocks besides a row's own that may hold one of its neighbours.
+
+        ``known`` has qid, vec, bound, cell and block.
+        """
+        pivots, radius, probes = self.pivots, self.radius, self.probes
 
         @F.pandas_udf("array<int>")
-        def cells(vec: pd.Series, home: pd.Series, bound: pd.Series) -> pd.Series:
-            x, h, b = _stack(vec), home.to_numpy(), bound.to_numpy()
-            d2 = _squared(x, pivots)
-            by_radius = np.sqrt(d2) - radius[None, :]
-            apart = between[h]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                by_border = (d2 - d2[np.arange(len(x)), h][:, None]) / (2.0 * apart)
-            by_border = np.where(apart > 0, by_border, -np.inf)
-            scale = 1.0 + np.sqrt(d2)
-            may = np.maximum(by_radius, by_border) <= b[:, None] + _SLACK * scale
-            may &= radius[None, :] >= 0
-            if probes is not None and probes < len(pivots):
-                near = np.argpartition(d2, probes - 1, axis=1)[:, :probes]
-                allowed = np.zeros_like(may)
-                allowed[np.arange(len(x))[:, None], near] = True
-                may &= allowed
+        def reach(vec: pd.Series, bound: pd.Series) -> pd.Series:
+            may = _near_bound(_squared(_stack(vec), pivots), pivots, radius, bound.to_numpy(), probes)
             return pd.Series([np.nonzero(m)[0].astype("int32") for m in may])
 
-        return cells
-
-    def blocks_of(self, cell: Column) -> Column:
-        return F.element_at(F.lit(self.blocks), cell + 1)
-
-    def block_for(self, row_id: Column, cell: Column) -> Column:
-        return F.pmod(F.xxhash64(row_id), self.blocks_of(cell).cast("bigint")).cast("int")
+        columns = [c.split()[0] for c in _VISIT.split(", ")]
+        front = known.select(
+            "qid", "vec", "bound", F.col("cell").alias("own_cell"), F.col("block").alias("own_block"), F.explode(reach("vec", "bound")).alias("to")
+        )
+        front = front.withColumns({"cell": (F.col("to") + _FAN).cast("bigint"), "blocks": F.element_at(F.lit(self.blocks), F.col("to") + 1)})
+        front = front.select(*columns)
+        fronts = [front]
+        for nodes in self.levels:
+            fronts[-1] = materialize(fronts[-1])
+            down = fronts[-1].filter("blocks = 0").withColumn("lid", F.col("qid"))
+            fronts.append(_meet(down, nodes, ["cell"], visit_rows, _children_in_reach(probes), _VISIT))
+        found = fronts[0]
+        for f in fronts[1:]:
+            found = found.unionByName(f)
+        found = found.filter("blocks > 0")
+        return (
+            found.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .filter(~((F.col("cell") == F.col("own_cell")) & (F.col("block") == F.col("own_block"))))
+            .select("qid", "vec", "bound", "cell", "block")
+        )
 
 
 def _choose_pivots(base: DataFrame, n: int, rows_per_cell: int, max_pivots: int) -> np.ndarray:
@@ -175,34 +341,31 @@ def _choose_pivots(base: DataFrame, n: int, rows_per_cell: int, max_pivots: int)
     return np.array([r["vec"] for r in rows], dtype=np.float64)
 
 
-def _visit(
-    visits: DataFrame, base: DataFrame, cells: _Cells, keep: int, visit_rows: int, few: bool = False
-) -> DataFrame:
-    """Search the block each visit names; blocks with many visitors are salted.
+def _visit(visits: DataFrame, base: DataFrame, keep: int, visit_rows: int, few: bool = False) -> DataFrame:
+    """Search the block each visit names; blocks with many visitors are dealt to several tasks.
 
     ``few`` says that all visitors together are known to fit one task.
     """
-    salts = [1] * len(cells.pivots)
-    counts = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    for r in [] if few else collect_small(counts):
-        salts[r["cell"]] = max(1, math.ceil(r["n"] / cells.blocks[r["cell"]] / visit_rows))
-    n_salts = F.element_at(F.lit(salts), F.col("cell") + 1)
-    spread = visits.select(
-        "qid",
-        F.col("vec").alias("qvec"),
-        "bound",
-        F.col("cell").alias("to_cell"),
-        F.col("block").alias("to_block"),
-        F.pmod(F.xxhash64("qid", F.lit(1)), n_salts.cast("bigint")).cast("int").alias("to_salt"),
-    )
-    copies = base.select(
-        "vid", "vec", "members", "cell", "block", F.explode(F.sequence(F.lit(0), n_salts - 1)).alias("salt")
-    )
-    return (
-        spread.groupBy("to_cell", "to_block", "to_salt")
-        .cogroup(copies.groupBy("cell", "block", "salt"))
-        .applyInPandas(_nearest_in_block(keep), "qid bigint, members array<bigint>, dist double")
-    )
+    asked = visits.select("qid", F.col("qid").alias("lid"), F.col("vec").alias("qvec"), "bound", "cell", "block")
+    rows = base.select("vid", "vec", "members", "cell", "block")
+    schema = "qid bigint, members array<bigint>, dist double"
+    return _meet(asked, rows, ["cell", "block"], visit_rows, _nearest_in_block(keep), schema, few)
+
+
+def _pivot_tree(distinct: DataFrame, n: int, width: int, block_rows: int, rows_per_cell: int, max_pivots: int, probes: int | None) -> _Tree:
+    fan = min(max_pivots, _FAN, max(1, (16 << 20) // (8 * max(1, width))))
+    if n <= min(block_rows, 4 * rows_per_cell):
+        pivots = np.zeros((1, width))
+    else:
+        pivots = _choose_pivots(distinct, n, rows_per_cell, fan)
+    return _Tree(pivots, block_rows, rows_per_cell, fan, probes)
+
+
+def _bounded(asked: DataFrame, found: DataFrame, keep: int) -> DataFrame:
+    """``asked`` with ``bound``, the distance of the ``keep``-th neighbour found so far."""
+    bounds = found.groupBy("qid").agg(F.count(F.lit(1)).alias("c"), F.max("dist").alias("far"))
+    far = F.when(F.col("c") >= keep, F.col("far")).otherwise(F.lit(float("inf")))
+    return asked.join(bounds, "qid", "left").withColumn("bound", far)
 
 
 def knn_edges(
@@ -221,8 +384,8 @@ def knn_edges(
 
     Without ``queries`` the table is joined to itself and a row is never its own
     neighbour (k is capped at n-1). The search is exact; with ``probes`` a row only
-    visits the cells of that many nearest pivots, which bounds the work on data without
-    structure and may miss neighbours. Order is (dist, j) with dist rounded to nine
+    visits the cells of that many nearest pivots on each level, which bounds the work on data
+    without structure and may miss neighbours. Order is (dist, j) with dist rounded to nine
     places. Ids are BIGINT and unique, features ARRAY<DOUBLE> without nulls.
     """
     self_join = queries is None
@@ -237,26 +400,8 @@ def knn_edges(
     ).first()
     if not size["n"]:
         return base.sparkSession.createDataFrame([], "i bigint, j bigint, rank int, dist double")
-    by_memory = max(1, (16 << 20) // (8 * max(1, size["d"])))
-    if size["n"] <= min(block_rows, 4 * rows_per_cell):
-        pivots = np.zeros((1, size["d"]))
-    else:
-        pivots = _choose_pivots(distinct, size["n"], rows_per_cell, min(max_pivots, by_memory))
-    cells = _Cells(pivots)
-    assign = cells.assign()
-
-    def placed(d: DataFrame) -> DataFrame:
-        return d.withColumn("_p", assign("vec")).select(*d.columns, "_p.cell", "_p.pd")
-
-    if len(cells.pivots) == 1:
-        home = distinct.withColumns({"cell": F.lit(0), "pd": F.lit(0.0)})
-        cells.radius[0], cells.blocks[0] = np.inf, math.ceil(size["n"] / block_rows)
-    else:
-        home = materialize(placed(distinct))
-        for r in home.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("pd").alias("r")).collect():
-            cells.radius[r["cell"]] = r["r"]
-            cells.blocks[r["cell"]] = math.ceil(r["n"] / block_rows)
-    blocked = home.withColumn("block", cells.block_for(F.col("vid"), F.col("cell")))
+    tree = _pivot_tree(distinct, size["n"], size["d"], block_rows, rows_per_cell, max_pivots, probes)
+    blocked = tree.build(distinct, size["n"])
 
     asked_points, more = points, size["more"]
     if self_join:
@@ -265,27 +410,16 @@ def knn_edges(
         asked_points = as_points(queries)
         own = materialize(_distinct_vectors(asked_points, keep))
         more = own.agg(F.max("more").alias("m")).first()["m"]
-        own = own.withColumns({"cell": F.lit(0), "pd": F.lit(0.0)}) if len(cells.pivots) == 1 else placed(own)
-        asked = own.withColumn("block", cells.block_for(F.col("vid"), F.col("cell")))
+        asked = tree.place(own)
     asked = asked.withColumn("qid", F.col("vid"))
 
     first = asked.select("qid", "vec", "cell", "block", F.lit(float("inf")).alias("bound"))
     few = self_join and size["n"] <= visit_rows
-    found = _visit(first, blocked, cells, keep, visit_rows, few)
-    if sum(cells.blocks) > 1:
+    found = _visit(first, blocked, keep, visit_rows, few)
+    if len(tree.pivots) > 1 or tree.blocks[0] > 1:
         found = materialize(found)
-        bounds = found.groupBy("qid").agg(F.count(F.lit(1)).alias("c"), F.max("dist").alias("far"))
-        known = asked.join(bounds, "qid", "left").withColumn(
-            "bound", F.when(F.col("c") >= keep, F.col("far")).otherwise(F.lit(float("inf")))
-        )
-        reach = cells.reachable(probes)
-        rest = (
-            known.withColumn("to", F.explode(reach("vec", "cell", "bound")))
-            .withColumn("to_block", F.explode(F.sequence(F.lit(0), cells.blocks_of(F.col("to")) - 1)))
-            .filter(~((F.col("to") == F.col("cell")) & (F.col("to_block") == F.col("block"))))
-            .select("qid", "vec", F.col("to").alias("cell"), F.col("to_block").alias("block"), "bound")
-        )
-        found = found.unionByName(_visit(rest, blocked, cells, keep, visit_rows))
+        rest = materialize(tree.visits(_bounded(asked, found, keep), visit_rows))
+        found = found.unionByName(_visit(rest, blocked, keep, visit_rows))
 
     nearest = Window.partitionBy("qid").orderBy("dist", "j")
     lists = (

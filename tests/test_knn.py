@@ -3,6 +3,11 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from rowsift.functions.hashing import hash_uniform
+from rowsift.functions.runtime import materialize
+from rowsift.operators import knn
 from rowsift.operators.knn import knn_edges, knn_regress, knn_vote, leave_one_out_probs
 
 
@@ -72,3 +77,21 @@ def test_vote_and_regression(spark):
     p = {r["row_id"]: r["probs"] for r in leave_one_out_probs(edges, both, 2).collect()}
     assert p[1] == pytest.approx([(1 + 0.5) / 3] * 2)
     assert all(abs(sum(v) - 1) < 1e-8 for v in p.values())
+
+
+def test_visits_grow_slower_than_rows(spark):
+    """With ten times the rows and the same root, a row visits less than twice as many blocks: the tree gets deeper."""
+    per_row, depth = [], []
+    for n in (4_000, 40_000):
+        vec = F.array(*[hash_uniform(5, f"x{c}", F.col("id").cast("string")) for c in range(3)])
+        points = spark.range(n).select("id", vec.alias("vec"))
+        distinct = materialize(knn._distinct_vectors(points, 6))
+        tree = knn._pivot_tree(distinct, n, 3, 100, 50, 16, None)
+        rows = materialize(tree.build(distinct, n).withColumn("qid", F.col("vid")))
+        assert rows.count() == n and rows.groupBy("cell", "block").count().agg(F.max("count")).first()[0] < 250
+        first = rows.select("qid", "vec", "cell", "block", F.lit(float("inf")).alias("bound"))
+        found = knn._visit(first, rows, 6, 8192)
+        per_row.append(tree.visits(knn._bounded(rows, found, 6), 8192).count() / n)
+        depth.append(len(tree.levels))
+    assert depth[1] > depth[0] >= 1
+    assert per_row[1] < 2 * per_row[0]
