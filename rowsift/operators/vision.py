@@ -118,47 +118,68 @@ def mask_boxes(mask: DataFrame) -> DataFrame:
     )
 
 
-#: A box is copied to at most this many tiles in either direction, and one.
-TILES = 32
-#: Truth boxes of one tile beyond which the tile is dealt to several tasks.
-BUSY_TILE = 2000
+#: Ratio of cell sides between neighbouring levels of the grid.
+GRID_BASE = 4
+#: Truth boxes of one cell beyond which the cell is dealt to several tasks.
+BUSY_CELL = 2000
+_GRID_KEY = ["image_id", "_kind", "_level", "_tx", "_ty"]
 
 
-def _tile_sides(truth: DataFrame, pred: DataFrame) -> DataFrame:
-    """(image_id, _tile): about the mean side of an image's boxes, so that a crowd of small boxes gets small tiles."""
-    side = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
-    both = truth.select("image_id", side.alias("s")).unionByName(pred.select("image_id", side.alias("s")))
-    return both.groupBy("image_id").agg(F.greatest(F.avg("s"), F.max("s") / TILES, F.lit(1e-6)).alias("_tile"))
+def _leveled(boxes: DataFrame) -> DataFrame:
+    """Adds ``_level``: the least level whose cells are as long as the longer side of the box."""
+    side = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.lit(1e-9))
+    return boxes.withColumn("_level", F.ceil(F.log(float(GRID_BASE), side)).cast("int"))
 
 
-def _tiled(boxes: DataFrame, tiles: DataFrame | None, tile: float | None, side: str) -> DataFrame:
-    """One copy of a box per tile it touches, corners renamed for ``side``."""
-    span = lambda a, b: F.sequence(F.floor(F.col(a) / F.col("_tile")), F.floor(F.col(b) / F.col("_tile")))
-    sized = boxes.withColumn("_tile", F.lit(tile)) if tiles is None else skew_join(boxes, tiles, ["image_id"])
+def _cell(x: Column) -> Column:
+    """Number of the cell of level ``_level`` that holds ``x``."""
+    return F.floor(x / F.pow(F.lit(float(GRID_BASE)), F.col("_level")))
+
+
+def _on_grid(boxes: DataFrame, others: list[int], side: str) -> DataFrame:
+    """Copies of the boxes on the grid: in the cells of their own level, at most two in a row, and in the
+    ancestors of these on every level above that boxes of the other side have.
+
+    ``_kind`` says which copies may meet: truth boxes of a level ("own") meet predictions of
+    the same level and ancestors of smaller predictions; ancestors of smaller truth boxes
+    ("up") meet predictions of the level. So two small boxes never meet in a large cell.
+    """
+    level = F.col("_level")
+    kind = lambda name, at: F.struct(F.lit(name).alias("_kind"), at.alias("_level"))
+    larger = F.filter(F.array(*[F.lit(x) for x in others]), lambda x: x > level)
+    smaller = F.lit(min(others)) < level
+    if side == "t":
+        copies = F.concat(F.array(kind("own", level)), F.transform(larger, lambda x: kind("up", x)))
+    else:
+        ancestors = F.transform(larger, lambda x: kind("own", x))
+        copies = F.concat(F.array(kind("own", level)), F.when(smaller, F.array(kind("up", level))).otherwise(F.array()), ancestors)
+    kept = [c for c in boxes.columns if c not in ("image_id", "_level")]
+    spread = boxes.withColumn("_copy", F.explode(copies)).drop("_level").select("*", "_copy._kind", "_copy._level")
     return (
-        sized.withColumn("_tx", F.explode(span("x1", "x2")))
-        .withColumn("_ty", F.explode(span("y1", "y2")))
-        .select(
-            "image_id",
-            "_tx",
-            "_ty",
-            *([F.col("_tile")] if side == "t" else []),
-            *[F.col(c).alias(f"{side}_{c}") for c in boxes.columns if c != "image_id"],
-        )
+        spread.withColumn("_tx", F.explode(F.sequence(_cell(F.col("x1")), _cell(F.col("x2")))))
+        .withColumn("_ty", F.explode(F.sequence(_cell(F.col("y1")), _cell(F.col("y2")))))
+        .select(*_GRID_KEY, *[F.col(c).alias(f"{side}_{c}") for c in kept])
     )
 
 
-def box_iou(truth: DataFrame, pred: DataFrame, tile: float | None = None) -> DataFrame:
+def _levels_of(boxes: DataFrame) -> list[int]:
+    """The levels that occur; a double has a few hundred at most."""
+    return sorted(boxes.agg(F.collect_set("_level").alias("s")).first()["s"])
+
+
+def box_iou(truth: DataFrame, pred: DataFrame) -> DataFrame:
     """Overlapping (truth, prediction) pairs of an image with their IoU.
 
-    The join is on (image, tile), so boxes that are far apart never meet, and a
-    pair is reported only by the tile of the corner of its intersection. The side of
-    a tile follows from the image's boxes unless ``tile`` sets it; busy tiles are
-    dealt to several tasks. Columns t_* and p_* hold the two boxes.
+    A hierarchical grid brings them together: a box lies in cells about as large as itself
+    and meets boxes of other sizes in the ancestors of those cells, so it has few copies
+    whatever its size and boxes that are far apart never meet. A pair is reported only by
+    the cell of the corner of its intersection; busy cells are dealt to several tasks.
+    Columns t_* and p_* hold the two boxes.
     """
-    tiles = materialize(_tile_sides(truth, pred)) if tile is None else None
+    truth, pred = _leveled(truth), _leveled(pred)
+    t_levels, p_levels = _levels_of(truth), _levels_of(pred)
     pairs = skew_join(
-        _tiled(truth, tiles, tile, "t"), _tiled(pred, tiles, tile, "p"), ["image_id", "_tx", "_ty"], hot_rows=BUSY_TILE
+        _on_grid(truth, p_levels or [0], "t"), _on_grid(pred, t_levels or [0], "p"), _GRID_KEY, hot_rows=BUSY_CELL
     )
     left, top = F.greatest("t_x1", "p_x1"), F.greatest("t_y1", "p_y1")
     right, bottom = F.least("t_x2", "p_x2"), F.least("t_y2", "p_y2")
@@ -166,41 +187,58 @@ def box_iou(truth: DataFrame, pred: DataFrame, tile: float | None = None) -> Dat
     inter = (right - left) * (bottom - top)
     return (
         pairs.filter((right > left) & (bottom > top))
-        .filter((F.floor(left / F.col("_tile")) == F.col("_tx")) & (F.floor(top / F.col("_tile")) == F.col("_ty")))
+        .filter((_cell(left) == F.col("_tx")) & (_cell(top) == F.col("_ty")))
         .withColumn("iou", F.round(inter / (area("t") + area("p") - inter), KEY_DIGITS))
-        .drop("_tx", "_ty", "_tile")
+        .drop("_kind", "_level", "_tx", "_ty")
+    )
+
+
+_SAME_BOX = ["image_id", "class_id", *CORNERS]
+
+
+def _grouped(boxes: DataFrame, *scores: str) -> DataFrame:
+    """One row per different box of an image: its number ``gid``, ``n`` copies, and id and scores of one of them."""
+    groups = boxes.groupBy(*_SAME_BOX).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in ("box_id", *scores)]
+    )
+    return materialize(groups.withColumn("gid", F.monotonically_increasing_id()))
+
+
+def _per_box(boxes: DataFrame, groups: DataFrame, found: DataFrame, *scores: str) -> DataFrame:
+    """(image_id, box_id, scores..., columns of ``found``) of every box; copies take what their group got."""
+    known = groups.join(found, "gid", "left").drop("gid")
+    out = ["image_id", "box_id", *scores, *[c for c in found.columns if c != "gid"]]
+    copied = known.filter("_n > 1").drop("box_id", *scores)
+    counts = copied.select(*_SAME_BOX, "_n")
+    return known.filter("_n = 1").select(*out).unionByName(
+        skew_join(boxes, copied.drop("_n"), _SAME_BOX, counts=counts).select(*out)
     )
 
 
-def box_issues(truth: DataFrame, pred: DataFrame, tile: float | None = None) -> DataFrame:
+def box_issues(truth: DataFrame, pred: DataFrame) -> DataFrame:
     """(image_id, box_id, side, issue) for boxes that disagree.
 
     Truth boxes: ``missing``, ``badly_located`` or ``swapped``; predictions:
     ``overlooked``. Equal boxes of an image are matched once.
     """
-    one_truth = truth.select("image_id", "class_id", *CORNERS).distinct()
-    one_pred = pred.select("image_id", "class_id", *CORNERS).distinct()
-    pairs = box_iou(one_truth, one_pred, tile)
+    t_groups, p_groups = _grouped(truth), _grouped(pred, "score")
+    slim = lambda g: g.select("image_id", "class_id", *CORNERS, "gid")
+    pairs = materialize(box_iou(slim(t_groups), slim(p_groups)).select("t_gid", "p_gid", "t_class_id", "p_class_id", "iou"))
     same = F.col("t_class_id") == F.col("p_class_id")
-
-    def by_side(s: str) -> list[Column]:
-        return [F.col("image_id"), *[F.col(f"{s}_{c}").alias(c) for c in ("class_id", *CORNERS)]]
-
-    key = ["image_id", "class_id", *CORNERS]
-    best = pairs.groupBy(*by_side("t")).agg(
+    best = pairs.groupBy(F.col("t_gid").alias("gid")).agg(
         F.max("iou").alias("best"),
         F.max(F.when(same, F.col("iou"))).alias("best_same"),
         F.max(F.when(~same, F.col("iou"))).alias("best_other"),
     )
     zero = lambda c: F.coalesce(c, F.lit(0.0))
-    t = skew_join(truth, best, key, "left").withColumns({c: zero(c) for c in ("best", "best_same", "best_other")})
+    t = _per_box(truth, t_groups, best).withColumns({c: zero(c) for c in ("best", "best_same", "best_other")})
     t_issue = (
         F.when(F.col("best") < IOU_LOW, "missing")
         .when((F.col("best_other") >= IOU_HIGH) & (F.col("best_same") < IOU_HIGH), "swapped")
         .when((F.col("best_same") >= IOU_LOW) & (F.col("best_same") < IOU_HIGH), "badly_located")
     )
-    seen = pairs.groupBy(*by_side("p")).agg(F.max("iou").alias("best"))
-    p = skew_join(pred, seen, key, "left")
+    seen = pairs.groupBy(F.col("p_gid").alias("gid")).agg(F.max("iou").alias("best"))
+    p = _per_box(pred, p_groups, seen, "score")
     p_issue = F.when((zero("best") < IOU_LOW) & (F.col("score") >= SURE), "overlooked")
     out = t.select("image_id", "box_id", F.lit("truth").alias("side"), t_issue.alias("issue")).unionByName(
         p.select("image_id", "box_id", F.lit("prediction").alias("side"), p_issue.alias("issue"))

@@ -46,6 +46,40 @@ def test_a_crowd_of_boxes(spark):
     assert n == 9 and pairs.filter("t_box_id = p_box_id").count() == 100_000
 
 
+def test_boxes_of_all_sizes(spark):
+    """Small and huge boxes in one image: all overlaps are found, with few copies of a box."""
+    import random
+
+    rng = random.Random(8)
+    cols = "image_id bigint, box_id bigint, class_id int, x1 double, y1 double, x2 double, y2 double"
+
+    def some(n):
+        out = []
+        for i in range(n):
+            side = 2.0 ** rng.randint(-3, 10)
+            x, y = rng.uniform(-300, 1500), rng.uniform(-300, 1500)
+            out.append((rng.randint(1, 2), i, 0, x, y, x + side * rng.uniform(0.2, 1), y + side * rng.uniform(0.2, 1)))
+        return out
+
+    a, b = some(150), some(150)
+    truth, pred = spark.createDataFrame(a, cols), spark.createDataFrame(b, cols)
+    got = vision.box_iou(truth, pred).select("image_id", "t_box_id", "p_box_id").collect()
+    want = {
+        (t[0], t[1], p[1])
+        for t in a
+        for p in b
+        if t[0] == p[0] and min(t[5], p[5]) > max(t[3], p[3]) and min(t[6], p[6]) > max(t[4], p[4])
+    }
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    levels = vision._levels_of(vision._leveled(pred))
+    copies = vision._on_grid(vision._leveled(truth), levels, "t").count()
+    assert copies < 150 * 4 * len(levels)
+    crowd = vision.box_issues(truth.unionByName(truth), pred.withColumn("score", F.lit(0.9))).groupBy("side").count()
+    once = vision.box_issues(truth, pred.withColumn("score", F.lit(0.9))).groupBy("side").count()
+    n = {r["side"]: r["count"] for r in once.collect()}
+    assert {r["side"]: r["count"] for r in crowd.collect()} == {"truth": 2 * n["truth"], "prediction": n["prediction"]}
+
+
 def test_very_many_classes(spark):
     df = spark.range(90_000).select(F.col("id").alias("row_id"), (F.col("id") % 30_000).cast("int").alias("label"))
     folds = sampling.kfold(df, 3, "label")
