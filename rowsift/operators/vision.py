@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rowsift.functions.hashing import hash_below, hash_key, hash_uniform
 from rowsift.functions.ranking import KEY_DIGITS
-from rowsift.functions.runtime import materialize
+from rowsift.functions.runtime import checked_broadcast, materialize
 from rowsift.functions.skew import skew_join
 
 CORNERS = ("x1", "y1", "x2", "y2")
@@ -126,9 +126,9 @@ _GRID_KEY = ["image_id", "_kind", "_level", "_tx", "_ty"]
 
 
 def _leveled(boxes: DataFrame) -> DataFrame:
-    """Adds ``_level``: the least level whose cells are as long as the longer side of the box."""
+    """Adds ``_level``: the least level whose cells are twice as long as the longer side of the box."""
     side = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.lit(1e-9))
-    return boxes.withColumn("_level", F.ceil(F.log(float(GRID_BASE), side)).cast("int"))
+    return boxes.withColumn("_level", F.ceil(F.log(float(GRID_BASE), side * 2)).cast("int"))
 
 
 def _cell(x: Column) -> Column:
@@ -176,10 +176,18 @@ def box_iou(truth: DataFrame, pred: DataFrame) -> DataFrame:
     the cell of the corner of its intersection; busy cells are dealt to several tasks.
     Columns t_* and p_* hold the two boxes.
     """
-    truth, pred = _leveled(truth), _leveled(pred)
-    t_levels, p_levels = _levels_of(truth), _levels_of(pred)
+    # read several times: for the levels, for crowded images and for the join
+    truth, pred = materialize(_leveled(truth)), materialize(_leveled(pred))
+    t_levels, p_levels = _levels_of(truth) or [0], _levels_of(pred) or [0]
+    crowded = truth.groupBy("image_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= BUSY_CELL)
+    crowded = checked_broadcast(crowded.select("image_id"))  # only their cells can be busy
+    busy = _on_grid(truth.join(crowded, "image_id", "left_semi"), p_levels, "t")
     pairs = skew_join(
-        _on_grid(truth, p_levels or [0], "t"), _on_grid(pred, t_levels or [0], "p"), _GRID_KEY, hot_rows=BUSY_CELL
+        _on_grid(truth, p_levels, "t"),
+        _on_grid(pred, t_levels, "p"),
+        _GRID_KEY,
+        hot_rows=BUSY_CELL,
+        counts=busy.groupBy(*_GRID_KEY).agg(F.count(F.lit(1)).alias("_n")),
     )
     left, top = F.greatest("t_x1", "p_x1"), F.greatest("t_y1", "p_y1")
     right, bottom = F.least("t_x2", "p_x2"), F.least("t_y2", "p_y2")
