@@ -16,8 +16,15 @@ from rowsift.functions.runtime import collect_small, materialize
 from rowsift.functions.text import BEGIN, END, shape_features
 
 
-#: Most columns whose d x d products are summed and decomposed on the driver.
-MAX_WIDTH = 4096
+#: Most columns whose d x d products are summed and decomposed exactly.
+EXACT_WIDTH = 512
+#: Directions beyond the wanted ones in the randomized range finder, its passes at most, and
+#: the relative gain of captured energy at which they end.
+OVERSAMPLE = 10
+PASSES = 8
+SETTLED = 1e-5
+#: Most bytes of a basis that is sent to every task.
+BASIS_BYTES = 1 << 30
 
 
 def column_roles(df: DataFrame, exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
@@ -214,17 +221,66 @@ def standardize_array(df: DataFrame, features: str, width: int) -> DataFrame:
 def reduce_dimensions(df: DataFrame, features: str, width: int, limit: int = 50) -> DataFrame:
     """Project onto the leading right singular vectors (not centred) when width > limit.
 
-    The d x d Gram matrix is summed on Spark and decomposed once; d is the
-    number of feature columns, so it does not grow with the rows.
+    ``features`` is ARRAY<DOUBLE>, or STRUCT<indices ARRAY<INT>, values ARRAY<DOUBLE>> for
+    sparse rows, which come out as arrays. Up to ``EXACT_WIDTH`` columns the d x d Gram matrix
+    is summed on Spark and decomposed once; beyond it :func:`range_basis` finds the
+    vectors from d x (limit + OVERSAMPLE) sums. Neither grows with the rows.
     """
     if width == 0:
         raise ValueError("no_features")
-    if width > MAX_WIDTH:
-        raise ValueError(f"{width} columns are too many to decompose; the limit is {MAX_WIDTH}")
-    if width <= limit:
+    sparse = isinstance(df.schema[features].dataType, T.StructType)
+    if width <= limit and not sparse:
         return df
-    keep = min(limit, max(2, width - 1))
+    keep = width if width <= limit else min(limit, max(2, width - 1))
+    basis = _gram_basis(df, features, width, keep) if width <= EXACT_WIDTH and not sparse else range_basis(df, features, width, keep)
+    top = np.abs(basis).argmax(axis=0)
+    shared = df.sparkSession.sparkContext.broadcast(basis * np.where(basis[top, range(basis.shape[1])] < 0, -1.0, 1.0))
+
+    def project(batches):
+        for batch in batches:
+            yield pd.DataFrame({"_key": batch["_key"], "_out": list(_Rows(batch["x"]).times(shared.value))})
+
+    if sparse:  # the projected rows meet the others by a row number that is written down first
+        held = materialize(df.withColumn("_key", F.monotonically_increasing_id()))
+        done = held.select("_key", F.col(features).alias("x")).mapInPandas(project, "_key bigint, _out array<double>")
+        return held.drop(features).join(done, "_key").select(*[F.col("_out").alias(c) if c == features else F.col(c) for c in df.columns])
+
+    @F.pandas_udf("array<double>")
+    def project_column(x: pd.Series) -> pd.Series:
+        return pd.Series(list(_Rows(x).times(shared.value)))
+
+    return df.withColumn(features, project_column(F.col(features)))
+
+
+class _Rows:
+    """A batch of dense or sparse rows as a matrix that is multiplied from either side."""
+
+    def __init__(self, x: pd.Series):
+        self.n = len(x)
+        self.dense = None
+        if not self.n or not hasattr(x.iloc[0], "keys"):
+            self.dense = np.stack(x.to_numpy()) if self.n else np.zeros((0, 0))
+            return
+        self.sizes = np.array([len(r["indices"]) for r in x])
+        self.at = np.concatenate([np.asarray(r["indices"], np.int64) for r in x])
+        self.values = np.concatenate([np.asarray(r["values"], np.float64) for r in x])
+        self.row = np.repeat(np.arange(self.n), self.sizes)
 
+    def times(self, m: np.ndarray) -> np.ndarray:
+        if self.dense is not None:
+            return self.dense @ m if self.n else np.zeros((0, m.shape[1]))
+        out = np.zeros((self.n, m.shape[1]))
+        np.add.at(out, self.row, self.values[:, None] * m[self.at])
+        return out
+
+    def transposed_times(self, y: np.ndarray, into: np.ndarray) -> None:
+        if self.dense is None:
+            np.add.at(into, self.at, self.values[:, None] * y[self.row])
+        elif self.n:
+            into += self.dense.T @ y
+
+
+def _gram_basis(df: DataFrame, features: str, width: int, keep: int) -> np.ndarray:
     def partial_gram(batches):
         total = np.zeros((width, width))
         for batch in batches:
@@ -234,20 +290,59 @@ def reduce_dimensions(df: DataFrame, features: str, width: int, limit: int = 50)
         yield pd.DataFrame({"row": range(width), "sums": list(total)})
 
     parts = df.select(F.col(features).alias("x")).mapInPandas(partial_gram, "row int, sums array<double>")
-    cells = parts.select("row", F.posexplode("sums").alias("col", "v")).groupBy("row", "col").agg(F.sum("v").alias("v"))
-    rows = cells.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("col", "v"))).alias("x"))
-    gram = np.zeros((width, width))
-    for r in rows.select("row", F.col("x.v").alias("v")).collect():
-        gram[r["row"]] = r["v"]
-    basis = np.linalg.eigh(gram)[1][:, ::-1][:, :keep]
-    top = np.abs(basis).argmax(axis=0)
-    basis = basis * np.where(basis[top, range(keep)] < 0, -1.0, 1.0)
+    gram = _summed(parts, width, width)
+    return np.linalg.eigh(gram)[1][:, ::-1][:, :keep]
 
-    @F.pandas_udf("array<double>")
-    def project(x: pd.Series) -> pd.Series:
-        return pd.Series(list(np.stack(x.to_numpy()) @ basis))
 
-    return df.withColumn(features, project(F.col(features)))
+def _summed(parts: DataFrame, rows: int, width: int) -> np.ndarray:
+    """Sum of (row, sums) over all parts as a rows x width matrix; absent rows are zero."""
+    total = parts.groupBy("row").agg(*[F.sum(F.col("sums")[c]).alias(f"s{c}") for c in range(width)])
+    out = np.zeros((rows, width))
+    for r in total.toLocalIterator():
+        out[r[0]] = r[1:]
+    return out
+
+
+def range_basis(df: DataFrame, features: str, width: int, keep: int, seed: int = 42, passes: int = PASSES) -> np.ndarray:
+    """Leading right singular vectors by a randomized range finder (Halko, Martinsson, Tropp 2011).
+
+    A random d x r matrix, r = keep + OVERSAMPLE, is multiplied by X'X once per pass and made
+    orthonormal. Tasks sum X'(XQ) over their rows and emit one row of r sums for each column
+    that they saw, so sparse tables send little. Passes end when the energy that Q captures
+    grows by less than ``SETTLED`` of itself, after ``passes`` at most; the r x r matrix of
+    the last pass is decomposed on the driver. Q, which every task gets, has d x r numbers; it
+    grows with the columns alone and is checked.
+    """
+    r = min(width, keep + OVERSAMPLE)
+    if 8 * width * r > BASIS_BYTES:
+        raise ValueError(f"{width} columns need more than {BASIS_BYTES} bytes for a basis of {r}")
+    spark = df.sparkSession
+    held = df.select(F.col(features).alias("x"))
+    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, r)))[0]
+    energy = 0.0
+    for _ in range(passes):
+        shared = spark.sparkContext.broadcast(q)
+
+        def partial(batches, shared=shared):
+            basis, total, seen = shared.value, np.zeros((width, r)), np.zeros(width, bool)
+            for batch in batches:
+                rows = _Rows(batch["x"])
+                rows.transposed_times(rows.times(basis), total)
+            seen |= total.any(axis=1)
+            at = np.flatnonzero(seen)
+            for s in range(0, len(at), 4096):
+                some = at[s : s + 4096]
+                yield pd.DataFrame({"row": some.astype("int32"), "sums": list(total[some])})
+
+        z = _summed(held.mapInPandas(partial, "row int, sums array<double>"), width, r)
+        small = q.T @ z  # (XQ)'(XQ)
+        values, vectors = np.linalg.eigh((small + small.T) / 2)
+        basis, was, energy = q @ vectors[:, ::-1][:, :keep], energy, float(np.sort(values)[::-1][:keep].sum())
+        shared.unpersist()
+        if energy - was <= SETTLED * energy:
+            break
+        q = np.linalg.qr(z)[0]
+    return basis
 
 
 def token_features(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rowsift.catalog import all_queries
 from rowsift.functions import skew
-from rowsift.operators import annotators, knn, labels, sampling, vision
+from rowsift.operators import annotators, features, knn, labels, sampling, vision
 from tests.conftest import SF
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -172,3 +172,36 @@ def test_runs_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 5000" in done.stdout, done.stderr[-2000:]
+
+
+def _angles(a, b):
+    """Cosines of the principal angles between two column spaces."""
+    return np.linalg.svd(np.linalg.qr(a)[0].T @ np.linalg.qr(b)[0])[1]
+
+
+def test_random_basis_spans_the_exact_subspace(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 64)) * 0.9 ** np.arange(64) @ np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "row_id bigint, features array<double>")
+    exact = np.linalg.svd(x, full_matrices=False)[2][:8].T
+    assert features.range_basis(df, "features", 64, 8, passes=30).shape == (64, 8)
+    assert _angles(exact, features.range_basis(df, "features", 64, 8, passes=30)).min() > 0.999
+    assert _angles(exact, features._gram_basis(df, "features", 64, 8)).min() > 1 - 1e-9
+
+
+def test_twenty_thousand_sparse_columns_are_reduced(spark):
+    """Ten directions of 2,000 columns each, with a little noise: the projection keeps all but the noise."""
+    n, width = 600, 20_000
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(n):
+        at = np.sort(rng.choice(2000, 400, replace=False)) * 10 + i % 10
+        rows.append((i, ([int(v) for v in at], [float(v) for v in 1 + 0.01 * rng.normal(size=400)])))
+    df = spark.createDataFrame(rows, "row_id bigint, features struct<indices:array<int>,values:array<double>>")
+    out = features.reduce_dimensions(df, "features", width, 10)
+    assert out.columns == ["row_id", "features"]
+    got = {r.row_id: np.array(r.features) for r in out.collect()}
+    assert len(got) == n and all(len(v) == 10 for v in got.values())
+    unit = {i: v / np.linalg.norm(v) for i, v in got.items()}
+    assert all(abs(unit[i] @ unit[i % 10]) > 0.9 for i in got)
+    assert all(abs(unit[i] @ unit[(i + 1) % 10]) < 0.1 for i in range(10))
