@@ -96,6 +96,11 @@ def weighted_vote(spark, sf_dir):
 
 
 def consensus_quality(spark, sf_dir):
+    coded = _coded(spark, sf_dir)
+    return annotators.consensus_quality(annotators.consensus(coded), _model(coded)).select("example_id", "label", F.round("quality", 6).alias("quality"))
+
+
+def consensus_worst(spark, sf_dir):
     coded = _coded(spark, sf_dir)
     out = annotators.consensus_quality(annotators.consensus(coded), _model(coded))
     return annotators.worst_examples(out, "quality", 20).withColumn("quality", F.round("quality", 6))
@@ -128,6 +133,7 @@ QUERIES = {
     "annotator_quality": annotator_quality,
     "weighted_vote": weighted_vote,
     "consensus_quality": consensus_quality,
+    "consensus_worst": consensus_worst,
     "active_learning": active_learning,
     "missing_classes": missing_classes,
     "dense_annotations": dense_annotations,
@@ -148,6 +154,10 @@ ORACLE = {
         "SELECT example_id, label, w AS weight FROM w QUALIFY row_number() OVER (PARTITION BY example_id ORDER BY w DESC, label) = 1"
     ),
     "consensus_quality": (
+        f"WITH {_SQL}, cq AS (SELECT example_id, label, round((votes / n_labels::DOUBLE + probs[label + 1]) / 2, 9) AS quality FROM cons JOIN mo USING (example_id)) "
+        "SELECT example_id, label, round(quality, 6) AS quality FROM cq"
+    ),
+    "consensus_worst": (
         f"WITH {_SQL}, cq AS (SELECT example_id, label, round((votes / n_labels::DOUBLE + probs[label + 1]) / 2, 9) AS quality FROM cons JOIN mo USING (example_id)) "
         "SELECT example_id, label, round(quality, 6) AS quality FROM (SELECT * FROM cq ORDER BY quality, example_id LIMIT 20)"
     ),

@@ -1,11 +1,11 @@
-"""Queries that fit models; iterative, so without SQL counterpart, and checked in tests."""
+"""Queries that fit models; most are iterative, so without SQL counterpart, and checked in tests."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from rowsift.catalog import annotation, geometry, rows, tagging
-from rowsift.catalog.tables import labelled_points, noisy_points, points, read
+from rowsift.catalog.tables import labelled_points, noisy_points, points, read, sql_key, sql_uniform
 from rowsift.functions.hashing import hash_uniform
 from rowsift.functions.runtime import materialize
 from rowsift.operators import features, labels, models
@@ -79,11 +79,57 @@ def oof_bits(spark, sf_dir):
 
 def bootstrap_quality(spark, sf_dir):
     """Numeric label quality with out-of-fold predictions and bootstrap spread."""
-    df = materialize(_part_vectors(spark, sf_dir))
-    spec = models.model_spec("regression", "ridge")
-    oof = models.out_of_fold_predictions(df, spec).select("row_id", F.col("label").alias("y"), "predicted")
-    spread = models.bootstrap_spread(df, spec).select("row_id", "spread")
-    return labels.regression_quality(oof.join(spread, "row_id"))
+    out = models.out_of_fold_with_spread(_part_vectors(spark, sf_dir), models.model_spec("regression", "ridge"))
+    return labels.regression_quality(out.withColumnRenamed("label", "y"))
+
+
+def _two_features(spark, sf_dir):
+    """part with its size and the length of its name, scaled to about one, and its price in thousands."""
+    return read(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("row_id"),
+        F.array(F.col("p_size") / 50.0, F.length("p_name") / 30.0).alias("features"),
+        (F.col("p_retailprice") / 1000.0).alias("label"),
+    )
+
+
+def ridge_folds(spark, sf_dir):
+    out = models.out_of_fold_predictions(_two_features(spark, sf_dir), models.model_spec("regression", "ridge"))
+    return out.select("row_id", F.round("predicted", 6).alias("predicted"))
+
+
+def ridge_bootstrap(spark, sf_dir):
+    out = models.out_of_fold_with_spread(_two_features(spark, sf_dir), models.model_spec("regression", "ridge"), rounds=3)
+    return out.select("row_id", F.round("predicted", 6).alias("predicted"), F.round("spread", 6).alias("spread"))
+
+
+#: Moments of the two features and the target, and the closed form of the penalised fit on them.
+_MOMENTS = ("n", "sa", "sb", "sy", "saa", "sab", "sbb", "say", "sby")
+_RIDGE_SUMS = "sum({w}) AS n, sum({w} * a) AS sa, sum({w} * b) AS sb, sum({w} * y) AS sy, sum({w} * a * a) AS saa, sum({w} * a * b) AS sab, sum({w} * b * b) AS sbb, sum({w} * a * y) AS say, sum({w} * b * y) AS sby"
+_RIDGE_FIT = (
+    "SELECT *, my - (caa_inv * cay + cab_inv * cby) * ma - (cab_inv * cay + cbb_inv * cby) * mb AS c0, "
+    "caa_inv * cay + cab_inv * cby AS ca, cab_inv * cay + cbb_inv * cby AS cb FROM (SELECT *, caa2 / det AS cbb_inv, cbb2 / det AS caa_inv, -cab / det AS cab_inv "
+    "FROM (SELECT *, caa2 * cbb2 - cab * cab AS det FROM (SELECT *, sa / n AS ma, sb / n AS mb, sy / n AS my, saa - sa * sa / n + 1 AS caa2, sbb - sb * sb / n + 1 AS cbb2, "
+    "sab - sa * sb / n AS cab, say - sa * sy / n AS cay, sby - sb * sy / n AS cby FROM {sums})))"
+)
+_SQL_TWO = (
+    "two AS (SELECT p_partkey AS row_id, p_size / 50.0::DOUBLE AS a, length(p_name) / 30.0::DOUBLE AS b, p_retailprice / 1000.0::DOUBLE AS y FROM part), "
+    f"fd AS (SELECT *, ntile(5) OVER (ORDER BY {sql_key(42, 'fold', 'row_id')}) - 1 AS fold FROM two), "
+    f"per AS (SELECT fold, {_RIDGE_SUMS.format(w='1')} FROM fd GROUP BY fold), "
+    f"left_out AS (SELECT p.fold, {', '.join(f'any_value(t.{m}) - any_value(p.{m}) AS {m}' for m in _MOMENTS)} FROM per p, "
+    f"(SELECT {', '.join(f'sum({m}) AS {m}' for m in _MOMENTS)} FROM per) t GROUP BY p.fold), "
+    f"fits AS ({_RIDGE_FIT.format(sums='left_out')}), "
+    "oof AS (SELECT row_id, a, b, c0 + ca * a + cb * b AS predicted FROM fd JOIN fits USING (fold))"
+)
+
+
+def _sql_poisson1(seed: int) -> str:
+    """Poisson(1) by inverting its distribution on a hashed uniform."""
+    u, steps, term, total = sql_uniform(seed, "bootstrap", "row_id"), [], 0.36787944117144233, 0.0
+    for k in range(12):
+        total += term
+        steps.append(f"CAST({u} >= {total!r}::DOUBLE AS INTEGER)")
+        term /= k + 1
+    return "(" + " + ".join(steps) + ")"
 
 
 def variants(spark, sf_dir):
@@ -210,6 +256,8 @@ QUERIES = {
     "oof_regression": oof_regression,
     "oof_bits": oof_bits,
     "bootstrap_quality": bootstrap_quality,
+    "ridge_folds": ridge_folds,
+    "ridge_bootstrap": ridge_bootstrap,
     "variants": variants,
     "clean_learning": clean_learning,
     "model_sweep": model_sweep,
@@ -224,6 +272,14 @@ QUERIES = {
     "anomaly_run": anomaly_run,
 }
 ORACLE: dict[str, str] = {
+    "ridge_folds": f"WITH {_SQL_TWO} SELECT row_id, round(predicted, 6) AS predicted FROM oof",
+    "ridge_bootstrap": (
+        f"WITH {_SQL_TWO}, "
+        + ", ".join(f"w{i} AS (SELECT *, {_sql_poisson1(42 + i)} AS w FROM two), s{i} AS (SELECT {_RIDGE_SUMS.format(w='w')} FROM w{i}), f{i} AS ({_RIDGE_FIT.format(sums=f's{i}')})" for i in range(3))
+        + ", each AS (SELECT row_id, predicted, unnest(["
+        + ", ".join(f"(SELECT c0 FROM f{i}) + (SELECT ca FROM f{i}) * a + (SELECT cb FROM f{i}) * b" for i in range(3))
+        + "]) AS v FROM oof) SELECT row_id, round(any_value(predicted), 6) AS predicted, round(stddev_pop(v), 6) AS spread FROM each GROUP BY row_id"
+    ),
     "preprocess": (
         "WITH m AS (SELECT avg(p_size) AS a, stddev_pop(p_size) AS s FROM part), "
         "b AS (SELECT p_brand AS v, row_number() OVER (ORDER BY p_brand) AS k FROM (SELECT DISTINCT p_brand FROM part)), "

@@ -257,6 +257,11 @@ def regression_quality(spark, sf_dir):
 
 
 def regression_issues(spark, sf_dir):
+    q = labels.regression_quality(_fold_means(spark, sf_dir))
+    return features.rounded(labels.regression_issues(q), ["predicted_label", "label_score"], 5)
+
+
+def regression_issues_top(spark, sf_dir):
     q = labels.regression_quality(_fold_means(spark, sf_dir))
     return features.rounded(labels.regression_issues(q, 200), ["predicted_label", "label_score"], 5)
 
@@ -288,6 +293,7 @@ QUERIES = {
     "multilabel_metrics": multilabel_scores,
     "regression_quality": regression_quality,
     "regression_issues": regression_issues,
+    "regression_issues_top": regression_issues_top,
     "reg_metrics": reg_metrics,
 }
 
@@ -397,6 +403,10 @@ ORACLE = {
         "round(label_score, 5) AS label_score, is_label_issue FROM fl"
     ),
     "regression_issues": (
+        f"WITH {_SQL_FOLD_MEANS} SELECT row_id, label, round(predicted_label, 5) AS predicted_label, "
+        "round(label_score, 5) AS label_score, is_label_issue FROM fl WHERE is_label_issue"
+    ),
+    "regression_issues_top": (
         f"WITH {_SQL_FOLD_MEANS}, w AS (SELECT * FROM fl ORDER BY label_score, row_id LIMIT 200) "
         "SELECT row_id, label, round(predicted_label, 5) AS predicted_label, round(label_score, 5) AS label_score, "
         "is_label_issue FROM w WHERE is_label_issue"

@@ -10,6 +10,8 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,8 @@ from rowsift.operators.sampling import kfold, kfold_group
 
 #: Fits that may be in flight at once; each is itself a distributed job.
 PARALLEL_FITS = 4
+#: Most columns of a ridge that is fitted from Gram matrices of all folds and resamples at once.
+RIDGE_WIDTH = 1024
 
 
 @dataclass(frozen=True)
@@ -253,9 +257,111 @@ def out_of_fold_predictions(
 ) -> DataFrame:
     """Adds ``predicted`` from regressors that never saw the row."""
     folded = df if "fold" in df.columns else kfold(df, k, seed=seed)
+    width = None if featurize else _ridge_width(df, spec)
+    if width:
+        return _ridge_scored(folded, width, spec, k, 0, seed)
     return _over_folds(folded, k, lambda train, test: fit_regressor(spec, train)(test), featurize)
 
 
+@dataclass
+class RidgeSums:
+    """Gram matrices of (1, features, label) by fold and by bootstrap resample, summed in one pass.
+
+    ``folds[f]`` sums the rows of fold f, so the fit without it follows by subtraction;
+    ``resamples[b]`` sums rows by their Poisson(1) weight.
+    """
+
+    folds: np.ndarray
+    resamples: np.ndarray
+
+    @staticmethod
+    def solve(gram: np.ndarray, alpha: float) -> np.ndarray:
+        """Intercept and coefficients of the fit with penalty ``alpha`` on the coefficients alone."""
+        n, mean = gram[0, 0], gram[0, 1:] / max(gram[0, 0], 1.0)
+        inner = gram[1:, 1:] - n * np.outer(mean, mean)
+        d = len(inner) - 1
+        w = np.linalg.lstsq(inner[:d, :d] + alpha * np.eye(d), inner[:d, d], rcond=None)[0]
+        return np.append(mean[d] - mean[:d] @ w, w)
+
+    def without_fold(self, f: int, alpha: float) -> np.ndarray:
+        return self.solve(self.folds.sum(axis=0) - self.folds[f], alpha)
+
+
+def ridge_sums(df: DataFrame, width: int, k: int = 0, rounds: int = 0, seed: int = 42) -> RidgeSums:
+    """One pass over (row_id, features, label[, fold]): each task sums its rows, the sums of all tasks are added.
+
+    The matrices grow with the columns, not with the rows; they are summed row by row of a matrix.
+    """
+    side, sets = width + 2, k + rounds
+    weights = [hash_poisson1(seed + b, "bootstrap", F.col("row_id").cast("string")) for b in range(rounds)]
+    fold = F.col("fold").cast("int") if k else F.lit(0)
+    rows = df.select(F.col("features").alias("x"), F.col("label").cast("double").alias("y"), fold.alias("fold"), F.array(*weights).cast("array<double>").alias("w"))
+
+    def partial(batches):
+        total = np.zeros((sets, side, side))
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch["x"].to_numpy())
+                z = np.column_stack([np.ones(len(x)), x, batch["y"].to_numpy()])
+                at = batch["fold"].to_numpy()
+                for f in range(k):
+                    total[f] += z[at == f].T @ z[at == f]
+                for b, w in enumerate(np.stack(batch["w"].to_numpy()).T if rounds else ()):
+                    total[k + b] += (z * w[:, None]).T @ z
+        for s in range(sets):
+            yield pd.DataFrame({"set": s, "row": range(side), "sums": list(total[s])})
+
+    def added(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"set": parts["set"].iloc[:1], "row": parts["row"].iloc[:1], "sums": [np.stack(parts["sums"].to_numpy()).sum(axis=0)]})
+
+    schema = "set int, row int, sums array<double>"
+    grams = np.zeros((sets, side, side))
+    for r in rows.mapInPandas(partial, schema).groupBy("set", "row").applyInPandas(added, schema).toLocalIterator():
+        grams[r["set"], r["row"]] = r["sums"]
+    return RidgeSums(grams[:k], grams[k:])
+
+
+def _ridge_scored(df: DataFrame, width: int, spec: ModelSpec, k: int, rounds: int, seed: int) -> DataFrame:
+    """Adds ``predicted`` when there are folds and ``spread`` when there are resamples."""
+    held = materialize(df)
+    sums = ridge_sums(held, width, k, rounds, seed)
+    alpha = float(spec.merged()["alpha"])
+    by_fold = np.array([sums.without_fold(f, alpha) for f in range(k)]).reshape(k, width + 1)
+    by_resample = np.array([sums.solve(g, alpha) for g in sums.resamples]).reshape(rounds, width + 1)
+
+    @F.pandas_udf("predicted double, spread double")
+    def score(x: pd.Series, fold: pd.Series) -> pd.DataFrame:
+        z = np.column_stack([np.ones(len(x)), np.stack(x.to_numpy())])
+        predicted = (z * by_fold[fold.to_numpy()]).sum(axis=1) if k else np.zeros(len(x))
+        spread = (z @ by_resample.T).std(axis=1) if rounds else np.zeros(len(x))
+        return pd.DataFrame({"predicted": predicted, "spread": spread})
+
+    out = held.withColumn("_s", score("features", F.col("fold").cast("int") if k else F.lit(0)))
+    kept = [c for c in df.columns if not (k and c == "fold")]
+    return out.select(*kept, *(["_s.predicted"] if k else []), *(["_s.spread"] if rounds else []))
+
+
+def _ridge_width(df: DataFrame, spec: ModelSpec) -> int | None:
+    """Number of features if the model is a ridge narrow enough to be fitted by its sums."""
+    if spec.name != "ridge":
+        return None
+    first = df.select(F.size("features").alias("d")).first()
+    return first["d"] if first is not None and 0 < first["d"] <= RIDGE_WIDTH else None
+
+
+def out_of_fold_with_spread(df: DataFrame, spec: ModelSpec, k: int = 5, seed: int = 42, rounds: int = 5) -> DataFrame:
+    """Adds ``predicted`` from regressors that never saw the row and ``spread`` of bootstrap fits.
+
+    A ridge is fitted for all folds and resamples in one pass over the rows.
+    """
+    folded = df if "fold" in df.columns else kfold(df, k, seed=seed)
+    width = _ridge_width(df, spec)
+    if width:
+        return _ridge_scored(folded, width, spec, k, rounds, seed)
+    oof = out_of_fold_predictions(folded, spec, k, seed)
+    return oof.join(bootstrap_spread(df, spec, rounds, seed).select("row_id", "spread"), "row_id")
+
+
 def fit_binary_relevance(train: DataFrame, n_bits: int, max_iter: int = 500, bits: str = "y") -> Scorer:
     """One logistic model per bit; adds ``p`` (probabilities) and ``yhat`` (0/1).
 
@@ -349,6 +455,9 @@ def bootstrap_spread(df: DataFrame, spec: ModelSpec, rounds: int = 5, seed: int
 
     A resample is a Poisson(1) weight per row, so no rows are copied.
     """
+    width = _ridge_width(df, spec)
+    if width:
+        return _ridge_scored(df, width, spec, 0, rounds, seed)
     fits = [
         fit_regressor(spec, df, hash_poisson1(seed + b, "bootstrap", F.col("row_id").cast("string")))
         for b in range(rounds)

@@ -183,9 +183,8 @@ def run_regression(df: DataFrame, config: RegressionConfig = RegressionConfig())
     rows = noisy.select("row_id", "features", "label")
     spec = models.model_spec("regression", config.model, config.seed, **config.model_params)
     base = models.fit_and_score("baseline", spec, rows, test)
-    oof = models.out_of_fold_predictions(rows, spec, config.cv_folds, config.seed)
-    spread = models.bootstrap_spread(rows, spec, seed=config.seed)
-    both = oof.select("row_id", F.col("label").alias("y"), "predicted").join(spread.select("row_id", "spread"), "row_id")
+    oof = models.out_of_fold_with_spread(rows, spec, config.cv_folds, config.seed)
+    both = oof.select("row_id", F.col("label").alias("y"), "predicted", "spread")
     quality = materialize(labels.regression_quality(materialize(both)))
     n_train = row_count(rows)
     bad = materialize(labels.worst_rows(quality, "label_score", labels.prune_size(n_train, config.prune_frac)))

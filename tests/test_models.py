@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rowsift.functions.hashing import hash_poisson1
 from rowsift.operators import models
+from rowsift.operators.sampling import kfold
 from rowsift.plans import general, tasks
 from rowsift.plans import configs as C
 from rowsift.plans.results import RunOutput
@@ -76,6 +78,32 @@ def test_out_of_fold_predictions(linear, name, params):
     assert np.corrcoef([r["label"] for r in out], [r["predicted"] for r in out])[0, 1] > 0.7
 
 
+def test_ridge_sums_equal_separate_fits(linear):
+    """Folds by subtraction and Poisson resamples from one pass, against a fit of each by the closed form."""
+    x, y, df = linear
+    spec = models.model_spec("regression", "ridge")
+    folded = kfold(df, 3)
+    got = {r["row_id"]: r for r in models.out_of_fold_with_spread(folded, spec, 3, rounds=2).collect()}
+    weights = [hash_poisson1(42 + b, "bootstrap", F.col("row_id").cast("string")).alias(f"w{b}") for b in range(2)]
+    rows = folded.select("row_id", "fold", "features", "label", *weights).collect()
+    z, t = np.array([r["features"] for r in rows]), np.array([r["label"] for r in rows])
+
+    def fitted(w):
+        mx, my = (z * w[:, None]).sum(0) / w.sum(), (t * w).sum() / w.sum()
+        zc = (z - mx) * np.sqrt(w)[:, None]
+        c = np.linalg.solve(zc.T @ zc + np.eye(z.shape[1]), zc.T @ ((t - my) * np.sqrt(w)))
+        return my + (z - mx) @ c
+
+    folds = np.array([r["fold"] for r in rows])
+    oof = {f: fitted((folds != f).astype(float)) for f in range(3)}
+    spread = np.std([fitted(np.array([r[f"w{b}"] for r in rows])) for b in range(2)], axis=0)
+    for i, r in enumerate(rows):
+        assert got[r["row_id"]]["predicted"] == pytest.approx(oof[r["fold"]][i], abs=1e-9)
+        assert got[r["row_id"]]["spread"] == pytest.approx(spread[i], abs=1e-9)
+    one = models.out_of_fold_predictions(df, models.model_spec("regression", "ridge"), 3)
+    assert "fold" not in one.columns and one.count() == len(y)
+
+
 def test_missing_class_in_training_is_padded(classes):
     _, _, df = classes
     spec = models.model_spec("classification", "logistic_regression")
