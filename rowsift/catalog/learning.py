@@ -64,6 +64,13 @@ def oof_forest(spark, sf_dir):
     return out.select("row_id", "label", "predicted", F.posexplode("probs").alias("k", "p"))
 
 
+def oof_softmax_boosting(spark, sf_dir):
+    """All classes and folds from the same passes; few, longer steps, as each pass reads the whole table."""
+    p = noisy_points(spark, sf_dir).select("row_id", "label", "features")
+    out = models.out_of_fold_probs(p, _spec("softmax_boosting", rounds=10, step=0.3, max_leaves=15, bins=64), 3, 3)
+    return out.select("row_id", "label", "predicted", F.posexplode("probs").alias("k", "p"))
+
+
 def oof_regression(spark, sf_dir):
     out = models.out_of_fold_predictions(_part_vectors(spark, sf_dir), models.model_spec("regression", "ridge"))
     return out.select("row_id", "label", "predicted")
@@ -253,6 +260,7 @@ QUERIES = {
     "reduce_dimensions": reduce_dimensions,
     "oof_probs": oof_probs,
     "oof_forest": oof_forest,
+    "oof_softmax_boosting": oof_softmax_boosting,
     "oof_regression": oof_regression,
     "oof_bits": oof_bits,
     "bootstrap_quality": bootstrap_quality,

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from rowsift.functions.arrays import argmax
 from rowsift.functions.hashing import hash_poisson1
 from rowsift.functions.runtime import materialize, row_count
+from rowsift.operators.boosting import BoostingParams, fit_softmax_boosting
 from rowsift.operators.knn import knn_edges, knn_regress, knn_vote
 from rowsift.operators.labels import flag_label_issues, prune
 from rowsift.operators.metrics import (
@@ -54,6 +55,7 @@ DEFAULTS: dict[tuple[str, str], dict[str, object]] = {
     ("classification", "logistic_regression"): {"max_iter": 500, "c": 1.0},
     ("classification", "random_forest"): {"trees": 300, "max_depth": 30},
     ("classification", "hist_gradient_boosting"): {"rounds": 100, "step": 0.1, "max_depth": 5},
+    ("classification", "softmax_boosting"): {"rounds": 100, "step": 0.1, "max_leaves": 31, "min_rows": 20, "bins": 255},
     ("classification", "knn"): {"n_neighbors": 15},
     ("regression", "ridge"): {"alpha": 1.0},
     ("regression", "random_forest"): {"trees": 500, "max_depth": 30},
@@ -88,6 +90,8 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, n_classes: int) -> Scorer:
     p = spec.merged()
     if spec.name == "knn":
         return _knn_classifier(train, int(p["n_neighbors"]), n_classes)
+    if spec.name == "softmax_boosting":
+        return fit_softmax_boosting(train, n_classes, BoostingParams(**p)).score
     from pyspark.ml import classification as C
 
     ready = train.select(F.col("label").cast("double").alias("_y"), array_to_vector("features").alias("_x"))
@@ -246,9 +250,14 @@ def out_of_fold_probs(
 ) -> DataFrame:
     """Adds ``probs`` and ``predicted`` from models that never saw the row.
 
-    A ``fold`` column in ``df`` is used as it is; otherwise folds are stratified.
+    A ``fold`` column in ``df`` is used as it is; otherwise folds are stratified. The models
+    of a softmax booster grow in the same passes for all folds.
     """
     folded = df if "fold" in df.columns else kfold(df, k, "label", seed=seed)
+    if spec.name == "softmax_boosting" and featurize is None:
+        held = materialize(folded)
+        booster = fit_softmax_boosting(held, n_classes, BoostingParams(**spec.merged()), folds=k)
+        return booster.score(held, "fold").drop("fold")
     return _over_folds(folded, k, lambda train, test: fit_classifier(spec, train, n_classes)(test), featurize)
 
 
