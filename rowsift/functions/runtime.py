@@ -9,6 +9,7 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Most rows a side may have before it is no longer broadcast or collected.
 SMALL_ROWS = 100_000
@@ -50,18 +51,19 @@ def shared_folder(spark: SparkSession) -> str:
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it from there.
 
     Used where a result feeds several consumers, or where a partition number
     must not change on recomputation. Readers get column pruning and filter pushdown;
     the files of an application lie in one folder that bears its id, so that they can
-    be removed when it has ended.
+    be removed when it has ended. ``schema`` reads the same columns as other types, such as a
+    struct as the vector that is stored like it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/rowsift-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)
 
 
 def collect_small(df: DataFrame, limit: int = SMALL_ROWS) -> list:

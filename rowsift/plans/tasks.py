@@ -31,6 +31,7 @@ from rowsift.operators.sampling import (
     stratified_split,
     usable_folds,
 )
+from rowsift.operators.vocabulary import fit_token_dictionary
 from rowsift.plans.configs import (
     AnomalyConfig,
     MulticlassConfig,
@@ -127,8 +128,12 @@ def run_multilabel(df: DataFrame, n_bits: int, config: MultilabelConfig = Multil
     return RunOutput(summary, scores, {"issues": issues, "pruned": bad})
 
 
-def run_token(train: DataFrame, dev: DataFrame, config: TokenConfig = TokenConfig(), vector_size: int = 1 << 18) -> RunOutput:
-    """train, dev: (sent_id, tok_i, token, tag); the sentence caps are sampling settings."""
+def run_token(train: DataFrame, dev: DataFrame, config: TokenConfig = TokenConfig(), vector_size: int | None = 1 << 18) -> RunOutput:
+    """train, dev: (sent_id, tok_i, token, tag); the sentence caps are sampling settings.
+
+    Features are hashed to ``vector_size`` columns, or, if it is None, get a column each by a
+    dictionary of the training tokens; features that only dev has are then left out.
+    """
     keys = ("sent_id", "tok_i")
 
     def capped(df: DataFrame, limit: int | None) -> DataFrame:
@@ -141,9 +146,12 @@ def run_token(train: DataFrame, dev: DataFrame, config: TokenConfig = TokenConfi
     codes = label_codes(train.select("tag").unionByName(dev.select("tag")), "tag")
     n_classes = codes.count()
 
+    dictionary = None if vector_size else fit_token_dictionary(materialize(token_features(train.select(*keys, "token"))))
+
     def coded(df: DataFrame) -> DataFrame:
-        out = encode(df, "tag", codes, "label").select(*keys, "token", "label")
-        return hashed_token_vector(token_features(out), size=vector_size).select(*keys, "label", "features")
+        out = token_features(encode(df, "tag", codes, "label").select(*keys, "token", "label"))
+        out = dictionary.vectors(out) if dictionary else hashed_token_vector(out, size=vector_size)
+        return out.select(*keys, "label", "features")
 
     noisy = corruption.noise_tokens(coded(train), "label", config.noise_frac, keys, config.seed, list(range(n_classes)))
     noisy = materialize(kfold_group(noisy, "sent_id", config.cv_folds, config.seed))
