@@ -64,6 +64,13 @@ def oof_forest(spark, sf_dir):
     return out.select("row_id", "label", "predicted", F.posexplode("probs").alias("k", "p"))
 
 
+def oof_deep_forest(spark, sf_dir):
+    """Trees without a depth limit, grown until their leaves are pure."""
+    p = noisy_points(spark, sf_dir).select("row_id", "label", "features")
+    out = models.out_of_fold_probs(p, _spec("random_forest", trees=20, max_depth=None), 3, 3)
+    return out.select("row_id", "label", "predicted", F.posexplode("probs").alias("k", "p"))
+
+
 def oof_softmax_boosting(spark, sf_dir):
     """All classes and folds from the same passes; few, longer steps, as each pass reads the whole table."""
     p = noisy_points(spark, sf_dir).select("row_id", "label", "features")
@@ -260,6 +267,7 @@ QUERIES = {
     "reduce_dimensions": reduce_dimensions,
     "oof_probs": oof_probs,
     "oof_forest": oof_forest,
+    "oof_deep_forest": oof_deep_forest,
     "oof_softmax_boosting": oof_softmax_boosting,
     "oof_regression": oof_regression,
     "oof_bits": oof_bits,

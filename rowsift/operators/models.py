@@ -20,6 +20,7 @@ from rowsift.functions.arrays import argmax
 from rowsift.functions.hashing import hash_poisson1
 from rowsift.functions.runtime import materialize, row_count
 from rowsift.operators.boosting import BoostingParams, fit_softmax_boosting
+from rowsift.operators.forest import ForestParams, fit_forest
 from rowsift.operators.knn import knn_edges, knn_regress, knn_vote
 from rowsift.operators.labels import flag_label_issues, prune
 from rowsift.operators.metrics import (
@@ -50,7 +51,7 @@ class ModelSpec:
         return {**DEFAULTS[(self.task, self.name)], **self.params}
 
 
-#: Default parameters per (task, model); fixed values of the model menu.
+#: Default parameters per (task, model); fixed values of the model menu. A forest of ``max_depth`` None has no limit.
 DEFAULTS: dict[tuple[str, str], dict[str, object]] = {
     ("classification", "logistic_regression"): {"max_iter": 500, "c": 1.0},
     ("classification", "random_forest"): {"trees": 300, "max_depth": 30},
@@ -92,6 +93,8 @@ def fit_classifier(spec: ModelSpec, train: DataFrame, n_classes: int) -> Scorer:
         return _knn_classifier(train, int(p["n_neighbors"]), n_classes)
     if spec.name == "softmax_boosting":
         return fit_softmax_boosting(train, n_classes, BoostingParams(**p)).score
+    if spec.name == "random_forest" and p["max_depth"] is None:
+        return fit_forest(train, n_classes, ForestParams(trees=int(p["trees"]), seed=spec.seed)).classify
     from pyspark.ml import classification as C
 
     ready = train.select(F.col("label").cast("double").alias("_y"), array_to_vector("features").alias("_x"))
@@ -166,6 +169,8 @@ def fit_regressor(spec: ModelSpec, train: DataFrame, weight: Column | None = Non
             return df.join(means.withColumnRenamed("i", "row_id"), "row_id").select(*df.columns, "predicted")
 
         return by_neighbours
+    if spec.name == "random_forest" and p["max_depth"] is None:
+        return fit_forest(train, 0, ForestParams(trees=int(p["trees"]), seed=spec.seed), weight).predict
     from pyspark.ml import regression as R
 
     w = F.lit(1.0) if weight is None else weight
