@@ -95,3 +95,33 @@ def test_visits_grow_slower_than_rows(spark):
         depth.append(len(tree.levels))
     assert depth[1] > depth[0] >= 1
     assert per_row[1] < 2 * per_row[0]
+
+
+def test_vectors_without_structure_travel_once_per_stripe(spark, monkeypatch):
+    """Bounds rule nothing out here; each row used to be sent to every block."""
+    x = np.random.default_rng(5).normal(size=(1200, 24))
+    x[1100:] = x[:100]
+    ids = np.arange(len(x)) * 3
+    sent = []
+    meet = knn._meet
+
+    def seen(left, *rest, **named):
+        sent.append(left.count())
+        return meet(left, *rest, **named)
+
+    monkeypatch.setattr(knn, "_meet", seen)
+    monkeypatch.setattr(knn, "_TRIED", 30)
+    monkeypatch.setattr(knn, "_STRIPES", 3)
+    monkeypatch.setattr(knn, "_CHUNK", 64)
+    settings = {"rows_per_cell": 20, "block_rows": 30, "visit_rows": 400}
+    got = {tuple(r) for r in knn_edges(frame(spark, x, ids), 4, **settings).collect()}
+    assert got == brute(x, ids, 4)
+    assert max(sent) <= 2 * len(x)
+    q, qids = x[:50] + 0.25, np.arange(50) + 9000
+    got = {tuple(r) for r in knn_edges(frame(spark, x, ids), 3, frame(spark, q, qids), **settings).collect()}
+    assert got == brute(x, ids, 3, q, qids)
+
+
+def test_stripes_keep_their_number_until_they_are_full():
+    assert [knn._stripes(n, 64, 4096) for n in (5_000, 100_000, 700_000)] == [2, 12, 12]
+    assert knn._stripes(7_000_000, 64, 4096) * knn._STRIPE_BYTES >= 7_000_000 * 64 * 8
