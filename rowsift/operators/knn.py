@@ -162,6 +162,20 @@ def _near_bound(d2: np.ndarray, pivots: np.ndarray, radius: np.ndarray, bound: n
     return may
 
 
+def _nearest_pivot(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The nearest pivot of every row; a tile of rows meets the pivots at a time, so memory does not grow with the batch."""
+    return np.concatenate([_squared(x[s : s + _TILE], pivots).argmin(axis=1) for s in range(0, len(x), _TILE)])
+
+
+def _cells_in_reach(x: np.ndarray, pivots: np.ndarray, radius: np.ndarray, bound: np.ndarray, probes: int | None) -> list[np.ndarray]:
+    """For every row the cells that may hold a neighbour, tile by tile."""
+    out = []
+    for s in range(0, len(x), _TILE):
+        may = _near_bound(_squared(x[s : s + _TILE], pivots), pivots, radius, bound[s : s + _TILE], probes)
+        out.extend(np.nonzero(m)[0].astype("int32") for m in may)
+    return out
+
+
 def _meet(left: DataFrame, right: DataFrame, keys: list[str], per_task: int, search, schema: str, few: bool = False) -> DataFrame:
     """Cogroup by ``keys``; a key with more than ``per_task`` rows of ``left`` is dealt to several tasks.
 
@@ -187,7 +201,7 @@ def _child_of(points: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
     if not len(points) or not len(pivots):
         return pd.DataFrame({"lid": pd.Series(dtype="int64"), "cell": pd.Series(dtype="int64"), "pd": pd.Series(dtype="float64")})
     x, p = _stack(points["vec"]), _stack(pivots["pivot"])
-    child = np.concatenate([_squared(x[s : s + _TILE], p).argmin(axis=1) for s in range(0, len(x), _TILE)])
+    child = _nearest_pivot(x, p)
     exact = np.sqrt(((x - p[child]) ** 2).sum(1))
     codes = pivots["child"].to_numpy()[child]
     return pd.DataFrame({"lid": points["lid"].to_numpy(), "cell": codes, "pd": exact})
@@ -237,7 +251,7 @@ class _Tree:
         @F.pandas_udf("cell bigint, pd double")
         def nearest(vec: pd.Series) -> pd.DataFrame:
             x = _stack(vec)
-            cell = _squared(x, pivots).argmin(axis=1)
+            cell = _nearest_pivot(x, pivots)
             return pd.DataFrame({"cell": cell + _FAN, "pd": np.sqrt(((x - pivots[cell]) ** 2).sum(1))})
 
         return points.withColumn("_p", nearest("vec")).select(*points.columns, "_p.cell", "_p.pd")
@@ -326,8 +340,7 @@ class _Tree:
 
         @F.pandas_udf("array<int>")
         def reach(vec: pd.Series, bound: pd.Series) -> pd.Series:
-            may = _near_bound(_squared(_stack(vec), pivots), pivots, radius, bound.to_numpy(), probes)
-            return pd.Series([np.nonzero(m)[0].astype("int32") for m in may])
+            return pd.Series(_cells_in_reach(_stack(vec), pivots, radius, bound.to_numpy(), probes))
 
         columns = [c.split()[0] for c in _VISIT.split(", ")]
         front = known.select(

@@ -125,3 +125,23 @@ def test_vectors_without_structure_travel_once_per_stripe(spark, monkeypatch):
 def test_stripes_keep_their_number_until_they_are_full():
     assert [knn._stripes(n, 64, 4096) for n in (5_000, 100_000, 700_000)] == [2, 12, 12]
     assert knn._stripes(7_000_000, 64, 4096) * knn._STRIPE_BYTES >= 7_000_000 * 64 * 8
+
+
+def test_distances_to_pivots_are_made_tile_by_tile(monkeypatch):
+    """A batch of 10,000 rows used to meet all pivots at once."""
+    made = []
+    squared = knn._squared
+
+    def seen(a, b):
+        made.append(len(a) * len(b))
+        return squared(a, b)
+
+    rng = np.random.default_rng(2)
+    x, pivots = rng.normal(size=(2000, 2)), rng.normal(size=(40, 2))
+    apart = ((x[:, None, :] - pivots[None]) ** 2).sum(-1)
+    radius, bound = np.full(40, 0.2), np.full(2000, 0.1)
+    whole = knn._near_bound(squared(x, pivots), pivots, radius, bound, None)
+    monkeypatch.setattr(knn, "_squared", seen)
+    assert (knn._nearest_pivot(x, pivots) == apart.argmin(axis=1)).all()
+    assert [list(c) for c in knn._cells_in_reach(x, pivots, radius, bound, None)] == [list(np.nonzero(m)[0]) for m in whole]
+    assert max(made) <= knn._TILE * 40
