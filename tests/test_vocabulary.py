@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from rowsift.functions import skew
+from rowsift.operators import vocabulary
 from rowsift.operators.features import TOKEN_FEATURES, token_features
 from rowsift.operators.models import fit_token_tagger
 from rowsift.operators.vocabulary import fit_token_dictionary
@@ -55,3 +56,23 @@ def test_tagger_reads_the_vectors(tokens):
     ready = fit_token_dictionary(tokens).vectors(tokens)
     out = fit_token_tagger(ready, 3, 20)(ready).collect()
     assert all(abs(sum(r["probs"]) - 1) < 1e-6 for r in out)
+
+
+@pytest.mark.parametrize("held, joins", [(100_000, 1), (2, 4)])
+def test_frequent_words_are_not_shuffled(tokens, monkeypatch, held, joins):
+    """All rows used to go through a shuffle for each of their three words."""
+    d = fit_token_dictionary(tokens)
+    ids = {r["name"]: r["id"] for r in d.table.collect()}
+    sent = []
+
+    def seen(big, *rest, **named):
+        sent.append(big.count())
+        return skew.skew_join(big, *rest, **named)
+
+    monkeypatch.setattr(vocabulary, "skew_join", seen)
+    monkeypatch.setattr(vocabulary, "_HELD_WORDS", held)
+    got = d.ids(tokens).collect()
+    assert len(got) == tokens.count() and len(sent) == joins
+    for r in got:
+        assert r["ids"] == sorted(ids[n] for n in names(r))
+    assert max(sent[1:], default=0) <= len(got)
