@@ -244,3 +244,17 @@ def test_general_run_regression_and_sweep(spark):
     swept, errors = general.run_sweep(df, "cnt", ["ridge", "logistic_regression"], fast)
     assert {r["model"] for r in swept.collect()} == {"ridge"} and "logistic_regression" in errors
     assert swept.filter(F.col("metric") == "r2").count() == 1
+
+
+def test_forests_keep_node_ids_between_passes(spark, monkeypatch):
+    """Every pass used to send all trees so far and walk them from the root."""
+    from pyspark.ml import classification, regression
+
+    asked = []
+    for kind in (classification.RandomForestClassifier, regression.RandomForestRegressor):
+        monkeypatch.setattr(kind, "fit", lambda self, df, fit=kind.fit: asked.append(self) or fit(self, df))
+    rows = [(i, [float(i % 7), float(i % 5)], i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id bigint, features array<double>, label int")
+    models.fit(models.model_spec("classification", "random_forest", trees=2, max_depth=2), df, 2)
+    models.fit(models.model_spec("regression", "random_forest", trees=2, max_depth=2), df.withColumn("label", df["label"].cast("double")))
+    assert len(asked) == 2 and all(a.getCacheNodeIds() for a in asked)
