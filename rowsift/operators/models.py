@@ -556,12 +556,18 @@ def sweep(
 ) -> tuple[DataFrame, dict[str, str]]:
     """(variant = model, metric, value) of every model, and the errors of those that failed."""
     held_train, held_test = materialize(train), materialize(test)
-    parts, errors = [], {}
-    for spec in specs:
+
+    def one(spec: ModelSpec) -> DataFrame | str:
         try:
-            parts.append(materialize(fit_and_score(spec.name, spec, held_train, held_test, n_classes, featurize)))
+            return materialize(fit_and_score(spec.name, spec, held_train, held_test, n_classes, featurize))
         except Exception as e:  # noqa: BLE001 - the other models go on
-            errors[spec.name] = f"{type(e).__name__}: {e}".splitlines()[0]
+            return f"{type(e).__name__}: {e}".splitlines()[0]
+
+    # fits are many short jobs one after the other, so models wait for each other's driver steps, not for cores
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        done = list(pool.map(one, specs))
+    parts = [d for d in done if not isinstance(d, str)]
+    errors = {s.name: d for s, d in zip(specs, done, strict=True) if isinstance(d, str)}
     if not parts:
         raise RuntimeError(f"every model failed: {errors}")
     out = parts[0]

@@ -258,3 +258,22 @@ def test_forests_keep_node_ids_between_passes(spark, monkeypatch):
     models.fit(models.model_spec("classification", "random_forest", trees=2, max_depth=2), df, 2)
     models.fit(models.model_spec("regression", "random_forest", trees=2, max_depth=2), df.withColumn("label", df["label"].cast("double")))
     assert len(asked) == 2 and all(a.getCacheNodeIds() for a in asked)
+
+
+def test_sweep_fits_models_side_by_side(monkeypatch, classes):
+    """Models used to wait for one another; the errors and the order stay."""
+    import threading
+
+    both, score = threading.Barrier(2, timeout=30), models.fit_and_score
+
+    def met(variant, *rest):
+        both.wait()
+        if variant == "knn":
+            raise ValueError("no neighbours")
+        return score(variant, *rest)
+
+    monkeypatch.setattr(models, "fit_and_score", met)
+    specs = [models.model_spec("classification", n) for n in ("logistic_regression", "knn")]
+    out, errors = models.sweep(specs, classes[2], classes[2], 3)
+    assert {r["variant"] for r in out.collect()} == {"logistic_regression"}
+    assert errors == {"knn": "ValueError: no neighbours"}
