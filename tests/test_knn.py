@@ -127,6 +127,39 @@ def test_stripes_keep_their_number_until_they_are_full():
     assert knn._stripes(7_000_000, 64, 4096) * knn._STRIPE_BYTES >= 7_000_000 * 64 * 8
 
 
+def test_rows_found_do_not_grow_with_the_stripes(spark, monkeypatch):
+    """Every stripe of rows used to give up to ``keep`` rows a query, and every pair of stripes was shuffled."""
+    monkeypatch.setattr(knn, "_TASKS", 6)
+    x = np.random.default_rng(6).normal(size=(900, 16))
+    base = frame(spark, x, np.arange(900)).select(F.col("row_id").alias("vid"), F.col("features").alias("vec"), F.array("row_id").alias("members"))
+    asked = base.select(F.col("vid").alias("qid"), "vec", F.lit(float("inf")).alias("bound"))
+    found = knn._in_stripes(asked, base, 4, 3, 30, 16)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    assert found.groupBy("qid").count().agg(F.max("count")).first()[0] <= 4 * 2
+    near = {}
+    for r in found.collect():
+        near.setdefault(r["qid"], []).append((r["dist"], r["members"][0]))
+    want = {}
+    for i, j, _, dist in brute(x, np.arange(900), 3):
+        want.setdefault(i, [(0.0, i)]).append((dist, j))
+    assert {i: sorted(v)[:4] for i, v in near.items()} == {i: sorted(v) for i, v in want.items()}
+
+
+@pytest.mark.parametrize("shift", [0.0, 3.0, 1e6])
+def test_single_precision_loses_no_neighbour(shift):
+    x = np.round(np.random.default_rng(8).normal(size=(700, 12)), 3) + shift
+    exact = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), knn.KEY_DIGITS)
+    ids = np.arange(700)
+    want = [[(exact[i, j], j) for j in np.lexsort((ids, exact[i]))[:5]] for i in ids]
+    bound = np.array([w[-1][0] for w in want])
+    r, k, dist = knn._nearest_rows(x, bound * 1.5, x, ids, 5)
+    got = [[] for _ in ids]
+    for a, b, d in zip(r, k, dist, strict=True):
+        got[a].append((d, b))
+    assert got == want
+
+
 def test_distances_to_pivots_are_made_tile_by_tile(monkeypatch):
     """A batch of 10,000 rows used to meet all pivots at once."""
     made = []
