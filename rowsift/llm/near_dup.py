@@ -334,6 +334,34 @@ def _sets(texts: DataFrame, family: DataFrame, size: int, n_texts: int) -> DataF
     return fitted(rows, max(size, n_texts * PAIR_ROWS // WIDE_ROWS), PAIR_ROWS).mapInArrow(run, "family bigint, rep bigint, part bigint, major boolean, n bigint, regs binary, hashes binary")
 
 
+def links_across(rows: pa.Table, i: int, j: int, percent: int) -> list[tuple[int, int, int]]:
+    """(a, b, size of the larger set) of links between blocks ``i`` and ``j``, no more than join different parts.
+
+    Shingles are numbered once, so that a document meets all its partners by looking up theirs among its own.
+    """
+    own, part, rep, n = (rows.column(c).to_numpy().copy() for c in ("own", "part", "rep", "n"))
+    regs = np.frombuffer(b"".join(rows.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    codes = np.unique(np.frombuffer(b"".join(rows.column("hashes").to_pylist()), np.uint64), return_inverse=True)[1]
+    mine = np.zeros(len(codes), np.int32)
+    codes = np.split(codes, np.cumsum(n)[:-1])
+    left, right = np.flatnonzero((own == i) & (n > 0)), np.flatnonzero((own == j) & (n > 0))
+    found = []
+    for x in right:
+        ys = left if i != j else left[left < x]
+        ys = ys[(part[ys] != part[x]) & (np.minimum(n[ys], n[x]) * 100 >= percent * np.maximum(n[ys], n[x]))]
+        ys = ys[plausible(regs[x][None, :], regs[ys], percent)] if len(ys) else ys
+        if not len(ys):
+            continue
+        mine[codes[x]] = 1
+        common = np.add.reduceat(mine[np.concatenate([codes[y] for y in ys])], np.cumsum(n[ys]) - n[ys])
+        mine[codes[x]] = 0
+        for y in ys[100 * common >= percent * (n[x] + n[ys] - common)].tolist():
+            if part[y] != part[x]:
+                found.append((int(min(rep[x], rep[y])), int(max(rep[x], rep[y])), int(max(n[x], n[y]))))
+                part[part == part[y]] = part[x]
+    return found
+
+
 def _across(family: DataFrame, texts: DataFrame, percent: int, n_texts: int) -> DataFrame:
     """(a, b, nb): links between different components of a family.
 
@@ -357,21 +385,7 @@ def _across(family: DataFrame, texts: DataFrame, percent: int, n_texts: int) ->
 
     def compare(rows: pa.Table) -> pa.Table:
         i, j = rows.column("i")[0].as_py(), rows.column("j")[0].as_py()
-        own, part, rep, n = (rows.column(c).to_numpy().copy() for c in ("own", "part", "rep", "n"))
-        regs = np.frombuffer(b"".join(rows.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        hashes = [np.frombuffer(x, np.uint64) for x in rows.column("hashes").to_pylist()]
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = []
-        for x in right:
-            ys = left if i != j else left[left < x]
-            ys = ys[(part[ys] != part[x]) & (np.minimum(n[ys], n[x]) * 100 >= percent * np.maximum(n[ys], n[x]))]
-            ys = ys[plausible(regs[x][None, :], regs[ys], percent)] if len(ys) else ys
-            for y in ys.tolist():
-                if part[y] != part[x]:
-                    common = len(np.intersect1d(hashes[x], hashes[y], assume_unique=True))
-                    if 100 * common >= percent * (n[x] + n[y] - common):
-                        found.append((int(min(rep[x], rep[y])), int(max(rep[x], rep[y])), int(max(n[x], n[y]))))
-                        part[part == part[y]] = part[x]
+        found = links_across(rows, i, j, percent)
         return pa.table({k: pa.array([f[c] for f in found], pa.int64()) for c, k in enumerate(("a", "b", "nb"))})
 
     return fitted(dealt.groupBy("family", "i", "j").applyInArrow(compare, "a bigint, b bigint, nb bigint"), size, PAIR_ROWS)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from rowsift.llm import graphs
 from rowsift.llm import near_dup as n
@@ -119,3 +120,38 @@ def test_awkward_rows(spark, awkward, nothing, docs_of):
     a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
     tied = n.near_duplicates(docs_of([(1, a), (2, a), (2, b), (3, b)])).collect()
     assert {r.component_id for r in tied} == {1}
+
+
+def family_block(texts, parts, own):
+    sets = n.shingle_sets([t.encode() for t in texts])
+    columns = {
+        "own": pa.array(own, pa.int32()),
+        "rep": pa.array(range(len(texts)), pa.int64()),
+        "part": pa.array(parts, pa.int64()),
+        "n": pa.array([len(s) for s in sets], pa.int64()),
+        "regs": pa.array([n.registers(s).tobytes() for s in sets], pa.binary()),
+        "hashes": pa.array([s.tobytes() for s in sets], pa.binary()),
+    }
+    return pa.table(columns), [set(s.tolist()) for s in sets]
+
+
+def test_a_family_is_compared_without_meeting_pair_by_pair(monkeypatch):
+    """Texts of one template, most of them just below the threshold: each pair used to be intersected on its own."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(150)]
+    texts = [edited(rng, words, rng.choice([1, 2, 3, 6])) for _ in range(60)] + ["", "one two"]
+    own = [k % 2 for k in range(len(texts))]
+    monkeypatch.setattr(np, "intersect1d", None)
+    for i, j in ((0, 1), (0, 0)):
+        block, sets = family_block(texts, range(len(texts)), own if i != j else [0] * len(texts))
+        links = n.links_across(block, i, j, 75)
+        want = {(a, b) for b in range(len(texts)) for a in range(b) if (i == j or own[a] != own[b]) and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+        assert {(a, b) for a, b, _ in links} <= want and all(nb == max(len(sets[a]), len(sets[b])) for a, b, nb in links)
+
+        def joined(pairs):
+            up = list(range(len(texts)))
+            for a, b in pairs:
+                up = [up[a] if u == up[b] else u for u in up]
+            return [min(k for k in range(len(up)) if up[k] == u) for u in up]
+
+        assert joined((a, b) for a, b, _ in links) == joined(want) and len(links) < len(want)
