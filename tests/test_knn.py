@@ -146,6 +146,14 @@ def test_rows_found_do_not_grow_with_the_stripes(spark, monkeypatch):
     assert {i: sorted(v)[:4] for i, v in near.items()} == {i: sorted(v) for i, v in want.items()}
 
 
+def test_rows_found_grow_no_faster_than_the_queries(spark):
+    """Twelve stripes met four shares of the rows where three met three, so what was given out grew faster than the rows."""
+    x = np.random.default_rng(9).normal(size=(240, 8))
+    base = frame(spark, x, np.arange(240)).select(F.col("row_id").alias("vid"), F.col("features").alias("vec"), F.array("row_id").alias("members"))
+    asked = base.select(F.col("vid").alias("qid"), "vec", F.lit(float("inf")).alias("bound"))
+    assert [knn._in_stripes(asked, base, 4, n, n, 8).count() for n in (3, 12)] == [240 * 4 * 3] * 2
+
+
 @pytest.mark.parametrize("shift", [0.0, 3.0, 1e6])
 def test_single_precision_loses_no_neighbour(shift):
     x = np.round(np.random.default_rng(8).normal(size=(700, 12)), 3) + shift
