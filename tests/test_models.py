@@ -191,6 +191,32 @@ def test_token_run(spark):
     assert out.summary["precision_at_prune"] > 0.8
 
 
+def test_token_tagger_scores_with_dense_coefficients(spark):
+    """Few used columns of many: the fitted model keeps its coefficients sparse by class and walked them for every row."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as T
+
+    rng = np.random.default_rng(8)
+    size = 1 << 12
+    used = [sorted(rng.choice(60, int(rng.integers(0, 5)), replace=False).tolist()) for _ in range(200)]
+    rows = [(i, int(sum(c) % 3) if c else 0, Vectors.sparse(size, c, [1.0] * len(c))) for i, c in enumerate(used)]
+    rows.append((200, 1, Vectors.dense([1.0] + [0.0] * (size - 1))))
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("label", T.IntegerType()), T.StructField("features", VectorUDT())])
+    df = spark.createDataFrame(rows, schema)
+    scored = models.fit_token_tagger(df, 4, 20)(df)
+    assert "ArrowEvalPython" in scored.select("probs")._jdf.queryExecution().executedPlan().toString()
+    want = LogisticRegression(
+        labelCol="label", family="multinomial", regParam=1.0 / 201, standardization=False, maxIter=20, tol=models.TAGGER_TOLERANCE
+    ).fit(df).transform(df)
+    got = {r["i"]: r for r in scored.collect()}
+    for r in want.collect():
+        assert np.allclose(got[r["i"]]["probs"], [*r["probability"].toArray(), 0.0], atol=1e-9)
+        assert got[r["i"]]["predicted"] == int(np.argmax(r["probability"].toArray()))
+    one = df.withColumn("label", F.lit(2))  # a single class has an infinite intercept
+    assert {tuple(r["probs"]) for r in models.fit_token_tagger(one, 3, 5)(one).collect()} == {(0.0, 0.0, 1.0)}
+
+
 def test_outlier_run(spark):
     rng = np.random.default_rng(4)
     df = spark.createDataFrame(
