@@ -43,11 +43,12 @@ _TILE, _CHUNK = 512, 4096
 def _distinct_vectors(df: DataFrame, keep: int) -> DataFrame:
     """(vec, vid, members, more): one row per vector with its ``keep`` smallest ids.
 
-    The row_number limit is applied before the shuffle, so copies do not pile up.
+    The row_number limit is applied before the shuffle, so copies do not pile up. Both
+    windows are alike, so the vectors are shuffled and sorted once.
     """
     w = Window.partitionBy("vec").orderBy("id")
     few = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= keep + 1)
-    ids = few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    ids = few.withColumn("ids", F.collect_list("id").over(w.rowsBetween(0, keep))).filter("_rn = 1")
     return ids.select(
         "vec",
         F.element_at("ids", 1).alias("vid"),
@@ -186,20 +187,16 @@ def _cells_in_reach(x: np.ndarray, pivots: np.ndarray, radius: np.ndarray, bound
     return out
 
 
-def _meet(left: DataFrame, right: DataFrame, keys: list[str], per_task: int, search, schema: str, few: bool = False) -> DataFrame:
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], per_task: int, search, schema: str) -> DataFrame:
     """Cogroup by ``keys``; a key with more than ``per_task`` rows of ``left`` is dealt to several tasks.
 
-    ``left`` has an id ``lid``; rows of ``right`` are copied once per task. ``few`` says that
-    ``left`` is known to be small.
+    ``left`` has an id ``lid``; rows of ``right`` are copied once per task.
     """
-    if few:
-        l, r = left.withColumn("_salt", F.lit(0)), right.withColumn("_salt", F.lit(0))
-    else:
-        busy = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > per_task)
-        busy = checked_broadcast(busy.select(*keys, F.ceil(F.col("n") / F.lit(per_task)).cast("int").alias("_tasks")))
-        tasks = F.coalesce("_tasks", F.lit(1))
-        l = left.join(busy, keys, "left").withColumn("_salt", F.pmod(F.xxhash64("lid", F.lit(1)), tasks.cast("bigint")).cast("int"))
-        r = right.join(busy, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), tasks - 1)))
+    busy = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > per_task)
+    busy = checked_broadcast(busy.select(*keys, F.ceil(F.col("n") / F.lit(per_task)).cast("int").alias("_tasks")))
+    tasks = F.coalesce("_tasks", F.lit(1))
+    l = left.join(busy, keys, "left").withColumn("_salt", F.pmod(F.xxhash64("lid", F.lit(1)), tasks.cast("bigint")).cast("int"))
+    r = right.join(busy, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), tasks - 1)))
     # the two sides may come from one frame, so the left keys get names of their own
     l = l.drop("_tasks").withColumnsRenamed({c: f"_to_{c}" for c in [*keys, "_salt"]})
     to = l.groupBy(*[f"_to_{c}" for c in [*keys, "_salt"]])
@@ -383,15 +380,37 @@ def _choose_pivots(base: DataFrame, n: int, rows_per_cell: int, max_pivots: int)
     return np.array([r["vec"] for r in rows], dtype=np.float64)
 
 
-def _visit(visits: DataFrame, base: DataFrame, keep: int, visit_rows: int, few: bool = False) -> DataFrame:
-    """Search the block each visit names; blocks with many visitors are dealt to several tasks.
-
-    ``few`` says that all visitors together are known to fit one task.
-    """
+def _visit(visits: DataFrame, base: DataFrame, keep: int, visit_rows: int) -> DataFrame:
+    """Search the block each visit names; blocks with many visitors are dealt to several tasks."""
     asked = visits.select("qid", F.col("qid").alias("lid"), F.col("vec").alias("qvec"), "bound", "cell", "block")
     rows = base.select("vid", "vec", "members", "cell", "block")
     schema = "qid bigint, members array<bigint>, dist double"
-    return _meet(asked, rows, ["cell", "block"], visit_rows, _nearest_in_block(keep), schema, few)
+    return _meet(asked, rows, ["cell", "block"], visit_rows, _nearest_in_block(keep), schema)
+
+
+def _visit_own(rows: DataFrame, keep: int) -> DataFrame:
+    """(qid, vec, cell, block, bound, near): what every row finds in its own block, and the distance of the ``keep``-th of it.
+
+    Visitors and block are the same rows, so a vector is shuffled once, and its bound is
+    beside it without a join.
+    """
+    search = _nearest_in_block(keep)
+
+    def own(block: pa.Table) -> pa.Table:
+        seen = block.select(["vid", "vec", "members"]).to_pandas()
+        visitors = pd.DataFrame({"qid": np.arange(len(seen)), "qvec": seen["vec"], "bound": np.inf})
+        found = search(visitors, seen)  # by query and distance
+        dist = found["dist"].to_numpy()
+        ends = np.searchsorted(found["qid"].to_numpy(), np.arange(len(seen) + 1))
+        bound, last = np.full(len(seen), np.inf), ends[1:][np.diff(ends) >= keep] - 1
+        bound[np.diff(ends) >= keep] = dist[last]
+        pairs = pa.StructArray.from_arrays([pa.array(found["members"], pa.list_(pa.int64())), pa.array(dist)], ["members", "dist"])
+        near = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+        columns = {"qid": block["vid"], "vec": block["vec"], "cell": block["cell"], "block": block["block"], "bound": pa.array(bound), "near": near}
+        return pa.table(columns)
+
+    schema = "qid bigint, vec array<double>, cell bigint, block int, bound double, near array<struct<members: array<bigint>, dist: double>>"
+    return rows.select("vid", "vec", "members", "cell", "block").groupBy("cell", "block").applyInArrow(own, schema)
 
 
 #: Queries are cut into so many stripes where bounds rule little out, and into more beyond so many bytes a stripe.
@@ -409,16 +428,18 @@ def _stripes(n: int, width: int, block_rows: int) -> int:
     return max(min(_STRIPES, math.ceil(n / block_rows)), math.ceil(8 * n * max(1, width) / _STRIPE_BYTES))
 
 
-def _mean_visits(tree: _Tree, asked: DataFrame, found: DataFrame, keep: int, visit_rows: int, n: int) -> float:
-    """Blocks that one query visits besides its own, by a few queries picked by a hash."""
-    tried = asked.filter(hash_uniform(7, "visits", F.col("qid").cast("string")) < _TRIED / max(1, n))
-    tried = materialize(_bounded(tried, found.join(F.broadcast(tried.select("qid")), "qid", "left_semi"), keep))
+def _mean_visits(tree: _Tree, known: DataFrame, visit_rows: int, n: int) -> float:
+    """Blocks that one query (with its bound) visits besides its own, by a few queries picked by a hash."""
+    tried = materialize(known.filter(hash_uniform(7, "visits", F.col("qid").cast("string")) < _TRIED / max(1, n)))
     rows = tried.count()
     return tree.visits(tried, visit_rows).count() / rows if rows else 0.0
 
 
-def _packed(df: DataFrame, parts: int, per_pack: int | None, columns: dict[str, str]) -> DataFrame:
-    """``df`` (id, vec and ``columns``) in ``parts`` files, ``per_pack`` rows (all of a file) to one: numbers as bytes, lists as lists."""
+def _packed(df: DataFrame, parts: int | None, per_pack: int | None, columns: dict[str, str]) -> DataFrame:
+    """``df`` (id, vec and ``columns``) in ``parts`` files, ``per_pack`` rows (all of a file) to one: numbers as bytes, lists as lists.
+
+    ``parts`` None leaves the rows in the partitions they are in.
+    """
     lists = [c for c, kind in columns.items() if kind.startswith("array")]
     flat = [c for c in columns if c not in lists]
 
@@ -448,7 +469,8 @@ def _packed(df: DataFrame, parts: int, per_pack: int | None, columns: dict[str,
             yield flush()
 
     schema = ", ".join([*[f"{c} binary" for c in flat], *[f"{c} array<{columns[c]}>" for c in lists]])
-    return materialize(df.select(*columns).repartition(parts).mapInArrow(pack, schema))
+    dealt = df.select(*columns)
+    return materialize((dealt if parts is None else dealt.repartition(parts)).mapInArrow(pack, schema))
 
 
 _Found = tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]
@@ -500,8 +522,10 @@ def _in_stripes(asked: DataFrame, base: DataFrame, keep: int, n_asked: int, n_ba
 
     queries = _packed(asked, n_asked, None, {"qid": "bigint", "vec": "double", "bound": "double"}).withColumnRenamed("vec", "qvec")
     rows = max(256, min(4 * _CHUNK, _PACK_BYTES // (8 * max(1, width))))
-    packs = _packed(base, n_base, rows, {"vid": "bigint", "vec": "double", "members": "array<bigint>"})
-    pairs = packs.coalesce(min(_SHARES, -(-_TASKS // n_asked))).crossJoin(queries.hint("shuffle_replicate_nl"))
+    shares = min(_SHARES, -(-_TASKS // n_asked))
+    spread_out = base.rdd.getNumPartitions() >= 2 * shares  # rows come by a hash, so their partitions are even
+    packs = _packed(base, None if spread_out else n_base, rows, {"vid": "bigint", "vec": "double", "members": "array<bigint>"})
+    pairs = packs.coalesce(shares).crossJoin(queries.hint("shuffle_replicate_nl"))
     return pairs.mapInArrow(search, "qid bigint, members array<bigint>, dist double")
 
 
@@ -567,17 +591,25 @@ def knn_edges(
         asked = tree.place(own)
     asked = asked.withColumn("qid", F.col("vid"))
 
-    first = asked.select("qid", "vec", "cell", "block", F.lit(float("inf")).alias("bound"))
-    few = self_join and size["n"] <= visit_rows
-    found = _visit(first, blocked, keep, visit_rows, few)
-    if len(tree.pivots) > 1 or tree.blocks[0] > 1:
-        found = materialize(found)
+    more_blocks = len(tree.pivots) > 1 or tree.blocks[0] > 1
+    if self_join:
+        known = _visit_own(blocked, keep)
+        if more_blocks:
+            known = materialize(known)
+        found = known.select("qid", F.inline("near"))
+    else:
+        first = asked.select("qid", "vec", "cell", "block", F.lit(float("inf")).alias("bound"))
+        found = _visit(first, blocked, keep, visit_rows)
+        if more_blocks:
+            found = materialize(found)
+            known = materialize(_bounded(asked, found, keep))
+    if more_blocks:
         parts = [_stripes(n, size["d"], block_rows) for n in (n_asked, size["n"])]
         in_stripes = n_asked * parts[1] + size["n"] * parts[0]
-        if probes is None and n_asked * _mean_visits(tree, asked, found, keep, visit_rows, n_asked) > in_stripes:
-            found = _in_stripes(_bounded(asked, found, keep), blocked, keep, *parts, size["d"])
+        if probes is None and n_asked * _mean_visits(tree, known, visit_rows, n_asked) > in_stripes:
+            found = _in_stripes(known, blocked, keep, *parts, size["d"])
         else:
-            rest = materialize(tree.visits(_bounded(asked, found, keep), visit_rows))
+            rest = materialize(tree.visits(known, visit_rows))
             found = found.unionByName(_visit(rest, blocked, keep, visit_rows))
 
     nearest = Window.partitionBy("qid").orderBy("dist", "j")

@@ -154,6 +154,63 @@ def test_rows_found_grow_no_faster_than_the_queries(spark):
     assert [knn._in_stripes(asked, base, 4, n, n, 8).count() for n in (3, 12)] == [240 * 4 * 3] * 2
 
 
+def _shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_distinct_vectors_are_shuffled_once(spark):
+    """They used to be shuffled for the limit of copies, and again for the groups."""
+    rows = [(9, [0.0, 1.0]), (4, [-0.0, 1.0]), (7, [0.0, 1.0]), (2, [0.0, 1.0]), (5, [3.0, 1.0])]
+    found = knn._distinct_vectors(spark.createDataFrame(rows, "id bigint, vec array<double>"), 3)
+    assert _shuffles(found) == 1
+    assert {(r["vid"], tuple(r["members"]), r["more"]) for r in found.collect()} == {(2, (2, 4, 7), True), (5, (5,), False)}
+
+
+def test_own_blocks_are_searched_after_one_shuffle(spark):
+    """Rows of a self-join used to be shuffled as visitors, as block, and to meet their bounds."""
+    x = np.random.default_rng(3).normal(size=(60, 3)).round(2)
+    rows = frame(spark, x, np.arange(60)).select(F.col("row_id").alias("vid"), F.col("features").alias("vec"), F.array("row_id").alias("members"))
+    rows = rows.withColumns({"cell": F.when(F.col("vid") < 3, 8).otherwise(9).cast("bigint"), "block": (F.col("vid") % 2).cast("int")})
+    found = knn._visit_own(rows, 4)
+    assert _shuffles(found) == 1
+    home = [(i < 3, i % 2) for i in range(60)]
+    got = found.collect()
+    assert sorted(r["qid"] for r in got) == list(range(60))
+    for r in got:
+        mine = [j for j in range(60) if home[j] == home[r["qid"]]]
+        dist = np.round(np.sqrt(((x[mine] - x[r["qid"]]) ** 2).sum(1)), 9)
+        want = sorted(zip(dist.tolist(), mine))[:4]
+        assert [(e["dist"], e["members"][0]) for e in r["near"]] == want
+        assert r["bound"] == (want[3][0] if len(want) == 4 else np.inf) and r["vec"] == x[r["qid"]].tolist()
+
+
+def test_self_join_deals_no_visitors_for_its_own_blocks(spark, monkeypatch):
+    """Where stripes follow, vectors met their own blocks by a cogroup and their bounds by a join: three shuffles for one."""
+    x = np.random.default_rng(5).normal(size=(600, 24))
+    met, packed = [], []
+    meet, pack = knn._meet, knn._packed
+    monkeypatch.setattr(knn, "_meet", lambda left, *rest: met.append(left.count()) or meet(left, *rest))
+    monkeypatch.setattr(knn, "_packed", lambda df, parts, *rest: packed.append(parts) or pack(df, parts, *rest))
+    monkeypatch.setattr(knn, "_bounded", None)
+    monkeypatch.setattr(knn, "_TRIED", 30)
+    got = {tuple(r) for r in knn_edges(frame(spark, x, np.arange(600)), 4, rows_per_cell=20, block_rows=30, visit_rows=400).collect()}
+    assert got == brute(x, np.arange(600), 4)
+    assert len(packed) == 2 and all(n < 600 for n in met)
+
+
+def test_even_rows_are_packed_where_they_are(spark, monkeypatch):
+    """Rows that lie in partitions enough were shuffled once more to be packed."""
+    parts, pack = [], knn._packed
+    monkeypatch.setattr(knn, "_packed", lambda df, n, *rest: parts.append(n) or pack(df, n, *rest))
+    x = np.random.default_rng(7).normal(size=(120, 5))
+    base = frame(spark, x, np.arange(120)).select(F.col("row_id").alias("vid"), F.col("features").alias("vec"), F.array("row_id").alias("members"))
+    asked = base.select(F.col("vid").alias("qid"), "vec", F.lit(float("inf")).alias("bound"))
+    many, few = (knn._in_stripes(asked, base.repartition(n), 3, 12, 12, 5) for n in (6, 1))
+    assert parts == [12, None, 12, 12]
+    nearest = lambda d: sorted((r["qid"], r["dist"]) for r in d.groupBy("qid").agg(F.sort_array(F.collect_list("dist"))[2].alias("dist")).collect())
+    assert nearest(many) == nearest(few)
+
+
 @pytest.mark.parametrize("shift", [0.0, 3.0, 1e6])
 def test_single_precision_loses_no_neighbour(shift):
     x = np.round(np.random.default_rng(8).normal(size=(700, 12)), 3) + shift
