@@ -194,21 +194,20 @@ def _strategy_forest(df: DataFrame, edges: DataFrame | None, cfg) -> DataFrame:
 ENSEMBLE = ("knn", "isolation_forest", "lof")
 
 
-def ensemble_members(df: DataFrame, edges: DataFrame | None, cfg) -> tuple[list[DataFrame], dict[str, str]]:
-    """Scores of the members that worked, and what stopped the others."""
+def ensemble_members(df: DataFrame, edges: DataFrame | None, cfg) -> list[DataFrame]:
+    """Scores of every member. One that fails stops the ensemble: a mean of the others would look like a result."""
     found = edges if edges is not None else knn_edges(df, cfg.n_neighbors)
-    members, errors = [], {}
+    members = []
     for name in ENSEMBLE:
         try:
             members.append(materialize(get_strategy(name)(df, found, cfg)))
-        except Exception as e:  # noqa: BLE001 - a failing member is left out of the mean and reported
-            errors[name] = f"{type(e).__name__}: {e}".splitlines()[0]
-    return members, errors
+        except Exception as e:
+            raise RuntimeError(f"member {name} of the ensemble failed: {type(e).__name__}: {e}") from e
+    return members
 
 
 def _strategy_ensemble(df: DataFrame, edges: DataFrame | None, cfg) -> DataFrame:
-    members, _ = ensemble_members(df, edges, cfg)
-    return ensemble_scores(members) if members else df.select("row_id", F.lit(0.5).alias("score"))
+    return ensemble_scores(ensemble_members(df, edges, cfg))
 
 
 Strategy = Callable[[DataFrame, "DataFrame | None", object], DataFrame]

@@ -343,13 +343,8 @@ def run_anomaly(df: DataFrame, config: AnomalyConfig = AnomalyConfig(), strategy
     held = materialize(df)
     ready = standardize_array(held, "features", _width(held)) if config.scale_features else held
     ready = materialize(ready)
-    vectors, errors = ready.select("row_id", "features"), {}
-    if strategy is None and config.strategy == "ensemble":
-        members, errors = anomaly.ensemble_members(vectors, None, config)
-        scores = anomaly.ensemble_scores(members) if members else vectors.select("row_id", F.lit(0.5).alias("score"))
-    else:
-        scores = (strategy or anomaly.get_strategy(config.strategy))(vectors, None, config)
-    scores = materialize(scores)
+    vectors = ready.select("row_id", "features")
+    scores = materialize((strategy or anomaly.get_strategy(config.strategy))(vectors, None, config))
     has_truth = config.use_ground_truth and "ground_truth" in held.columns
     flagged = anomaly.flag_lowest(scores, config.contamination)
     if has_truth:
@@ -357,4 +352,4 @@ def run_anomaly(df: DataFrame, config: AnomalyConfig = AnomalyConfig(), strategy
     flagged = materialize(flagged)
     summary = anomaly.anomaly_summary(flagged, F.col("ground_truth") if has_truth else None).first().asDict()
     summary |= {"strategy": config.strategy, "threshold": exact_percentile(scores, "score", config.contamination)}
-    return RunOutput(summary, None, {"scores": flagged, "top": anomaly.top_anomalies(flagged, config.top_k)}, errors)
+    return RunOutput(summary, None, {"scores": flagged, "top": anomaly.top_anomalies(flagged, config.top_k)})

@@ -217,6 +217,24 @@ def test_strategies_flag_far_points(spark, name, low, high):
     assert s == sorted(s) and all(0 <= v <= 1 for v in s)
 
 
+def test_failing_member_stops_the_ensemble(spark, monkeypatch):
+    """The mean of the other members, or 0.5 for every row, used to come back as the result."""
+    from rowsift.plans.configs import AnomalyConfig
+    from rowsift.plans.tasks import run_anomaly
+
+    def broken(df, edges, cfg):
+        raise OSError("no space")
+
+    df, config = far_points(spark), AnomalyConfig(strategy="ensemble", contamination=0.1)
+    for names in (["lof"], list(anomaly.ENSEMBLE)):
+        for name in names:
+            monkeypatch.setitem(anomaly._STRATEGIES, name, broken)
+        with pytest.raises(RuntimeError, match="ensemble failed: OSError: no space"):
+            run_anomaly(df, config)
+        with pytest.raises(RuntimeError, match="ensemble failed"):
+            anomaly.get_strategy("ensemble")(df.select("row_id", "features"), None, config)
+
+
 def test_strategy_registry():
     assert anomaly.list_strategies() == ["ensemble", "isolation_forest", "knn", "lof"]
     with pytest.raises(ValueError):
