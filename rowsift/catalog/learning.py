@@ -174,7 +174,9 @@ def model_sweep(spark, sf_dir):
         _spec("hist_gradient_boosting"),
         _spec("knn"),
     ]
-    m, _ = models.sweep(specs, df.filter("NOT is_test").drop("is_test"), df.filter("is_test").drop("is_test"), 3)
+    m, errors = models.sweep(specs, df.filter("NOT is_test").drop("is_test"), df.filter("is_test").drop("is_test"), 3)
+    if errors:  # rows of the other models alone would look like the whole sweep
+        raise RuntimeError(f"models failed: {errors}")
     return m
 
 

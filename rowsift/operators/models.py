@@ -583,13 +583,17 @@ def sweep(
     n_classes: int = 0,
     featurize: Featurizer | None = None,
 ) -> tuple[DataFrame, dict[str, str]]:
-    """(variant = model, metric, value) of every model, and the errors of those that failed."""
+    """(variant = model, metric, value) of every model, and the errors of those whose settings or values do not fit.
+
+    Only a ``ValueError`` leaves a model out: a job, a worker or a driver step that failed says nothing about the
+    model and is raised. The caller must look at the errors, as the rows alone do not show that a model is missing.
+    """
     held_train, held_test = materialize(train), materialize(test)
 
     def one(spec: ModelSpec) -> DataFrame | str:
         try:
             return materialize(fit_and_score(spec.name, spec, held_train, held_test, n_classes, featurize))
-        except Exception as e:  # noqa: BLE001 - the other models go on
+        except ValueError as e:  # the other models go on
             return f"{type(e).__name__}: {e}".splitlines()[0]
 
     # fits are many short jobs one after the other, so models wait for each other's driver steps, not for cores

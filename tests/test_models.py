@@ -303,3 +303,34 @@ def test_sweep_fits_models_side_by_side(monkeypatch, classes):
     out, errors = models.sweep(specs, classes[2], classes[2], 3)
     assert {r["variant"] for r in out.collect()} == {"logistic_regression"}
     assert errors == {"knn": "ValueError: no neighbours"}
+
+
+@pytest.mark.parametrize("error", [OSError("no space"), ValueError("no neighbours")])
+def test_model_sweep_does_not_hide_a_failed_model(spark, monkeypatch, error):
+    """The rows of the other models used to come back as the whole sweep."""
+    from rowsift.catalog import learning
+
+    real = models.fit_and_score
+
+    def one(variant, *rest):
+        if variant == "knn":
+            raise error
+        spec, *others = rest
+        return real(variant, models.model_spec("classification", "logistic_regression", max_iter=2), *others)
+
+    points = spark.createDataFrame([(i, [float(i % 5), float(i % 7)], i % 3) for i in range(60)], "row_id bigint, features array<double>, label int")
+    monkeypatch.setattr(models, "fit_and_score", one)
+    monkeypatch.setattr(learning, "labelled_points", lambda *_: points)
+    with pytest.raises((RuntimeError, OSError), match="no space|models failed.*no neighbours"):
+        learning.model_sweep(spark, "")
+
+
+def test_sweep_raises_what_is_not_the_models_fault(monkeypatch, classes):
+    """A failed job used to be noted beside the rows of the other models."""
+
+    def lost(variant, *rest):
+        raise OSError("no space")
+
+    monkeypatch.setattr(models, "fit_and_score", lost)
+    with pytest.raises(OSError):
+        models.sweep([models.model_spec("classification", n) for n in ("knn", "logistic_regression")], classes[2], classes[2], 3)
