@@ -76,3 +76,28 @@ def test_frequent_words_are_not_shuffled(tokens, monkeypatch, held, joins):
     for r in got:
         assert r["ids"] == sorted(ids[n] for n in names(r))
     assert max(sent[1:], default=0) <= len(got)
+
+
+def test_documents_are_dealt_out_not_tokens(spark, tmp_path):
+    """Tokens with their keys used to be shuffled for their neighbours, and written with all features."""
+    from rowsift.catalog import tagging
+
+    rows = [(i, "The cat saw 12 cats  of Zoë " * (1 + i % 3)) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    near = token_features(tagging.tokens(spark, str(tmp_path), together=True)).select("sent_id", "tok_i", "token", "prev_w", "next_w")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(sent_id") == plan.count("Exchange") == 1
+    assert plan.index("Window") < plan.index("Generate") < plan.index("Exchange")
+    plain = token_features(tagging.tokens(spark, str(tmp_path))).select(*near.columns)
+    assert sorted(near.collect()) == sorted(plain.collect())
+
+
+def test_words_are_numbered_in_each_column_apart(spark):
+    """A word may be a token, a neighbour on one side only, or both; names of a column lie together."""
+    rows = [(0, "b", "<BOS>", "a"), (0, "A", "b", "z"), (1, "a", "q", None), (1, None, "é", "b")]
+    d = fit_token_dictionary(spark.createDataFrame(rows, "sent_id int, token string, prev_w string, next_w string"))
+    got = {r["name"]: (r["id"], r["n"]) for r in d.table.collect()}
+    assert [n for n in sorted(got, key=lambda n: n.encode())] == sorted(got, key=got.get) and d.size == len(got)
+    assert {n: got[n][1] for n in got if n.split("=")[0] in ("w", "prev_w", "next_w")} == {
+        "w=a": 2, "w=b": 1, "prev_w=<BOS>": 1, "prev_w=b": 1, "prev_w=q": 1, "prev_w=é": 1, "next_w=a": 1, "next_w=b": 1, "next_w=z": 1
+    }
