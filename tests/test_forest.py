@@ -138,3 +138,46 @@ def test_model_menu(noise, chain):
     spec = models.model_spec("regression", "random_forest", trees=5, max_depth=None)
     drawn_twice = models.fit_regressor(spec, chain, weight=F.when(F.col("row_id") < 40, 2.0).otherwise(0.0))(chain)
     assert column(drawn_twice, "predicted").max() <= 4.0**39  # rows of no weight do not count
+
+
+def depths(child) -> list[int]:
+    """Splits above each node of a tree, whose children come after it."""
+    depth = [0] * len(child)
+    for n, c in enumerate(child):
+        if c >= 0:
+            depth[c] = depth[c + 1] = depth[n] + 1
+    return depth
+
+
+def test_depth_limit_in_tasks_and_in_tops(spark, monkeypatch):
+    """Only the forest of pyspark.ml, whose nodes all lie on the driver, used to have a depth limit."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in rng.normal(size=4)], int(rng.integers(3))) for i in range(400)]
+    df = spark.createDataFrame(rows, "row_id bigint, features array<double>, label int")
+    for limit in (3, 30, None):
+        whole = forest.fit_forest(df, 3, forest.ForestParams(trees=3, max_depth=limit))
+        assert len(whole.tops) == 3 and whole.subtrees.count() == 3
+        most = max(max(depths(r["child"])) for r in whole.subtrees.collect())
+        assert most == 3 if limit == 3 else most > 5
+    monkeypatch.setattr(forest, "TASK_ROWS", 60)
+    top = forest.fit_forest(df, 3, forest.ForestParams(trees=3, max_depth=2))
+    assert max(max(depths(t.child)) for t in top.tops) <= 2
+    assert all(max(depths(r["child"])) + depths(top.tops[r["tree"]].child)[r["node"]] <= 2 for r in top.subtrees.collect())
+    out = top.classify(df).collect()
+    assert len(out) == 400 and all(abs(sum(r["probs"]) - 1) < 1e-9 for r in out)
+
+
+def test_large_forests_do_not_grow_on_the_driver(spark, monkeypatch):
+    """All nodes of 300 trees and of several folds used to lie on the driver at once."""
+    from pyspark.ml import classification
+
+    from rowsift.operators import models
+
+    monkeypatch.setattr(classification.RandomForestClassifier, "fit", lambda *_: pytest.fail("grown on the driver"))
+    rows = [(i, [float(i % 7), float(i % 5)], i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id bigint, features array<double>, label int")
+    spec = models.model_spec("classification", "random_forest", trees=8, max_depth=30)
+    monkeypatch.setattr(models, "DRIVER_NODES", 8 * 2 * 60 - 1)
+    out = models.fit_classifier(spec, df, 2)(df).collect()
+    assert len(out) == 60 and all(len(r["probs"]) == 2 for r in out)
+    assert not models._too_many_nodes(df, 8, 2) and models._too_many_nodes(df, 1, None)
