@@ -101,3 +101,26 @@ def test_words_are_numbered_in_each_column_apart(spark):
     assert {n: got[n][1] for n in got if n.split("=")[0] in ("w", "prev_w", "next_w")} == {
         "w=a": 2, "w=b": 1, "prev_w=<BOS>": 1, "prev_w=b": 1, "prev_w=q": 1, "prev_w=é": 1, "next_w=a": 1, "next_w=b": 1, "next_w=z": 1
     }
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_only_words_not_yet_found_are_shuffled(tokens, monkeypatch, same):
+    """A row with one rare word used to be shuffled for all of its words, the most frequent ones too."""
+    d = fit_token_dictionary(tokens)
+    ids = {r["name"]: r["id"] for r in d.table.collect()}
+    met = {}
+
+    def seen(big, dim, keys, how, counts=None):
+        met[keys[0]] = {r[0] for r in big.select(keys[0]).distinct().collect()}
+        assert (counts is not None) == (same and keys[0] != "w")
+        return skew.skew_join(big, dim, keys, how, counts=counts)
+
+    monkeypatch.setattr(vocabulary, "skew_join", seen)
+    monkeypatch.setattr(vocabulary, "_HELD_WORDS", 3)
+    rows = tokens.collect()
+    got = d.joined_ids(tokens if same else tokens.select("*")).collect()
+    for c in ("token", "prev_w", "next_w"):
+        counts = Counter(r[c] for r in rows)
+        assert met[c] == {*counts} - set(sorted(counts, key=lambda w: (-counts[w], w.encode()))[:3])
+    want = sorted((r["sent_id"], r["tok_i"], " ".join(map(str, sorted(ids[n] for n in names(r))))) for r in rows)
+    assert sorted((r["sent_id"], r["tok_i"], r["ids"]) for r in got) == want
